@@ -69,3 +69,9 @@ def join_blocks(base: DataFrame, blocks: dict[str, DataFrame], choice: FeatureCh
         if name in blocks:
             out = out.join(blocks[name], key, "inner")
     return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows only when a scan yields fewer tasks than there are cores."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
