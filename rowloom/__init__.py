@@ -1 +1,8 @@
 """Spark-native feature engineering, regression and scoring for wide text/tabular data."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LIMIT = 500_000
+LIMIT = 1_000_000
 _ACCURACY = 10_000
 
 
@@ -71,17 +71,24 @@ def order_statistics(
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     """Shrink each bracket to a few thousandths of its rows."""
-    guesses = []
-    for i, b in enumerate(brackets):
-        share = (b.rank - b.below + 0.5) / b.inside
-        around = [max(share - 3 / _ACCURACY, 0.0), min(share + 3 / _ACCURACY, 1.0)]
-        guesses.append(
-            F.percentile_approx(F.when(b.test(), F.col(b.column)), around, _ACCURACY).alias(f"g{i}")
-        )
-    found = df.agg(*guesses).first()
+    spans: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        spans.setdefault((b.column, b.low, b.high), []).append(b)
+    groups = list(spans.values())
+    # One sketch per span answers all the ranks wanted from it.
+    sketches = []
+    for i, g in enumerate(groups):
+        shares = [(b.rank - b.below + 0.5) / b.inside for b in g]
+        around = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-3 / _ACCURACY, 3 / _ACCURACY)]
+        values = F.when(g[0].test(), F.col(g[0].column))
+        sketches.append(F.percentile_approx(values, around, _ACCURACY).alias(f"s{i}"))
+    row = df.agg(*sketches).first()
+    found = {
+        id(b): row[f"s{i}"][2 * j:2 * j + 2] for i, g in enumerate(groups) for j, b in enumerate(g)
+    }
     counters = []
     for i, b in enumerate(brackets):
-        c, (low, high) = F.col(b.column), found[f"g{i}"]
+        c, (low, high) = F.col(b.column), found[id(b)]
         parts = {
             "lt": c < F.lit(low), "lo": c == F.lit(low),
             "in": (c > F.lit(low)) & (c < F.lit(high)), "hi": c == F.lit(high),
@@ -89,7 +96,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
         counters += [F.count_if(b.test() & test).alias(f"{name}{i}") for name, test in parts.items()]
     counted = df.agg(*counters).first()
     for i, b in enumerate(brackets):
-        low, high = found[f"g{i}"]
+        low, high = found[id(b)]
         at = b.rank - b.below
         less, equal_low, between = counted[f"lt{i}"], counted[f"lo{i}"], counted[f"in{i}"]
         equal_high = counted[f"hi{i}"] if high != low else 0

@@ -1,2 +1,187 @@
-QUERIES = {}
-SQL = {}
+"""Fitting, comparing, explaining, saving and serving models on line items and documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..functions.cells import prefix
+from ..functions.encoders import one_hot_name
+from ..operators import crossval, encode, importance, metrics, models, serve, split, tfidf, vectors
+from ..operators.network import NetworkRegressor
+from ..sources.artifacts import load_model, save_model
+from ..sources.session import materialize, new_path
+from ..sources.tables import spread
+from .base import documents, priced_items, sql_hash, table
+
+FLAGS = ("A", "N", "R")
+FEATURES = [
+    "l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice", "p_size",
+    *[one_hot_name("l_returnflag", f) for f in FLAGS],
+]
+TARGET = "charge"
+# Smaller than the production settings: what grows here is the table, not the model.
+SMALL_NETWORK = {"hidden": (32, 16), "epochs": 6, "patience": 3}
+SMALL_FOREST = {"trees": 20, "depth": 8}
+SMALL_BOOSTING = {"trees": 15, "depth": 5}
+
+
+def items(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with the numeric and one-hot features of a model of the final charge."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    rows = spread(priced_items(spark, folder).withColumn(TARGET, charge))
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    plain = [c for c in FEATURES if not c.startswith("l_returnflag")]
+    return rows.select(
+        key.alias("key"), *plain, *encode.one_hot_columns(rows, "l_returnflag", FLAGS), TARGET,
+    )
+
+
+def _split_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Assembled and scaled (train, test); the scaler sees the training part only."""
+    typed = models.typed_features(items(spark, folder), FEATURES, TARGET, ["key"])
+    ready = materialize(models.assemble(typed, FEATURES).select("key", "features", "label"), "items")
+    train, test = split.hash_split(ready, "key")
+    scaler = models.PopulationScaler().fit(train)
+    return scaler.transform(train), scaler.transform(test)
+
+
+def _estimators() -> dict:
+    return {
+        "Ridge Regression": lambda: models.Ridge("scaled"),
+        "MLP Neural Network": lambda: NetworkRegressor("scaled", **SMALL_NETWORK),
+        "XGBoost": lambda: models.boosting("scaled", **SMALL_BOOSTING),
+        "Random Forest": lambda: models.forest("scaled", **SMALL_FOREST),
+    }
+
+
+def _one_model(name: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        train, test = _split_items(spark, folder)
+        _, row, _ = crossval.evaluate(train, test, name, _estimators()[name]())
+        return row
+
+    return run
+
+
+def compare_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Four models on one split, best test R2 first."""
+    _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
+    return scores
+
+
+def prediction_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Actual and predicted values of the test rows, per model."""
+    train, test = _split_items(spark, folder)
+    fast = {n: m for n, m in _estimators().items() if n in ("Ridge Regression", "Random Forest")}
+    return crossval.compare_models(train, test, fast)[2]
+
+
+def train_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Error percentiles, histogram and extreme rows of a fitted model, in one long table."""
+    train, test = _split_items(spark, folder)
+    model = crossval.ridge_or_least_squares(train, test, models.Ridge("scaled"), models.least_squares("scaled"))
+    scored = materialize(model.transform(test).select("key", "label", "prediction"), "scored")
+    shares = metrics.error_percentiles(scored).select(
+        F.lit("percentile").alias("what"), F.col("percentile").cast("string").alias("name"), F.col("abs_error").alias("value")
+    )
+    bins = metrics.error_bins(scored).select(F.lit("bin").alias("what"), F.col("label").alias("name"), "percent")
+    rows = metrics.best_and_worst(scored, "key").select("kind", F.col("row").alias("name"), "abs_error")
+    return shares.union(bins).union(rows)
+
+
+def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _split_items(spark, folder)
+    return models.top_coefficients(models.least_squares("scaled").fit(train), FEATURES, 20)
+
+
+def compare_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Importance of every feature in a linear, a tree and a network model, averaged."""
+    train, test = _split_items(spark, folder)
+    made = _estimators()
+    network = made["MLP Neural Network"]().fit(train)
+    parts = [
+        importance.linear_importance(spark, made["Ridge Regression"]().fit(train), FEATURES, "Ridge Regression"),
+        importance.tree_importance(spark, made["XGBoost"]().fit(train), FEATURES, "XGBoost"),
+        importance.tree_importance(spark, made["Random Forest"]().fit(train), FEATURES, "Random Forest"),
+        importance.permutation_importance(network, test, "key", FEATURES, "scaled", name="MLP Neural Network"),
+    ]
+    rows = importance.with_type(importance.union_all(parts), ("l_returnflag_",))
+    return importance.top_features(rows, 30)
+
+
+def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _split_items(spark, folder)
+    model = models.Ridge("scaled").fit(train)
+    return importance.permutation_importance(model, test, "key", FEATURES, "scaled", name="ridge")
+
+
+def tree_importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _split_items(spark, folder)
+    return importance.tree_importance(spark, models.forest("scaled", **SMALL_FOREST).fit(train), FEATURES, "forest")
+
+
+def save_load_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Train on the training part, save, load, and score all rows with the loaded model."""
+    rows, features = items(spark, folder), ["l_extendedprice"]
+    model, scores = serve.train(rows, "key", features, TARGET, models.least_squares("scaled"))
+    test = scores.filter("dataset = 'test'").first().asDict()
+    path = new_path(spark, "model")
+    save_model(spark, model, features, {m: test[m] for m in ("r2", "rmse", "mae")}, path)
+    loaded, manifest, _ = load_model(spark, path)
+    found = serve.score(rows, loaded, manifest, "key", TARGET)
+    return found.select("row_index", *[F.round(c, 2).alias(c) for c in ("predicted_salary", "actual_salary", "error")])
+
+
+def compare_approaches(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten-fold scores of five text feature sets for one target, from one scan over all folds.
+
+    The target is the length of a document; the vectors are the given ones where a document has one.
+    """
+    docs = documents(spark, folder, "text", "n_chars").withColumn("title", prefix("text", 60))
+    docs, terms = tfidf.fit_field(docs, "text", "description", "A")
+    words = docs.withColumn("words", X.words(X.clean_text("title")))
+    word_model = vectors.fit_word_vectors(words, "words", size=16, epochs=1)
+    pooled = vectors.pool_words(words, "doc_id", "words", vectors.vector_table(word_model), 16, "w2v")
+    given = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("emb"))
+    joined = vectors.attach_vectors(terms.transform(docs).join(pooled, "doc_id"), given, "doc_id", "emb", 64)
+    ready = joined.select(
+        "doc_id", F.col("n_chars").cast("double").alias("label"),
+        vectors.array_to_vector(F.concat(vectors.vector_to_array("description_tfidf"), "w2v", "emb")).alias("features"),
+    )
+    ready = split.with_folds(materialize(ready, "approaches"), "doc_id")
+    t = len(terms.vocabulary)
+    blocks = {"tfidf": range(t), "word2vec": range(t, t + 16), "sentence": range(t + 16, t + 80)}
+    sets = {name: list(cols) for name, cols in blocks.items()}
+    sets |= {"tfidf_word2vec": sets["tfidf"] + sets["word2vec"], "tfidf_sentence": sets["tfidf"] + sets["sentence"]}
+    summary = metrics.fold_summary(crossval.cross_validate(ready, sets), ["approach", "features"])
+    return importance.ranked(summary, "r2_mean", "approach", 5)
+
+
+QUERIES = {
+    "ridge_model": _one_model("Ridge Regression"),
+    "random_forest": _one_model("Random Forest"),
+    "boosted_trees": _one_model("XGBoost"),
+    "mlp": _one_model("MLP Neural Network"),
+    "compare_models": compare_models,
+    "prediction_points": prediction_points,
+    "train_report": train_report,
+    "top_coefficients": top_coefficients,
+    "tree_importance": tree_importance,
+    "permutation_importance": permutation_importance,
+    "compare_importance": compare_importance,
+    "save_load_score": save_load_score,
+    "compare_approaches": compare_approaches,
+}
+SQL = {
+    "save_load_score": f"""
+WITH rows_ AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, l_extendedprice AS x,
+    l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+fit AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM rows_ WHERE {sql_hash('key')} % 10000 >= 2000 AND y > 0)
+SELECT key AS row_index, round(a * x + b, 2) AS predicted_salary, round(y, 2) AS actual_salary,
+  round(CASE WHEN y <> 0 THEN abs(a * x + b - y) END, 2) AS error
+FROM rows_, fit""",
+}

@@ -11,6 +11,7 @@ from ..functions.cells import prefix, strip
 from ..functions.encoders import one_hot_name_column
 from ..functions.naming import feature_type
 from ..operators import tfidf, vectors
+from ..sources.session import materialize
 from ..sources.tables import spread
 from .base import documents, sql_clean, sql_grams, sql_words, table
 
@@ -131,7 +132,8 @@ def _word_vectors(spark: SparkSession, folder: str, docs: DataFrame) -> DataFram
     corpus = docs.select(F.explode_outer("words").alias("word")).filter(F.col("word").isNotNull())
     known = corpus.distinct().withColumn("code", code).filter(F.col("code") % 4 != 0)
     ids = known.withColumn("vec_id", F.col("code") % given.count())
-    return ids.join(given, "vec_id").select("word", F.col("embedding").cast("array<double>").alias("vec"))
+    found = ids.join(given, "vec_id").select("word", F.col("embedding").cast("array<double>").alias("vec"))
+    return materialize(found, "word-vectors")
 
 
 def word_vector_mean(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,8 +249,9 @@ def batch_embed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word2vec_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Two passes: what grows here is the text, and each further pass costs the same again."""
     docs = documents(spark, folder, "text").select(X.raw_words("text").alias("words"))
-    return vectors.vector_table(vectors.fit_word_vectors(docs, "words")).select(
+    return vectors.vector_table(vectors.fit_word_vectors(docs, "words", epochs=2)).select(
         "word", F.size("vec").cast("bigint").alias("size")
     )
 
