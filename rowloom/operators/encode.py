@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import encoders as E
+from ..sources.session import materialize
 from . import project
 from .lookup import lookup_join, row_bytes
 
@@ -20,9 +21,22 @@ def frequency_table(df: DataFrame, value: Column) -> DataFrame:
     return df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def frequency_encode(df: DataFrame, value: Column, output: str, fit_on: DataFrame | None = None) -> DataFrame:
-    """Add ln(count+1)/ln(total+1) of each row's value; 0 for a value not seen when fitting."""
-    counts = frequency_table(df if fit_on is None else fit_on, value)
+def category_counts(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """(column, value, count) of several categoricals from one scan, written once for reuse."""
+    named = df.select(*[value.alias(name) for name, value in values.items()])
+    counts = named.unpivot([], list(values), "column", "value").groupBy("column", "value")
+    return materialize(counts.agg(F.count(F.lit(1)).alias("count")), "categories")
+
+
+def frequency_encode(
+    df: DataFrame, value: Column, output: str, fit_on: DataFrame | None = None, counts: DataFrame | None = None,
+) -> DataFrame:
+    """Add ln(count+1)/ln(total+1) of each row's value; 0 for a value not seen when fitting.
+
+    ``counts`` (value, count) may come from an earlier fit.
+    """
+    if counts is None:
+        counts = category_counts(df if fit_on is None else fit_on, {output: value}).select("value", "count")
     fitted = counts.agg(F.sum("count").alias("n"), F.sum(row_bytes(counts)).alias("bytes")).first()
     codes = counts.select(
         F.col("value").alias("__value"), E.log_share(F.col("count"), F.lit(fitted["n"] or 0)).alias(output)
@@ -37,12 +51,16 @@ def one_hot_long(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, name.alias("feature"), F.lit(1.0).alias("value"))
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted categories of a column; refuses a column too varied for one column each."""
-    rows = df.select(E.category(column).alias("c")).distinct().limit(WIDEST_ONE_HOT + 1).collect()
+def _few(values: DataFrame, column: str) -> list[str]:
+    rows = values.limit(WIDEST_ONE_HOT + 1).collect()
     if len(rows) > WIDEST_ONE_HOT:
         raise ValueError(f"{column} has over {WIDEST_ONE_HOT} categories; use one_hot_long")
-    return sorted(r["c"] for r in rows)
+    return sorted(r[0] for r in rows)
+
+
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Sorted categories of a column; refuses a column too varied for one column each."""
+    return _few(df.select(E.category(column)).distinct(), column)
 
 
 def one_hot_columns(df: DataFrame, column: str, known: Sequence[str] | None = None) -> list[Column]:
@@ -53,23 +71,28 @@ def one_hot_columns(df: DataFrame, column: str, known: Sequence[str] | None = No
 
 
 def encode_stage(df: DataFrame) -> DataFrame:
-    """All encodings of the model table; raw categoricals and texts are dropped."""
-    kept = project.encoded_columns(df.columns)
-    out, added = df, []
-    for column, scale in fixed.ORDINAL_COLUMNS.items():
-        if column in df.columns:
-            added.append(E.ordinal_code(column, scale).alias(f"{column}_ordinal"))
-    for column in fixed.ONE_HOT_COLUMNS:
-        if column in df.columns:
-            added += one_hot_columns(df, column)
-    frequencies = []
-    for column in fixed.FREQUENCY_COLUMNS:
-        if column in df.columns:
-            value = E.state_code(column) if column == "state" else E.category(column)
-            out = frequency_encode(out, value, f"{column}_frequency", fit_on=df)
-            frequencies.append(F.col(f"{column}_frequency"))
-    binaries = [
-        E.equals_flag(column, value).alias(f"{column}_binary")
-        for column, value in fixed.BINARY_COLUMNS.items() if column in df.columns
+    """All encodings of the model table; raw categoricals and texts are dropped.
+
+    One scan counts the categories of all one-hot and frequency columns.
+    """
+    present = set(df.columns)
+    hot = {c: E.category(c) for c in fixed.ONE_HOT_COLUMNS if c in present}
+    frequent = {
+        c: E.state_code(c) if c == "state" else E.category(c) for c in fixed.FREQUENCY_COLUMNS if c in present
+    }
+    counts = category_counts(df, hot | frequent) if hot or frequent else None
+    added = [
+        E.ordinal_code(c, scale).alias(f"{c}_ordinal") for c, scale in fixed.ORDINAL_COLUMNS.items() if c in present
+    ]
+    for c in hot:
+        known = _few(counts.filter(F.col("column") == c).select("value"), c)
+        added += one_hot_columns(df, c, known)
+    out = df
+    for c, value in frequent.items():
+        fitted = counts.filter(F.col("column") == c).select("value", "count")
+        out = frequency_encode(out, value, f"{c}_frequency", counts=fitted)
+        added.append(F.col(f"{c}_frequency"))
+    added += [
+        E.equals_flag(c, value).alias(f"{c}_binary") for c, value in fixed.BINARY_COLUMNS.items() if c in present
     ]
-    return out.select(*kept, *added, *frequencies, *binaries)
+    return out.select(*project.encoded_columns(df.columns), *added)

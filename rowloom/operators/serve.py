@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.cells import number, number_or_zero, prefix
+from ..sources.session import materialize
 from . import metrics, models, project
 from .split import hash_split
 
@@ -48,7 +49,8 @@ def train(
     df: DataFrame, key: str, features: Sequence[str], target: str, regressor, share: float = fixed.TEST_SHARE,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part; (model, (dataset, rows, mse, rmse, mae, r2, mape))."""
-    typed = models.typed_features(df, features, target, [key])
+    # Fitting and scoring read the rows several times; they are parsed once.
+    typed = materialize(models.typed_features(df, features, target, [key]), "train")
     if not project.enough_rows(typed):
         raise ValueError(f"fewer than {fixed.SMALLEST_SAMPLE} rows have a target above zero")
     training, test = hash_split(typed, key, share)

@@ -57,9 +57,10 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return spread(table(spark, folder, "documents").select("doc_id", *columns))
 
 
-def priced_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with their part: the regression table."""
+def priced_items(spark: SparkSession, folder: str, busy: bool = False) -> DataFrame:
+    """Line items with their part: the regression table. ``busy`` spreads it for costly steps."""
     items = table(spark, folder, "lineitem")
+    items = spread(items) if busy else items
     parts = table(spark, folder, "part").select("p_partkey", "p_retailprice", "p_size")
     return items.join(parts, items["l_partkey"] == parts["p_partkey"])
 

@@ -12,7 +12,6 @@ from ..operators import crossval, encode, importance, metrics, models, serve, sp
 from ..operators.network import NetworkRegressor
 from ..sources.artifacts import load_model, save_model
 from ..sources.session import materialize, new_path
-from ..sources.tables import spread
 from .base import documents, priced_items, sql_hash, table
 
 FLAGS = ("A", "N", "R")
@@ -30,7 +29,7 @@ SMALL_BOOSTING = {"trees": 15, "depth": 5}
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with the numeric and one-hot features of a model of the final charge."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    rows = spread(priced_items(spark, folder).withColumn(TARGET, charge))
+    rows = priced_items(spark, folder, busy=True).withColumn(TARGET, charge)
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     plain = [c for c in FEATURES if not c.startswith("l_returnflag")]
     return rows.select(
@@ -38,10 +37,10 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _split_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _split_items(spark: SparkSession, folder: str, features: list[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
     """Assembled and scaled (train, test); the scaler sees the training part only."""
-    typed = models.typed_features(items(spark, folder), FEATURES, TARGET, ["key"])
-    ready = materialize(models.assemble(typed, FEATURES).select("key", "features", "label"), "items")
+    typed = models.typed_features(items(spark, folder), features, TARGET, ["key"])
+    ready = materialize(models.assemble(typed, features).select("key", "features", "label"), "items")
     train, test = split.hash_split(ready, "key")
     scaler = models.PopulationScaler().fit(train)
     return scaler.transform(train), scaler.transform(test)
@@ -65,6 +64,16 @@ def _one_model(name: str):
     return run
 
 
+def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation row of a one-feature ridge model, which has a closed form."""
+    train, test = _split_items(spark, folder, ["l_extendedprice"])
+    _, row, _ = crossval.evaluate(train, test, "ridge", models.Ridge("scaled"))
+    digits = {c: 6 if "r2" in c or "gap" in c else 3 for c in row.columns}
+    return row.select(*[
+        F.col(c) if c in ("name", "overfitting_status") else F.round(c, digits[c]).alias(c) for c in row.columns
+    ])
+
+
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     """Four models on one split, best test R2 first."""
     _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
@@ -164,6 +173,7 @@ def compare_approaches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "evaluate_ridge": evaluate_ridge,
     "ridge_model": _one_model("Ridge Regression"),
     "random_forest": _one_model("Random Forest"),
     "boosted_trees": _one_model("XGBoost"),
@@ -178,12 +188,26 @@ QUERIES = {
     "save_load_score": save_load_score,
     "compare_approaches": compare_approaches,
 }
-SQL = {
-    "save_load_score": f"""
-WITH rows_ AS (
+SQL_ITEMS = """
+rows_ AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, l_extendedprice AS x,
     l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y
-  FROM lineitem JOIN part ON l_partkey = p_partkey),
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
+"""
+SQL = {
+    "evaluate_ridge": f"""
+WITH {SQL_ITEMS},
+part_ AS (SELECT x, y, {sql_hash('key')} % 10000 < 2000 AS t FROM rows_ WHERE y > 0),
+fit AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my,
+          count(*) * covar_pop(x, y) / stddev_pop(x) / (count(*) + 1) AS w FROM part_ WHERE NOT t),
+p AS (SELECT t, y, my + w * (x - mx) / sx AS p FROM part_, fit),
+s AS (SELECT t, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2 FROM p GROUP BY t)
+SELECT 'ridge' AS name, round(a.rmse, 3) AS train_rmse, round(b.rmse, 3) AS test_rmse, round(a.mae, 3) AS train_mae,
+  round(b.mae, 3) AS test_mae, round(a.r2, 6) AS train_r2, round(b.r2, 6) AS test_r2, round(a.r2 - b.r2, 6) AS overfitting_gap,
+  CASE WHEN a.r2 - b.r2 < 0.05 THEN 'None' WHEN a.r2 - b.r2 < 0.1 THEN 'Mild' WHEN a.r2 - b.r2 < 0.2 THEN 'Moderate' ELSE 'Severe' END AS overfitting_status
+FROM s a JOIN s b ON NOT a.t AND b.t""",
+    "save_load_score": f"""
+WITH {SQL_ITEMS},
 fit AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM rows_ WHERE {sql_hash('key')} % 10000 >= 2000 AND y > 0)
 SELECT key AS row_index, round(a * x + b, 0) AS predicted_salary, round(y, 6) AS actual_salary,
   round(CASE WHEN y <> 0 THEN abs(a * x + b - y) END, 0) AS error

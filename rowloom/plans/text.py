@@ -144,18 +144,24 @@ def word_vector_mean(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sql_mean(text: str) -> str:
+    """Mean word vectors of a text expression; the vectors belong to the words of whole texts."""
+    return f"""
+SELECT doc_id, dim, sum(tf * v) / sum(tf) AS m FROM (
+  SELECT doc_id, tf, unnest(range(0, {SIZE})) AS dim, unnest(embedding)::DOUBLE AS v
+  FROM (SELECT doc_id, word, count(*) AS tf
+        FROM (SELECT doc_id, unnest({sql_words(sql_clean(text))}) AS word FROM documents) GROUP BY ALL)
+  JOIN (SELECT word, embedding FROM (
+          SELECT word, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) AS c
+          FROM (SELECT DISTINCT unnest({sql_words(CLEAN)}) AS word FROM documents)),
+        (SELECT count(*) AS n FROM embeddings) JOIN embeddings ON vec_id = c % n WHERE c % 4 <> 0) USING (word))
+GROUP BY ALL"""
+
+
 SQL_MEAN = f"""
-WITH tok AS (SELECT doc_id, {sql_words(CLEAN)} AS t FROM documents),
-word AS (SELECT doc_id, unnest(t) AS word FROM tok),
-count_ AS (SELECT count(*) AS n FROM embeddings),
-code AS (SELECT word, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) AS c FROM (SELECT DISTINCT word FROM word)),
-vec AS (SELECT word, embedding FROM code, count_ JOIN embeddings ON vec_id = c % n WHERE c % 4 <> 0),
-tf AS (SELECT doc_id, word, count(*) AS tf FROM word GROUP BY ALL),
-cell AS (SELECT doc_id, tf, unnest(range(0, {SIZE})) AS dim, unnest(embedding)::DOUBLE AS v FROM tf JOIN vec USING (word)),
-mean_ AS (SELECT doc_id, dim, sum(tf * v) / sum(tf) AS m FROM cell GROUP BY ALL)
 SELECT d.doc_id, g.dim, round(coalesce(m, 0), 6) AS value
 FROM (SELECT doc_id FROM documents) d, (SELECT unnest(range(0, {SIZE})) AS dim) g
-LEFT JOIN mean_ ON mean_.doc_id = d.doc_id AND mean_.dim = g.dim
+LEFT JOIN ({_sql_mean("text")}) p ON p.doc_id = d.doc_id AND p.dim = g.dim
 """
 
 
@@ -257,15 +263,27 @@ def word2vec_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hybrid_features(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder, "text", "source").withColumn("title", prefix("text", 60))
+    """The non-zero features of two fields: TF-IDF weights and mean word vectors side by side."""
+    docs = documents(spark, folder, "text").withColumn("title", prefix("text", 60))
     held = docs.select("doc_id", X.words(X.clean_text("text")).alias("words"))
     found, names = vectors.hybrid_features(
         docs, "doc_id", {"description": "text", "title": "title"}, _word_vectors(spark, folder, held), SIZE
     )
-    values = vector_to_array("features")
-    return found.select(
-        "doc_id", F.size(values).cast("bigint").alias("width"), F.lit(len(names)).cast("bigint").alias("names"),
+    cells = found.select("doc_id", F.posexplode_outer(vector_to_array("features")).alias("at", "value"))
+    value = F.round("value", 6)
+    return cells.filter(value != 0).select("doc_id", F.lit(names)[F.col("at")].alias("feature"), value.alias("value"))
+
+
+_TITLES = _sql_tfidf("SELECT doc_id, left(text, 60) AS text FROM documents", "doc_id", 1, 50, 3, False)
+SQL_HYBRID = " UNION ALL ".join(
+    f"SELECT doc_id, '{name}_' || f AS feature, round(v, 6) AS value FROM ({rows}) WHERE round(v, 6) <> 0"
+    for name, rows in (
+        ("description", f"WITH {SQL_DOCS} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
+        ("title", f"WITH {_TITLES} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
+        ("description", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean('text')})"),
+        ("title", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean('left(text, 60)')})"),
     )
+)
 
 
 QUERIES = {
@@ -320,4 +338,9 @@ FROM weights WHERE term IN (SELECT term FROM vocab ORDER BY term LIMIT 5)""",
     "vector_expand": SQL_EXPAND,
     "feature_quality": SQL_QUALITY,
     "feature_types": SQL_TYPES,
+    "hybrid_features": SQL_HYBRID,
+    "word2vec_fit": r"""
+SELECT word, 100::BIGINT AS size
+FROM (SELECT unnest(string_split_regex(text, '[\s\x0b]+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word HAVING count(*) >= 5""",
 }

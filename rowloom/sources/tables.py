@@ -72,6 +72,9 @@ def join_blocks(base: DataFrame, blocks: dict[str, DataFrame], choice: FeatureCh
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows only when a scan yields fewer tasks than there are cores."""
+    """Redistribute the rows of a plain scan that yields fewer tasks than there are cores.
+
+    For scans and narrow steps only: counting the tasks of a plan with a shuffle would run it.
+    """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
