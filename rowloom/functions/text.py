@@ -55,10 +55,9 @@ def long_words(cleaned: Column | str, shortest: int = 2) -> Column:
     return F.regexp_extract_all(col(cleaned), F.lit(rf"[a-z0-9]{{{shortest},}}"), F.lit(0))
 
 
-def ngrams(tokens: Column | str, longest: int) -> Column:
-    """All n-grams of 1..longest tokens, joined by a space."""
-    tokens = col(tokens)
-    grams = [tokens]
+def longer_ngrams(tokens: Column | str, longest: int) -> Column:
+    """All n-grams of 2..longest tokens, joined by a space; null where a token is null."""
+    tokens, grams = col(tokens), []
     for n in range(2, longest + 1):
         count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
         joined = F.slice(tokens, F.lit(1), count)
@@ -68,7 +67,12 @@ def ngrams(tokens: Column | str, longest: int) -> Column:
                 lambda left, right: F.concat(left, F.lit(" "), right),
             )
         grams.append(joined)
-    return F.concat(*grams) if len(grams) > 1 else tokens
+    return F.concat(*grams)
+
+
+def ngrams(tokens: Column | str, longest: int) -> Column:
+    """All n-grams of 1..longest tokens, joined by a space."""
+    return F.concat(col(tokens), longer_ngrams(tokens, longest)) if longest > 1 else col(tokens)
 
 
 def first_words(cleaned: Column | str, n: int = fixed.DESCRIPTION_WORDS) -> Column:

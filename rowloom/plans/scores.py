@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands
 from ..operators import crossval, importance, metrics, models, project, serve, split
+from ..sources.tables import spread
 from .base import SQL_PREDICTED, predicted_items, sql_hash, table
 
 # --- splits and scaling -----------------------------------------------------
@@ -26,7 +27,7 @@ def kfold(spark: SparkSession, folder: str) -> DataFrame:
 
 def scale_population(spark: SparkSession, folder: str) -> DataFrame:
     names = ["l_quantity", "l_discount", "l_tax"]
-    items = models.assemble(table(spark, folder, "lineitem").withColumn("one", F.lit(3.0)), [*names, "one"])
+    items = models.assemble(spread(table(spark, folder, "lineitem")).withColumn("one", F.lit(3.0)), [*names, "one"])
     scaled = models.PopulationScaler().fit(items).transform(items)
     cells = models.vector_to_array("scaled")
     return scaled.select(
@@ -36,7 +37,7 @@ def scale_population(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ols_single(spark: SparkSession, folder: str) -> DataFrame:
-    items = models.assemble(table(spark, folder, "lineitem"), ["l_quantity"]).withColumnRenamed("l_extendedprice", "label")
+    items = models.assemble(spread(table(spark, folder, "lineitem")), ["l_quantity"]).withColumnRenamed("l_extendedprice", "label")
     model = models.least_squares().fit(items)
     scores = metrics.regression_metrics(model.transform(items))
     return scores.select(
@@ -47,7 +48,7 @@ def ols_single(spark: SparkSession, folder: str) -> DataFrame:
 
 def ridge(spark: SparkSession, folder: str) -> DataFrame:
     names = ["l_quantity", "l_discount"]
-    items = models.assemble(table(spark, folder, "lineitem"), names).withColumnRenamed("l_extendedprice", "label")
+    items = models.assemble(spread(table(spark, folder, "lineitem")), names).withColumnRenamed("l_extendedprice", "label")
     scaled = models.PopulationScaler().fit(items).transform(items)
     model = models.Ridge("scaled", alpha=1000.0).fit(scaled)
     return models.top_coefficients(model, names).select("feature", F.round("coefficient", 3).alias("coefficient"))

@@ -65,8 +65,8 @@ def concat_text(spark: SparkSession, folder: str) -> DataFrame:
 def tfidf_vocab(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder, "text")
     settings = tfidf.term_settings("description")
-    terms = tfidf.with_terms(docs, "text", "description", "terms")
-    found = tfidf.vocabulary(terms, "terms", docs.count(), **settings)
+    words = docs.select(tfidf.field_tokens("text", "description").alias("words"))
+    found = tfidf.vocabulary(words, "words", docs.count(), **settings)
     return found.select("term", "cf", "df", F.round("idf", 6).alias("idf"))
 
 

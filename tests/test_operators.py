@@ -138,7 +138,7 @@ def test_frequency_and_one_hot(spark):
 
 def test_tfidf_formula(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b a"), (2, "a"), (3, "c"), (4, "")], "id INT, t STRING").filter("id < 4")
-    docs = docs.withColumn("terms", X.words("t"))
+    docs = docs.withColumn("words", X.words("t"))
     model = tfidf.TermWeights(max_features=10, min_df=1, max_df=1.0).fit(docs)
     got = {(r["id"], r["term"]): r["weight"] for r in model.long(docs, "id").collect()}
     assert got == pytest.approx({(1, "a"): 0.835592, (1, "b"): 0.549351, (2, "a"): 1.0, (3, "c"): 1.0}, abs=1e-6)
@@ -158,6 +158,26 @@ def test_terms_need_no_python_and_one_shuffle(spark):
     assert plan.count("regexp_replace(regexp_replace") <= 1
 
 
+@pytest.mark.parametrize("longest", [2, 3])
+@pytest.mark.parametrize("features", [3, 12, 40, 500])
+def test_vocabulary_equals_counting_everything(spark, longest, features):
+    rng = np.random.default_rng(features + longest)
+    texts = [" ".join(f"w{min(int(w), 30)}" for w in rng.zipf(1.4, rng.integers(1, 40))) for _ in range(150)]
+    cf, df = {}, {}
+    for t in texts:
+        w = t.split()
+        grams = [" ".join(w[i:i + n]) for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+        for g in grams:
+            cf[g] = cf.get(g, 0) + 1
+        for g in set(grams):
+            df[g] = df.get(g, 0) + 1
+    kept = sorted((g for g in cf if 3 <= df[g] <= 0.6 * 150), key=lambda g: (-cf[g], g))[:features]
+    docs = spark.createDataFrame([(t,) for t in texts], "t STRING").select(X.words("t").alias("w"))
+    for word_list in (20_000, 2):
+        got = tfidf.vocabulary(docs, "w", 150, features, 3, 0.6, longest, word_list).collect()
+        assert {r["term"]: (r["cf"], r["df"]) for r in got} == {g: (cf[g], df[g]) for g in kept}
+
+
 def test_word_means(spark):
     table = spark.createDataFrame([("u", [1.0, 0.0]), ("v", [0.0, 1.0])], "word STRING, vec ARRAY<FLOAT>")
     docs = spark.createDataFrame([(1, ["u", "u", "v", "zzz"]), (2, ["zzz"]), (3, []), (4, ["V"])], "id INT, w ARRAY<STRING>")
