@@ -2,8 +2,8 @@
 
 ``F.percentile``/``F.median`` keep every distinct value of a group in one buffer, and a global
 ``row_number`` or ``ntile`` puts all rows through one task. Here a mergeable sketch brackets each
-wanted rank, a counting scan makes the bracket exact, and only a bracket of at most ``limit``
-values is ever gathered. Every pass is a scan with partial aggregation and no row shuffle.
+wanted rank, a counting scan makes the bracket exact, and only brackets of at most ``limit``
+values together are ever gathered. Every pass is a scan with partial aggregation and no row shuffle.
 """
 
 from __future__ import annotations
@@ -63,12 +63,18 @@ def order_statistics(
         for rank in sorted(set(wanted[c](counts[c])))
         if 0 <= rank < counts[c]
     ]
-    while open_ := [b for b in brackets if not b.done and b.inside > limit]:
+    while open_ := _too_wide([b for b in brackets if not b.done], limit):
         _narrow(df, open_)
     _gather(df, [b for b in brackets if not b.done])
     return counts, {(b.column, b.rank): b.value for b in brackets}
 
 
+def _too_wide(brackets: list[_Bracket], limit: int) -> list[_Bracket]:
+    """Brackets to shrink further, so that all spans together hold at most ``limit`` values."""
+    spans = {(b.column, b.low, b.high) for b in brackets}
+    return [b for b in brackets if b.inside * len(spans) > limit and b.inside > 1]
+
+
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     """Shrink each bracket to a few thousandths of its rows."""
     spans: dict[tuple, list[_Bracket]] = {}
@@ -114,7 +120,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
 
 
 def _gather(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """Read the ranks off sorted brackets, each of at most ``limit`` values."""
+    """Read the ranks off the sorted brackets."""
     spans: dict[tuple, list[_Bracket]] = {}
     for b in brackets:
         spans.setdefault((b.column, b.low, b.high), []).append(b)
