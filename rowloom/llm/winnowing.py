@@ -27,7 +27,10 @@ _BITS = 29
 _TOP = (1 << _BITS) - 1
 _PRIME = (1 << 31) - 1
 _BASE = 1_000_003
-_NONE = F.array().cast("array<long>")
+
+
+def _none() -> Column:
+    return F.array().cast("array<long>")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,7 +61,7 @@ def _grams(text: Column) -> Column:
     def any_text(binary: Column) -> Column:
         n = (F.octet_length(binary) / 4).cast("int")
         short = F.array(pack(F.pmod(F.xxhash64(binary), F.lit(_PRIME)), F.lit(0)))
-        return F.when(n >= K, long_text(binary, n)).when(n > 0, short).otherwise(_NONE)
+        return F.when(n >= K, long_text(binary, n)).when(n > 0, short).otherwise(_none())
 
     return let(F.encode(text, "UTF-32"), any_text)
 
@@ -109,7 +112,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     n = 4 * parts(spark)
     cuts = documents.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("c")).first()["c"] or []
     cuts = sorted(set(cuts))
-    edges = F.lit(cuts) if cuts else _NONE
+    edges = F.lit(cuts) if cuts else _none()
     bucket = F.size(F.filter(edges, lambda c: c < F.col("doc_id")))
     rows = rows.withColumn("_bucket", bucket)
 
