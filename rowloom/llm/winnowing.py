@@ -5,8 +5,8 @@ rightmost of equal ones, and kept with its position. Two texts that share ``K +
 in a row therefore share a fingerprint. A text shorter than K is one gram; fewer grams than a window are
 one window; an empty text has no fingerprint.
 
-Hashes roll by doubling: grams of 4 code points are hashed once, grams of 8 and 16 follow from two
-neighbours by one multiplication and one addition. Window minima come in two steps of six. All cost is in
+Hashes roll by doubling: runs of 8 code points are hashed once, and a gram of 16 follows from two of them
+by one multiplication and one addition. Window minima come in two steps of six. All cost is in
 proportion to the text's length, and no text is cut.
 """
 
@@ -25,7 +25,7 @@ WINDOW = 36
 #: Hash and position share a long; a text of more than 2**29 code points does not fit into UTF-32.
 _BITS = 29
 _TOP = (1 << _BITS) - 1
-_PRIME = (1 << 31) - 1
+_HASH = (1 << 31) - 1
 _BASE = 1_000_003
 
 
@@ -43,24 +43,20 @@ def _grams(text: Column) -> Column:
     def pack(code: Column, i: Column) -> Column:
         return code * F.lit(1 << _BITS) + (F.lit(_TOP) - i)
 
-    def joined(codes: Column, step: int, base: int) -> Column:
-        return F.transform(codes, lambda x, i: (x * F.lit(base) + F.get(codes, i + step)) % F.lit(_PRIME))
-
-    def fours(binary: Column, n: Column) -> Column:
+    def eights(binary: Column, n: Column) -> Column:
         return F.transform(
-            F.sequence(F.lit(0), n - 4),
-            lambda i: F.pmod(F.xxhash64(F.substring(binary, i * 4 + 1, F.lit(16))), F.lit(_PRIME)),
+            F.sequence(F.lit(0), n - 8),
+            lambda i: F.xxhash64(F.substring(binary, i * 4 + 1, F.lit(32))).bitwiseAND(F.lit(_HASH)),
         )
 
     def long_text(binary: Column, n: Column) -> Column:
-        return let(fours(binary, n), lambda a: let(joined(a, 4, _BASE), lambda b: F.transform(
-            F.slice(b, 1, n - (K - 1)),
-            lambda x, i: pack((x * F.lit(_BASE + 2) + F.get(b, i + 8)) % F.lit(_PRIME), i),
-        )))
+        return let(eights(binary, n), lambda b: F.transform(
+            F.slice(b, 1, n - (K - 1)), lambda x, i: pack((x * F.lit(_BASE) + F.get(b, i + 8)).bitwiseAND(F.lit(_HASH)), i),
+        ))
 
     def any_text(binary: Column) -> Column:
         n = (F.octet_length(binary) / 4).cast("int")
-        short = F.array(pack(F.pmod(F.xxhash64(binary), F.lit(_PRIME)), F.lit(0)))
+        short = F.array(pack(F.xxhash64(binary).bitwiseAND(F.lit(_HASH)), F.lit(0)))
         return F.when(n >= K, long_text(binary, n)).when(n > 0, short).otherwise(_none())
 
     return let(F.encode(text, "UTF-32"), any_text)
