@@ -5,12 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, token_files, warc, winnowing
+from . import bpe, mixing, ngram_join, token_files, warc, winnowing
 from .common import table
 
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, folder, "documents"))
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +34,6 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op8_warc, op9_winnowing, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op5_ngram_join, op6_bpe, op8_warc, op9_winnowing, op10_mixing)}
 
 SQL: dict[str, str] = {}

@@ -32,8 +32,8 @@ from .common import parts, pieces
 MAGIC = b"RWLIDS1\n"
 #: Ids of a file at most, but for the last document of it: what a task holds in memory while it writes.
 IDS_PER_FILE = 8_000_000
-#: Distinct words a worker remembers. Only a cache: any word not in it is encoded anew.
-CACHE_WORDS = 400_000
+#: Distinct words of each of the two generations a worker remembers. Only a cache: others are encoded anew.
+CACHE_WORDS = 250_000
 
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 _BLANK_RUN = re.compile(r" \s|\s \Z")
@@ -73,11 +73,12 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 def to_bytes(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """A file's content."""
-    kinds, where, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((kinds, -counts))
-    rank = np.empty(len(kinds), np.uint32)
-    rank[order] = np.arange(len(kinds), dtype=np.uint32)
-    control, data = pack(rank[where])
+    counts = np.bincount(ids)
+    kinds = np.flatnonzero(counts)
+    order = np.lexsort((kinds, -counts[kinds]))
+    rank = np.zeros(len(counts), np.uint32)
+    rank[kinds[order]] = np.arange(len(kinds), dtype=np.uint32)
+    control, data = pack(rank[ids])
     head = np.array([len(doc_ids), len(ids), len(kinds)], "<u4")
     valid = np.array([x is not None for x in doc_ids], np.uint8)
     keys = np.array([0 if x is None else x for x in doc_ids], "<i8")
@@ -119,42 +120,73 @@ def units(text: str) -> list[str]:
     return ([first] if first else []) + [" " + x for x in found[1:] if x] + ([" "] if len(found) > 1 and not found[-1] else [])
 
 
+def byte_letters() -> list[str]:
+    """The character by which a byte-level vocabulary writes each byte: itself where printable, else one above 255."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+class Cache:
+    """Two generations of values: what has not been asked for during a whole one is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys without a value; afterwards ``new`` has all others."""
+        if len(self.new) + len(keys) > self.size:
+            self.new, self.old = {}, self.new
+        absent = keys.difference(self.new)
+        again = absent.intersection(self.old)
+        self.new.update(zip(again, map(self.old.__getitem__, again)))
+        return list(absent.difference(again))
+
+
 class Encoder:
-    """Whole texts to ids by the tokenizers library, which encodes each distinct unit once per worker."""
+    """Whole texts to ids by the tokenizers library.
+
+    A worker encodes distinct units once: units that are new to it are split by the vocabulary's pattern,
+    and words that are new as well go through the library's BPE model.
+    """
 
     _held: dict[str, Encoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.split = regex.compile(pattern).findall
+        self.letters = str.maketrans(dict(enumerate(byte_letters())))
+        self.units, self.words = Cache(CACHE_WORDS), Cache(CACHE_WORDS)
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, pattern: str) -> Encoder:
         """The worker's encoder, kept between tasks."""
         if path not in cls._held:
-            cls._held[path] = cls(path)
+            cls._held[path] = cls(path, pattern)
         return cls._held[path]
 
+    def _learn(self, units_: list[str]) -> None:
+        cut = [self.split(u) for u in units_]
+        for w in self.words.missing({w for ws in cut for w in ws}):
+            found = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
+            self.words.new[w] = np.array([t.id for t in found], "<u4").tobytes()
+        word = self.words.new.__getitem__
+        self.units.new.update((u, b"".join(map(word, ws))) for u, ws in zip(units_, cut))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [units(x) for x in texts]
-        known = self.known
-        new = list({u for words in cut for u in words if u not in known})
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list({u for words in cut for u in words})
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for u, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[u] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
-
-
-def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0) -> DataFrame:
+        self._learn(self.units.missing(set().union(*cut)))
+        unit = self.units.new.__getitem__
+        return [b"".join(map(unit, us)) for us in cut]
+
+
+def write(documents: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int | None = 0) -> DataFrame:
     """Encode ``text`` and write files below ``folder`` in ascending doc_id order (nulls first).
 
     Returns the manifest, one row per file: path, part, number (order within the part), documents, ids.
@@ -168,7 +200,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int | None
     ordered = rows.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = Encoder.of(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, number = Encoder.of(tokenizer, pattern), TaskContext.get().partitionId(), 0
         keys, held, count = [], [], 0
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
@@ -239,9 +271,9 @@ def read(manifest: DataFrame) -> DataFrame:
     return placed.mapInArrow(load, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def round_trip(documents: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFrame:
+def round_trip(documents: DataFrame, tokenizer: str, pattern: str, end_id: int | None = 0) -> DataFrame:
     """Write the files, read them back, and digest what they hold."""
-    manifest = write(documents, new_path(documents.sparkSession, "ids"), tokenizer, end_id)
+    manifest = write(documents, new_path(documents.sparkSession, "ids"), tokenizer, pattern, end_id)
     return read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
