@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -21,6 +23,15 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def kept(name: str, make: Callable):
+    """What a worker process keeps from task to task. Functions travel by value, so their module's own
+    globals are new in every task."""
+    held = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def crc_text(key: Column) -> Column:
     """crc32 of a number written as text; null counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import materialize
 from . import components
-from .common import parts, pieces
+from .common import kept, parts, pieces
 
 #: Text of one block of documents.
 BLOCK_BYTES = 8 << 20
@@ -44,17 +44,17 @@ GROUP_ENTRIES = 6_000_000
 CACHE_WORDS = 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_words: dict[bytes, int] = {}
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    new = set(words).difference(_words)
-    if len(_words) + len(new) > CACHE_WORDS:
-        _words.clear()
+    known = kept("word hashes", dict)
+    new = set(words).difference(known)
+    if len(known) + len(new) > CACHE_WORDS:
+        known.clear()
         new = set(words)
     for w in new:
-        _words[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+        known[w] = xxhash.xxh3_64_intdigest(w)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

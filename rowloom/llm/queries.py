@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, ngram_join, token_files, warc, winnowing
+import corpus_pipeline
+
+from . import bpe, cotraining, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
 from .common import table
 
 
@@ -13,6 +16,19 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.detect(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.withColumn("n_spans", F.size("spans")).drop("spans")
+
+
+def op3_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    return cotraining.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op4_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return one_bit_codes.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, folder, "documents"))
 
@@ -34,6 +50,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op5_ngram_join, op6_bpe, op8_warc, op9_winnowing, op10_mixing)}
+QUERIES = {
+    f.__name__: f for f in (
+        op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op8_warc,
+        op9_winnowing, op10_mixing,
+    )
+} | {"pipeline": corpus_pipeline.run}
 
 SQL: dict[str, str] = {}

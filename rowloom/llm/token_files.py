@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import materialize, new_path
 from . import files
-from .common import parts, pieces
+from .common import kept, parts, pieces
 
 MAGIC = b"RWLIDS1\n"
 #: Ids of a file at most, but for the last document of it: what a task holds in memory while it writes.
@@ -150,8 +150,6 @@ class Encoder:
     and words that are new as well go through the library's BPE model.
     """
 
-    _held: dict[str, Encoder] = {}
-
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
@@ -166,9 +164,7 @@ class Encoder:
     @classmethod
     def of(cls, path: str, pattern: str) -> Encoder:
         """The worker's encoder, kept between tasks."""
-        if path not in cls._held:
-            cls._held[path] = cls(path, pattern)
-        return cls._held[path]
+        return kept(f"encoder {path}", lambda: cls(path, pattern))
 
     def _learn(self, units_: list[str]) -> None:
         cut = [self.split(u) for u in units_]
