@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, cotraining, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
-from .common import table
+from . import bpe, context_tree, cotraining, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
+from .common import crc_text, table
 
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.score(table(spark, folder, "documents"), crc_text(F.col("doc_id")) % 7 != 2)
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -52,7 +56,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op8_warc,
+        op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op7_context_tree, op8_warc,
         op9_winnowing, op10_mixing,
     )
 } | {"pipeline": corpus_pipeline.run}
