@@ -6,7 +6,7 @@ which each pair of tokens has one possible place each (cuckoo hashing), so a loo
 
 Corpus words are counted first. The most frequent ones, at most ``KNOWN_WORDS``, are encoded once each and
 kept as a literal hash table of bounded size beside the vocabulary itself; it only saves work. Words
-outside it are encoded once per document. Texts are never shuffled, and nothing that grows with the data
+outside it are folded where they stand. Texts are never shuffled, and nothing that grows with the data
 is broadcast. Folding takes steps in proportion to the square of a word's length, so words of more than
 ``LONG_WORD`` bytes (runs without blank, digit or sign changes) are merged by a heap in an Arrow function.
 
@@ -29,7 +29,6 @@ from ..sources.session import materialize
 KNOWN_WORDS = 1 << 18
 KNOWN_WORD_BYTES = 64
 LONG_WORD = 256
-_BUCKETS = 1 << 18
 _P1, _P2 = 524_287, 393_241
 #: A pair of tokens as one number: left times this plus right; no rank is as large.
 _SIDE = 50_333
@@ -110,24 +109,30 @@ def _rank(left: str, right: str) -> str:
 
 
 def fold(word: str) -> str:
-    """SQL of a word's ids: bytes, then one merge per step while a pair has a rank."""
+    """SQL of a word's ids: bytes, then one merge per step while a pair has a rank.
+
+    The state holds the tokens and the rank of each with its successor, of which a merge changes two.
+    """
     start = f"transform(split(decode(cast({word} AS BINARY), 'ISO-8859-1'), ''), c -> bpe_bytes[ascii(c)])"
-    merged = _let("p", "cast(array_position(r, m) AS INT)", (
-        "named_struct('a', concat(slice(s.a, 1, p - 1), array(m), slice(s.a, p + 2, size(s.a))), 'open', true)"
-    ))
-    step = _let("r", f"transform(s.a, (x, i) -> {_rank('x', 'get(s.a, i + 1)')})", _let("m", "array_min(r)", (
-        f"IF(m IS NULL, named_struct('a', s.a, 'open', false), {merged})"
-    )))
-    return _let("a", start, (
-        "IF(size(a) < 2, a, aggregate(sequence(2, size(a)), named_struct('a', a, 'open', true), "
-        f"(s, n) -> IF(s.open, {step}, s), s -> s.a))"
+    merged = _let("p", "cast(array_position(s.r, m) AS INT)", (
+        "named_struct('a', concat(slice(s.a, 1, p - 1), array(m), slice(s.a, p + 2, size(s.a))), "
+        f"'r', concat(slice(s.r, 1, greatest(p - 2, 0)), slice(array({_rank('get(s.a, p - 2)', 'm')}), 1, IF(p > 1, 1, 0)), "
+        f"array({_rank('m', 'get(s.a, p + 1)')}), slice(s.r, p + 2, size(s.r))))"
     ))
+    step = _let("m", "array_min(s.r)", f"IF(m IS NULL, s, {merged})")
+    first = f"named_struct('a', a, 'r', transform(a, (x, i) -> {_rank('x', 'get(a, i + 1)')}))"
+    return _let("a", start, f"IF(size(a) < 2, a, aggregate(sequence(2, size(a)), {first}, (s, n) -> {step}, s -> s.a))")
 
 
 def known(word: str) -> str:
     """SQL of a word's ids if the table has it, else null."""
-    bucket = f"bpe_known[cast(pmod(xxhash64({word}), {_BUCKETS}) AS INT)]"
-    return f"get(filter({bucket}, e -> e.w = {word}), 0).ids"
+    def at(table: str, size: int) -> str:
+        return f"{table}[cast(pmod(h, {size}) AS INT)]"
+
+    first, second = at("bpe_known_first", _P1), at("bpe_known_second", _P2)
+    return _let("h", f"xxhash64({word})", (
+        f"CASE WHEN {first}.w = {word} THEN {first}.ids WHEN {second}.w = {word} THEN {second}.ids END"
+    ))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -197,13 +202,37 @@ def prepare(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_w
             least = row["count"] + 1
             break
     frequent = counts.filter(F.col("count") >= least).select("w", F.expr(fold("w")).alias("ids"))
-    entries = vocabulary.union(frequent).select(F.pmod(F.xxhash64("w"), F.lit(_BUCKETS)).alias("b"), F.struct("w", "ids").alias("e"))
-    buckets = spark.range(_BUCKETS).withColumnRenamed("id", "b").join(entries.groupBy("b").agg(F.collect_list("e").alias("es")), "b", "left")
-    empty = F.expr("cast(array() AS ARRAY<STRUCT<w: STRING, ids: ARRAY<BIGINT>>>)")
-    buckets = buckets.select("b", F.coalesce("es", empty).alias("es"))
-    _set_table(spark, "bpe_known", "ARRAY<ARRAY<STRUCT<w: STRING, ids: ARRAY<BIGINT>>>>", buckets.agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("b", "es"))), lambda x: x["es"]),
-    ))
+    entries = materialize(vocabulary.union(frequent).withColumn("h", F.xxhash64("w")), "known-words")
+    # Only hashes and places pass the driver, one of each per known word.
+    hashes = entries.select("h").distinct().toPandas()["h"].to_numpy(np.int64)
+    for name, size, side in (("bpe_known_first", _P1, 0), ("bpe_known_second", _P2, 1)):
+        places = _places(hashes)[side]
+        used = np.flatnonzero(places >= 0)
+        frame = spark.createDataFrame(pd.DataFrame({"i": used, "h": hashes[places[used]]}))
+        placed = entries.join(frame, "h").groupBy("i").agg(F.min(F.struct("w", "ids")).alias("e"))
+        every = spark.range(size).withColumnRenamed("id", "i").join(placed, "i", "left")
+        _set_table(spark, name, "ARRAY<STRUCT<w: STRING, ids: ARRAY<BIGINT>>>", every.agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("i", "e"))), lambda x: x["e"]),
+        ))
+
+
+def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For both tables, which hash (by position) stands at each place, or -1."""
+    tables = (np.full(_P1, -1, np.int64), np.full(_P2, -1, np.int64))
+    homes = ((hashes % _P1).tolist(), (hashes % _P2).tolist())
+    first, second = (t.tolist() for t in tables)
+    lists = (first, second)
+    for entry in range(len(hashes)):
+        side = 0
+        for _ in range(1_000):
+            at = homes[side][entry]
+            entry, lists[side][at] = lists[side][at], entry
+            if entry < 0:
+                break
+            side = 1 - side
+        else:
+            raise ValueError("too many words for the tables")
+    return np.array(first, np.int64), np.array(second, np.int64)
 
 
 def _is_text(token: bytes) -> bool:
@@ -231,10 +260,8 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_wo
     rows = documents.drop("ids", "_words", "_long").withColumn("_words", split)
     rows = rows.withColumn("_long", F.expr(f"array_distinct(filter(_words, w -> octet_length(w) > {LONG_WORD}))"))
     rows = rows.withColumn("_long", F.arrays_zip(F.col("_long").alias("w"), long_ids("_long").alias("ids")))
-    new = f"filter(array_distinct(ws), w -> octet_length(w) <= {LONG_WORD} AND {known('w')} IS NULL)"
-    one = f"coalesce({known('w')}, get(fs, cast(array_position(ns, w) AS INT) - 1), get(filter(ls, e -> e.w = w), 0).ids)"
-    body = _let("ns", new, _let("fs", f"transform(ns, w -> {fold('w')})", f"flatten(transform(ws, w -> {one}))"))
-    ids = _let("ls", "_long", _let("ws", "_words", body))
+    new = f"IF(octet_length(w) > {LONG_WORD}, get(filter(ls, e -> e.w = w), 0).ids, {fold('w')})"
+    ids = _let("ls", "_long", f"flatten(transform(_words, w -> coalesce({known('w')}, {new})))")
     return rows.withColumn("ids", F.expr(f"cast({ids} AS ARRAY<INT>)")).drop("_words", "_long")
 
 
