@@ -88,46 +88,59 @@ class Tree:
         return np.searchsorted(self.contexts[d - 1], self.contexts[d] >> 8)
 
     def _weigh(self, counts: list[np.ndarray]) -> np.ndarray:
-        """Bottom-up weighted probabilities, then top-down mixtures."""
+        """Bottom-up weighted probabilities, then top-down mixtures.
+
+        Per node and decision, what the mixture needs is its own part (weight times estimate), the weight of
+        what lies below, and the estimate of its contexts that are no nodes. Rows are taken some at a time.
+        """
         deepest = len(counts) - 1
-        zeros, ones = map(list, zip(*(_bits(n) for n in counts)))
-        own_weight, estimate, other, weighted, inner = [], [], [], [None] * (deepest + 1), []
+        own, under, alone = ([None] * (deepest + 1) for _ in range(3))
+        weighted = None
         for d in range(deepest, -1, -1):
-            z, o = zeros[d], ones[d]
-            kt = _log_kt(z, o)
-            if d < deepest and len(counts[d + 1]):
-                parent = self._parents(d + 1)
-                below, bz, bo = np.zeros_like(kt), z.copy(), o.copy()
-                np.add.at(below, parent, weighted[d + 1])
-                np.subtract.at(bz, parent, zeros[d + 1])
-                np.subtract.at(bo, parent, ones[d + 1])
-                below += _log_kt(bz, bo)
-                has = np.zeros(len(z), bool)
-                has[parent] = True
-                both = np.where(has[:, None], np.log(0.5) + np.logaddexp(kt, below), kt)
-                rest = (bo + 0.5) / (bz + bo + 1)
-            else:
-                has, both, rest = np.zeros(len(z), bool), kt, np.full_like(kt, 0.5)
-            weighted[d] = both
-            own_weight.insert(0, np.where(has[:, None], np.exp(np.log(0.5) + kt - both), 1.0))
-            estimate.insert(0, (o + 0.5) / (z + o + 1))
-            other.insert(0, rest)
-            inner.insert(0, has)
-        rows = []
+            rows = len(counts[d])
+            own[d], under[d], alone[d] = (np.zeros((rows, 256), np.float32) for _ in range(3))
+            now = np.zeros((rows, 256))
+            parent = self._parents(d + 1) if d < deepest and len(counts[d + 1]) else np.zeros(0, np.int64)
+            starts = np.searchsorted(parent, np.arange(rows + 1))  # children are sorted by parent
+            for a in range(0, rows, 1_000):
+                b = min(a + 1_000, rows)
+                z, o = _bits(counts[d][a:b])
+                kt = _log_kt(z, o)
+                w, rest = np.ones_like(kt), np.full_like(kt, 0.5)
+                now[a:b] = kt
+                i, j = starts[a], starts[b]
+                if i < j:
+                    which = parent[i:j] - a
+                    cz, co = _bits(counts[d + 1][i:j])
+                    below, bz, bo = np.zeros_like(kt), z.copy(), o.copy()
+                    np.add.at(below, which, weighted[i:j])
+                    np.subtract.at(bz, which, cz)
+                    np.subtract.at(bo, which, co)
+                    below += _log_kt(bz, bo)
+                    has = np.unique(which)
+                    now[a + has] = np.log(0.5) + np.logaddexp(kt[has], below[has])
+                    w[has] = np.exp(np.log(0.5) + kt[has] - now[a + has])
+                    rest = (bo + 0.5) / (bz + bo + 1)
+                own[d][a:b] = w * (o + 0.5) / (z + o + 1)
+                under[d][a:b] = 1 - w
+                alone[d][a:b] = rest
+            weighted = now
+        table = np.zeros((int(self.offsets[-1]), 256), np.float32)
         for d in range(deepest + 1):
-            # The chance of a one at this node if no kept child is met, then the mixture of its ancestors.
-            p = own_weight[d] * estimate[d] + (1 - own_weight[d]) * other[d]
-            node = np.arange(len(p))
-            for up in range(d, 0, -1):
-                node = self._parents(up)[node]
-                w = own_weight[up - 1][node]
-                p = w * estimate[up - 1][node] + (1 - w) * p
-            log = np.zeros((len(p), 512))
-            for j in range(1, 256):
-                log[:, 2 * j] = log[:, j] + np.log10(1 - p[:, j])
-                log[:, 2 * j + 1] = log[:, j] + np.log10(p[:, j])
-            rows.append(log[:, 256:].astype(np.float32))
-        return np.concatenate(rows)
+            for a in range(0, len(counts[d]), 1_000):
+                # A one at this node if no child is met, then the mixture with its ancestors.
+                node = np.arange(a, min(a + 1_000, len(counts[d])))
+                p = own[d][node].astype(float) + under[d][node] * alone[d][node]
+                log = np.zeros((len(node), 512))
+                first = self.offsets[d] + a
+                for up in range(d, 0, -1):
+                    node = self._parents(up)[node]
+                    p = own[up - 1][node] + under[up - 1][node] * p
+                for j in range(1, 256):
+                    log[:, 2 * j] = log[:, j] + np.log10(1 - p[:, j])
+                    log[:, 2 * j + 1] = log[:, j] + np.log10(p[:, j])
+                table[first:first + len(log)] = log[:, 256:]
+        return table
 
     def nodes(self, contexts: np.ndarray) -> np.ndarray:
         """The deepest node of each context (of full depth), as a row of the table."""
@@ -222,13 +235,15 @@ def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share:
     for d in range(1, depth + 1):
         context, byte, count = (np.concatenate(c) for c in zip(*found[d])) if found[d] else (np.zeros(0, np.int64),) * 3
         kinds, where = np.unique(context, return_inverse=True)
+        if d > 1:
+            sums = np.bincount(where, count, len(kinds))
+            good = (sums >= least) & np.isin(kinds >> 8, depths[-1][0])
+            kinds, byte, count, where = kinds[good], byte[good[where]], count[good[where]], (np.cumsum(good) - 1)[where[good[where]]]
         table = np.zeros((len(kinds), 256))
         np.add.at(table, (where, byte.astype(np.int64)), count)
         if d == 1:
             depths.append((np.zeros(1, np.int64), table.sum(0, keepdims=True)))
         good = table.sum(1) >= least
-        if d > 1:
-            good &= np.isin(kinds >> 8, depths[-1][0])
         depths.append((kinds[good], table[good]))
     return Tree(depths, depth)
 
