@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import materialize
+from .common import kept
 
 #: Words of the table that saves work, at most.
 KNOWN_WORDS = 1 << 18
@@ -253,6 +254,7 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_wo
 
     @F.pandas_udf("array<array<bigint>>")
     def long_ids(words: pd.Series) -> pd.Series:
+        kept("nothing", dict)  # what earlier stages left in this worker is not needed any more
         return words.map(lambda ws: [merge_long(w.encode(), ranks) for w in ws])
 
     # Bound by lambdas, not by projections: the optimizer would move those into the lambdas that read them.

@@ -24,12 +24,16 @@ def parts(spark: SparkSession) -> int:
 
 
 def kept(name: str, make: Callable):
-    """What a worker process keeps from task to task. Functions travel by value, so their module's own
-    globals are new in every task."""
-    held = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    """What a worker process keeps from task to task: one thing at a time, the last that was asked for.
+
+    Functions travel by value, so their module's own globals are new in every task.
+    """
+    module = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
+    if getattr(module, "name", None) != name:
+        module.name = module.value = None
+        module.value = make()
+        module.name = name
+    return module.value
 
 
 def crc_text(key: Column) -> Column:

@@ -68,7 +68,7 @@ class Table:
 class Energies:
     """The summed feature weights of words, looked up once per worker while they fit into its memory."""
 
-    def __init__(self, known: dict[bytes, int], weights: np.ndarray, limit: int = 500_000):
+    def __init__(self, known: dict[bytes, int], weights: np.ndarray, limit: int = 250_000):
         self.weight, self.limit = dict(zip(known, weights[list(known.values())].tolist())), limit
         self.words: dict[bytes, float] = {}
 
