@@ -12,6 +12,10 @@ WHITE_SPACE = (
     "         　"
 )
 
+# The same characters inside a regular expression: \s and \S of Java and RE2 know the ASCII ones only.
+_BLANKS = "".join(f"\\x{{{ord(c):x}}}" for c in dict.fromkeys(WHITE_SPACE))
+BLANK, NOT_BLANK = f"[{_BLANKS}]", f"[^{_BLANKS}]"
+
 # Text accepted as a number. Spark's own cast also takes "1d" and "2f" and rejects "1_000".
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 NUMBER_PATTERN = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from .cells import col, strip
+from .cells import BLANK, NOT_BLANK, col, strip
 
 
 def clean_text(c: Column | str) -> Column:
@@ -20,10 +20,10 @@ def clean_text(c: Column | str) -> Column:
     text = F.lower(F.coalesce(col(c), F.lit("")))
     for term, spelled in fixed.TECHNICAL_TERMS:
         text = F.replace(text, F.lit(term), F.lit(spelled))
-    text = F.regexp_replace(text, fixed.URL_PATTERN, "")
+    text = F.regexp_replace(text, fixed.URL_PATTERN.replace(r"\S", NOT_BLANK), "")
     # An address always starts where a run of non-blanks starts, so looking only there gives
     # the same text without trying every position of a long run.
-    text = F.regexp_replace(text, r"(?<!\S)" + fixed.EMAIL_PATTERN, "")
+    text = F.regexp_replace(text, rf"(?<!{NOT_BLANK})" + fixed.EMAIL_PATTERN.replace(r"\S", NOT_BLANK), "")
     return F.trim(F.regexp_replace(text, r"[^a-z0-9]+", " "))
 
 
@@ -34,7 +34,7 @@ def words(cleaned: Column | str) -> Column:
 
 def raw_words(c: Column | str) -> Column:
     """Words of uncleaned text, split at white space."""
-    return F.array_remove(F.split(F.coalesce(col(c), F.lit("")), r"\s+"), "")
+    return F.array_remove(F.split(F.coalesce(col(c), F.lit("")), f"{BLANK}+"), "")
 
 
 def pipe_items(c: Column | str) -> Column:

@@ -82,15 +82,21 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
         spans.setdefault((b.column, b.low, b.high), []).append(b)
     groups = list(spans.values())
     # One sketch per span answers all the ranks wanted from it.
-    sketches = []
+    sketches, bases = [], []
     for i, g in enumerate(groups):
         shares = [(b.rank - b.below + 0.5) / b.inside for b in g]
         around = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-3 / _ACCURACY, 3 / _ACCURACY)]
-        values = F.when(g[0].test(), F.col(g[0].column))
+        # Sketches work in doubles, which cannot tell large neighbouring integers apart: whole numbers are
+        # sketched by their distance from the bracket's end.
+        whole = df.schema[g[0].column].dataType.typeName() in ("byte", "short", "integer", "long")
+        bases.append(g[0].low if whole and g[0].low is not None else 0)
+        value = F.try_subtract(F.col(g[0].column).cast("long"), F.lit(bases[-1]).cast("long")) if whole else F.col(g[0].column)
+        values = F.when(g[0].test(), value)
         sketches.append(F.percentile_approx(values, around, _ACCURACY).alias(f"s{i}"))
     row = df.agg(*sketches).first()
     found = {
-        id(b): row[f"s{i}"][2 * j:2 * j + 2] for i, g in enumerate(groups) for j, b in enumerate(g)
+        id(b): [v + bases[i] if bases[i] else v for v in row[f"s{i}"][2 * j:2 * j + 2]]
+        for i, g in enumerate(groups) for j, b in enumerate(g)
     }
     counters = []
     for i, b in enumerate(brackets):
@@ -103,6 +109,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     counted = df.agg(*counters).first()
     for i, b in enumerate(brackets):
         low, high = found[id(b)]
+        before = b.inside, b.low, b.high
         at = b.rank - b.below
         less, equal_low, between = counted[f"lt{i}"], counted[f"lo{i}"], counted[f"in{i}"]
         equal_high = counted[f"hi{i}"] if high != low else 0
@@ -117,6 +124,8 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
         else:
             passed = less + equal_low + between + equal_high
             b.below, b.low, b.inside = b.below + passed, high, b.inside - passed
+        if not b.done and before == (b.inside, b.low, b.high):
+            raise ArithmeticError(f"the values of {b.column} around rank {b.rank} cannot be told apart")
 
 
 def _gather(df: DataFrame, brackets: list[_Bracket]) -> None:

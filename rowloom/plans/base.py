@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cells import NOT_BLANK
 from ..sources.tables import read_table, spread
 
 # --- SQL fragments ----------------------------------------------------------
@@ -12,9 +13,12 @@ from ..sources.tables import read_table, spread
 
 def sql_clean(e: str) -> str:
     """Text cleaning, step by step."""
+    # The technical terms and the patterns.
     for term, spelled in (("c++", "cplusplus"), ("c#", "csharp"), (".net", "dotnet"), ("node.js", "nodejs")):
         e = f"replace({'lower(' + e + ')' if term == 'c++' else e}, '{term}', '{spelled}')"
-    for pattern, by in ((r"http\S+|www\.\S+", ""), (r"\S+@\S+", ""), (r"[^a-z0-9\s]", " "), (r"\s+", " ")):
+    for pattern, by in (
+        (rf"http{NOT_BLANK}+|www\.{NOT_BLANK}+", ""), (f"{NOT_BLANK}+@{NOT_BLANK}+", ""), (r"[^a-z0-9\s]", " "), (r"\s+", " "),
+    ):
         e = f"regexp_replace({e}, '{pattern}', '{by}', 'g')"
     return f"trim({e})"
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only for a local session."""
+    """The folder named by ``spark.checkpoint.dir``, else one below the session's warehouse."""
     context = spark.sparkContext
     folder = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -17,17 +16,30 @@ def shared_folder(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="rowloom-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path inside the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path inside the shared folder, until ``release``."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this driver has put into the shared folder; call it when no result is read any more."""
+    paths, jvm = list(_written), spark.sparkContext._jvm
+    _written.clear()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -28,6 +28,8 @@ def test_clean_text(spark):
         "@lead a@ x@y@z end": "lead a end",
         "a@b,c d": "d",
         "a\tb\n c": "a b c",
+        "mail me@x.com\u00a0senior engineer": "mail senior engineer",
+        "see www.x.org\u3000here": "see here",
     }
     assert values(spark, list(cases), text.clean_text("c")) == list(cases.values())
 
@@ -36,13 +38,13 @@ def plain_clean(s):
     s = s.lower()
     for a, b in fixed.TECHNICAL_TERMS:
         s = s.replace(a, b)
-    s = re.sub(r"http\S+|www\.\S+", "", s, flags=re.ASCII)
-    s = re.sub(r"\S+@\S+", "", s, flags=re.ASCII)
+    s = re.sub(r"http\S+|www\.\S+", "", s)
+    s = re.sub(r"\S+@\S+", "", s)
     return " ".join(re.sub(r"[^a-z0-9]", " ", s).split())
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.text(alphabet="aB9 @.+#/|-\n\téhttpw:", max_size=60), min_size=40, max_size=40))
+@given(st.lists(st.text(alphabet="aB9 @.+#/|-\n\téhttpw:\u00a0\u2009\u3000\x1c", max_size=60), min_size=40, max_size=40))
 def test_clean_text_properties(spark, inputs):
     once = values(spark, inputs, text.clean_text("c"))
     assert once == [plain_clean(s) for s in inputs]

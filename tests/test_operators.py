@@ -2,11 +2,12 @@
 
 import json
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from rowloom import fixed_values as fixed
@@ -265,6 +266,16 @@ def test_network_learns_saves_and_ignores_partitioning(planted, tmp_path):
     model = make().fit(scaled)
     r2 = metrics.regression_metrics(model.transform(scaled)).first()["r2"]
     assert r2 > 0.95 and model.validation_r2 > 0.9
+    for parts in (1, 7, 40):
+        other = make().fit(scaled.repartition(parts))
+        assert other.weights == pytest.approx(model.weights, abs=1e-9)
+    session = scaled.sparkSession
+    before = session.conf.get("spark.sql.files.maxPartitionBytes")
+    session.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert make().fit(scaled).weights == pytest.approx(model.weights, abs=1e-9)
+    finally:
+        session.conf.set("spark.sql.files.maxPartitionBytes", before)
     path = str(tmp_path / "n")
     Pipeline(stages=[model]).fit(scaled).write().overwrite().save(path)
     again = PipelineModel.load(path)
@@ -372,3 +383,28 @@ def test_stateless_expressions_take_a_stream(spark, tmp_path):
 
 def test_fixed_values_are_consistent():
     assert len(fixed.NON_ESSENTIAL) == 34 and len(fixed.CRITICAL_FIELDS) == 3
+
+
+def test_order_statistics_tell_large_integers_apart(spark):
+    values = [2**60 + 1] * 120 + [2**60 + 3] * 80 + [-(2**62)] * 3 + [2**62 + k for k in range(60)]
+    df = spark.createDataFrame([(v,) for v in values], "v long").repartition(5)
+    ranks = [0, 2, 3, 60, 122, 123, 202, 203, 230, 262]
+    _, got = order_stats.order_statistics(df, {"v": lambda n: ranks}, limit=10)
+    assert [got["v", r] for r in ranks] == [sorted(values)[r] for r in ranks]
+
+
+def test_fold_products_of_many_tasks(spark):
+    rows = [(i % 3, [float(i), float(i * i % 7)], float(3 * i + 1) if i % 10 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "fold int, x array<double>, label double").repartition(2_000)
+    df = df.select("fold", array_to_vector("x").alias("features"), "label")
+    got = crossval.cross_validate(df, {"first": [0], "both": [0, 1]}).collect()
+    assert len(got) == 6 and all(r["r2"] == pytest.approx(1.0) for r in got)
+    assert crossval.cross_validate(df.limit(0), {"first": [0]}).collect() == []
+
+
+def test_release_removes_what_was_written(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", [])
+    written = session.materialize(spark.range(5), "gone")
+    path = session._written[-1]
+    assert os.path.isdir(path) and written.count() == 5
+    assert session.release(spark) >= 1 and not os.path.exists(path)
