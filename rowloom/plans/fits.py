@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.cells import prefix
 from ..functions.encoders import one_hot_name
 from ..operators import crossval, encode, importance, metrics, models, serve, split, tfidf, vectors
 from ..operators.network import NetworkRegressor
@@ -20,10 +19,7 @@ FEATURES = [
     *[one_hot_name("l_returnflag", f) for f in FLAGS],
 ]
 TARGET = "charge"
-# Smaller than the production settings: what grows here is the table, not the model.
-SMALL_NETWORK = {"hidden": (32, 16), "epochs": 6, "patience": 3}
-SMALL_FOREST = {"trees": 20, "depth": 8}
-SMALL_BOOSTING = {"trees": 15, "depth": 5}
+SOLD = ["n_lines", "quantity", "discount", "tax", "p_retailprice", "p_size"]
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,27 +33,48 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _split_items(spark: SparkSession, folder: str, features: list[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
-    """Assembled and scaled (train, test); the scaler sees the training part only."""
-    typed = models.typed_features(items(spark, folder), features, TARGET, ["key"])
+def parts_sold(spark: SparkSession, folder: str) -> DataFrame:
+    """What each part's line items add up to, for a model of the part's total charge."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    rows = priced_items(spark, folder).groupBy(F.col("p_partkey").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
+        F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"), F.max("p_retailprice").alias("p_retailprice"),
+        F.max("p_size").alias("p_size"), F.sum(charge).alias(TARGET),
+    )
+    # Sums of doubles depend on the order of the rows; splits and forests shall not.
+    return rows.select("key", *(F.round(c, 6).alias(c) for c in (*SOLD, TARGET)))
+
+
+def _split(rows: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Assembled and scaled (train, test), written once; the scaler sees the training part only."""
+    typed = models.typed_features(rows, features, TARGET, ["key"])
     ready = materialize(models.assemble(typed, features).select("key", "features", "label"), "items")
     train, test = split.hash_split(ready, "key")
     scaler = models.PopulationScaler().fit(train)
-    return scaler.transform(train), scaler.transform(test)
+    return tuple(materialize(scaler.transform(part), "scaled") for part in (train, test))
+
+
+def _split_items(spark: SparkSession, folder: str, features: list[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
+    return _split(items(spark, folder), features)
+
+
+def _split_sold(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return _split(parts_sold(spark, folder), SOLD)
 
 
 def _estimators() -> dict:
+    """The four models at the production settings."""
     return {
         "Ridge Regression": lambda: models.Ridge("scaled"),
-        "MLP Neural Network": lambda: NetworkRegressor("scaled", **SMALL_NETWORK),
-        "XGBoost": lambda: models.boosting("scaled", **SMALL_BOOSTING),
-        "Random Forest": lambda: models.forest("scaled", **SMALL_FOREST),
+        "MLP Neural Network": lambda: NetworkRegressor("scaled"),
+        "Boosted Trees": lambda: models.boosting("scaled"),
+        "Random Forest": lambda: models.forest("scaled"),
     }
 
 
 def _one_model(name: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        train, test = _split_items(spark, folder)
+        train, test = _split_sold(spark, folder)
         _, row, _ = crossval.evaluate(train, test, name, _estimators()[name]())
         return row
 
@@ -76,15 +93,13 @@ def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
 
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     """Four models on one split, best test R2 first."""
-    _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
+    _, scores, _ = crossval.compare_models(*_split_sold(spark, folder), _estimators())
     return scores
 
 
 def prediction_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Actual and predicted values of the test rows, per model."""
-    train, test = _split_items(spark, folder)
-    fast = {n: m for n, m in _estimators().items() if n in ("Ridge Regression", "Random Forest")}
-    return crossval.compare_models(train, test, fast)[2]
+    """Actual and predicted values of the test rows, for all four models."""
+    return crossval.compare_models(*_split_sold(spark, folder), _estimators())[2]
 
 
 def train_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,18 +121,15 @@ def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compare_importance(spark: SparkSession, folder: str) -> DataFrame:
-    """Importance of every feature in a linear, a tree and a network model, averaged."""
-    train, test = _split_items(spark, folder)
-    made = _estimators()
-    network = made["MLP Neural Network"]().fit(train)
+    """Importance of every feature in all four models, averaged."""
+    train, test = _split_sold(spark, folder)
+    fitted = {name: make().fit(train) for name, make in _estimators().items()}
     parts = [
-        importance.linear_importance(spark, made["Ridge Regression"]().fit(train), FEATURES, "Ridge Regression"),
-        importance.tree_importance(spark, made["XGBoost"]().fit(train), FEATURES, "XGBoost"),
-        importance.tree_importance(spark, made["Random Forest"]().fit(train), FEATURES, "Random Forest"),
-        importance.permutation_importance(network, test, "key", FEATURES, "scaled", name="MLP Neural Network"),
+        importance.linear_importance(spark, fitted["Ridge Regression"], SOLD, "Ridge Regression"),
+        *(importance.tree_importance(spark, fitted[n], SOLD, n) for n in ("Boosted Trees", "Random Forest")),
+        importance.permutation_importance(fitted["MLP Neural Network"], test, "key", SOLD, "scaled", name="MLP Neural Network"),
     ]
-    rows = importance.with_type(importance.union_all(parts), ("l_returnflag_",))
-    return importance.top_features(rows, 30)
+    return importance.top_features(importance.with_type(importance.union_all(parts), ("p_",)), 30)
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,8 +139,8 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tree_importance(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _split_items(spark, folder)
-    return importance.tree_importance(spark, models.forest("scaled", **SMALL_FOREST).fit(train), FEATURES, "forest")
+    train, _ = _split_sold(spark, folder)
+    return importance.tree_importance(spark, models.forest("scaled").fit(train), SOLD, "forest")
 
 
 def save_load_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,11 +164,12 @@ def compare_approaches(spark: SparkSession, folder: str) -> DataFrame:
 
     The target is the length of a document; the vectors are the given ones where a document has one.
     """
-    docs = documents(spark, folder, "text", "n_chars").withColumn("title", prefix("text", 60))
+    docs = documents(spark, folder, "text", "n_chars")
     docs, terms = tfidf.fit_field(docs, "text", "description", "A")
-    words = docs.withColumn("words", X.words(X.clean_text("title")))
-    word_model = vectors.fit_word_vectors(words, "words", size=16, epochs=1)
-    pooled = vectors.pool_words(words, "doc_id", "words", vectors.vector_table(word_model), 16, "w2v")
+    words = materialize(docs.select("doc_id", X.words(X.clean_text("text")).alias("words")), "words")
+    word_model = vectors.fit_word_vectors(words, "words")
+    size = word_model.getVectorSize()
+    pooled = vectors.pool_words(words, "doc_id", "words", vectors.vector_table(word_model), size, "w2v")
     given = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("emb"))
     joined = vectors.attach_vectors(terms.transform(docs).join(pooled, "doc_id"), given, "doc_id", "emb", 64)
     ready = joined.select(
@@ -165,7 +178,7 @@ def compare_approaches(spark: SparkSession, folder: str) -> DataFrame:
     )
     ready = split.with_folds(materialize(ready, "approaches"), "doc_id")
     t = len(terms.vocabulary)
-    blocks = {"tfidf": range(t), "word2vec": range(t, t + 16), "sentence": range(t + 16, t + 80)}
+    blocks = {"tfidf": range(t), "word2vec": range(t, t + size), "sentence": range(t + size, t + size + 64)}
     sets = {name: list(cols) for name, cols in blocks.items()}
     sets |= {"tfidf_word2vec": sets["tfidf"] + sets["word2vec"], "tfidf_sentence": sets["tfidf"] + sets["sentence"]}
     summary = metrics.fold_summary(crossval.cross_validate(ready, sets), ["approach", "features"])
@@ -176,7 +189,7 @@ QUERIES = {
     "evaluate_ridge": evaluate_ridge,
     "ridge_model": _one_model("Ridge Regression"),
     "random_forest": _one_model("Random Forest"),
-    "boosted_trees": _one_model("XGBoost"),
+    "boosted_trees": _one_model("Boosted Trees"),
     "mlp": _one_model("MLP Neural Network"),
     "compare_models": compare_models,
     "prediction_points": prediction_points,

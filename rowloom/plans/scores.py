@@ -63,7 +63,7 @@ def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
     )
     folded = split.with_folds(models.assemble(rows, ["c", "k"]), "o_orderkey")
     found = crossval.cross_validate(folded, {"c": [0], "k": [1], "both": [0, 1]})
-    return found.filter(F.col("approach") != "both").select(
+    return found.select(
         "approach", F.col("fold").cast("bigint").alias("fold"),
         F.round("r2", 6).alias("r2"), F.round("rmse", 3).alias("rmse"), F.round("mae", 3).alias("mae"),
     )
@@ -75,9 +75,18 @@ FROM (SELECT fold, {1} AS x, o_totalprice FROM folds) JOIN (SELECT unnest(range(
 SQL_CV = f"""
 WITH folds AS (SELECT *, ntile(10) OVER (ORDER BY o_orderkey) AS fold FROM orders),
 fits AS ({_CV.format('c', 'o_custkey % 100')} UNION ALL {_CV.format('k', 'o_orderkey % 97')}),
+m AS (
+  SELECT f, avg(c) AS mc, avg(k) AS mk, avg(y) AS my, var_pop(c) AS cc, var_pop(k) AS kk, covar_pop(c, k) AS ck,
+    covar_pop(c, y) AS cy, covar_pop(k, y) AS ky
+  FROM (SELECT fold, (o_custkey % 100)::DOUBLE AS c, (o_orderkey % 97)::DOUBLE AS k, o_totalprice AS y FROM folds)
+  JOIN (SELECT unnest(range(1, 11)) AS f) ON f <> fold GROUP BY f),
 p AS (SELECT approach, fold, o_totalprice AS y,
         a * (CASE approach WHEN 'c' THEN o_custkey % 100 ELSE o_orderkey % 97 END) + b AS p
-      FROM folds JOIN fits ON f = fold)
+      FROM folds JOIN fits ON f = fold
+      UNION ALL
+      SELECT 'both', fold, o_totalprice,
+        my + ((cy * kk - ky * ck) * (o_custkey % 100 - mc) + (ky * cc - cy * ck) * (o_orderkey % 97 - mk)) / (cc * kk - ck * ck)
+      FROM folds JOIN m ON f = fold)
 SELECT approach, fold, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2,
   round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae
 FROM p GROUP BY approach, fold

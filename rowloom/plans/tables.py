@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions import encoders as E
 from ..functions import target as target_functions
-from ..functions.cells import number_or_zero, prefix, strip, to_double, to_double_or_zero
+from ..functions.cells import number_or_zero, strip, to_double, to_double_or_zero
 from ..functions.naming import feature_columns, select_names, table_column_type
 from ..operators import encode, missing, order_stats, profile, project, validate
 from ..sources.session import new_path
@@ -284,8 +284,8 @@ def encode_all(spark: SparkSession, folder: str) -> DataFrame:
 def _rows_to_check(spark: SparkSession, folder: str) -> DataFrame:
     return documents(spark, folder, "text", "lang", "source", "n_chars").select(
         "doc_id",
-        F.substring(F.col("text"), F.lit(1), (F.col("n_chars") % 6).cast("int")).alias("title"),
-        prefix("text", 30).alias("description"),
+        F.when(F.col("n_chars") % 3 == 0, F.col("lang")).otherwise(F.col("source")).alias("title"),
+        F.col("text").alias("description"),
         F.when(F.col("lang") == "de", "n/a").when(F.col("lang") == "fr", (F.col("n_chars") * 500).cast("string"))
         .otherwise((F.col("n_chars") * 50).cast("string")).alias("salary_normalized"),
         "source", F.col("n_chars").cast("string").alias("n_chars"),
@@ -295,7 +295,7 @@ def _rows_to_check(spark: SparkSession, folder: str) -> DataFrame:
 _STRIP = r"regexp_replace(regexp_replace({0}, '^[\s\p{{Z}}]+', ''), '[\s\p{{Z}}]+$', '')"
 SQL_CHECKED = f"""
 raw AS (
-  SELECT doc_id, source, n_chars::VARCHAR AS n_chars, left(text, CAST(n_chars % 6 AS INTEGER)) AS title, left(text, 30) AS description,
+  SELECT doc_id, source, n_chars::VARCHAR AS n_chars, CASE WHEN n_chars % 3 = 0 THEN lang ELSE source END AS title, text AS description,
     CASE lang WHEN 'de' THEN 'n/a' WHEN 'fr' THEN (n_chars * 500)::VARCHAR ELSE (n_chars * 50)::VARCHAR END AS salary_normalized
   FROM documents),
 stripped AS (

@@ -26,7 +26,7 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def tokenize_fields(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder, "text", "lang", "source")
-    listed = F.concat_ws("|", "lang", "source", F.lit(" "), prefix("text", 60))
+    listed = F.concat_ws("|", "lang", "source", F.lit(" "), "text")
     fields = F.array(*[
         F.struct(F.lit(name).alias("field"), X.field_words(c, name).alias("tokens"))
         for name, c in (("description", F.col("text")), ("all_skills", listed))
@@ -255,16 +255,16 @@ def batch_embed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word2vec_fit(spark: SparkSession, folder: str) -> DataFrame:
-    """Two passes: what grows here is the text, and each further pass costs the same again."""
-    docs = documents(spark, folder, "text").select(X.raw_words("text").alias("words"))
-    return vectors.vector_table(vectors.fit_word_vectors(docs, "words", epochs=2)).select(
+    """All passes of the production settings, over words that are split once."""
+    docs = materialize(documents(spark, folder, "text").select(X.raw_words("text").alias("words")), "words")
+    return vectors.vector_table(vectors.fit_word_vectors(docs, "words")).select(
         "word", F.size("vec").cast("bigint").alias("size")
     )
 
 
 def hybrid_features(spark: SparkSession, folder: str) -> DataFrame:
     """The non-zero features of two fields: TF-IDF weights and mean word vectors side by side."""
-    docs = documents(spark, folder, "text").withColumn("title", prefix("text", 60))
+    docs = documents(spark, folder, "text", "lang", "source").withColumn("title", F.concat_ws(" ", "source", "lang", "text"))
     held = docs.select("doc_id", X.words(X.clean_text("text")).alias("words"))
     found, names = vectors.hybrid_features(
         docs, "doc_id", {"description": "text", "title": "title"}, _word_vectors(spark, folder, held), SIZE
@@ -274,14 +274,14 @@ def hybrid_features(spark: SparkSession, folder: str) -> DataFrame:
     return cells.filter(value != 0).select("doc_id", F.lit(names)[F.col("at")].alias("feature"), value.alias("value"))
 
 
-_TITLES = _sql_tfidf("SELECT doc_id, left(text, 60) AS text FROM documents", "doc_id", 1, 50, 3, False)
+_TITLES = _sql_tfidf("SELECT doc_id, source || ' ' || lang || ' ' || text AS text FROM documents", "doc_id", 1, 50, 3, False)
 SQL_HYBRID = " UNION ALL ".join(
     f"SELECT doc_id, '{name}_' || f AS feature, round(v, 6) AS value FROM ({rows}) WHERE round(v, 6) <> 0"
     for name, rows in (
         ("description", f"WITH {SQL_DOCS} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
         ("title", f"WITH {_TITLES} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
         ("description", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean('text')})"),
-        ("title", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean('left(text, 60)')})"),
+        ("title", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean("source || ' ' || lang || ' ' || text")})"),
     )
 )
 
@@ -312,7 +312,7 @@ SQL = {
 WITH f AS (
   SELECT doc_id, 'description' AS field, {sql_words(CLEAN)} AS t FROM documents
   UNION ALL
-  SELECT doc_id, 'all_skills', {sql_words("array_to_string(list_transform(string_split(concat_ws('|', lang, source, ' ', left(text, 60)), '|'), lambda i: " + _ITEM + "), ' ')")}
+  SELECT doc_id, 'all_skills', {sql_words("array_to_string(list_transform(string_split(concat_ws('|', lang, source, ' ', text), '|'), lambda i: " + _ITEM + "), ' ')")}
   FROM documents)
 SELECT doc_id, field, len(t)::BIGINT AS n_tokens, array_to_string(t, ' ') AS tokens FROM f""",
     "ngrams": f"""

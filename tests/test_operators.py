@@ -395,7 +395,7 @@ def test_order_statistics_tell_large_integers_apart(spark):
 
 def test_fold_products_of_many_tasks(spark):
     rows = [(i % 3, [float(i), float(i * i % 7)], float(3 * i + 1) if i % 10 else None) for i in range(60)]
-    df = spark.createDataFrame(rows, "fold int, x array<double>, label double").repartition(2_000)
+    df = spark.createDataFrame(rows, "fold int, x array<double>, label double").repartition(200)
     df = df.select("fold", array_to_vector("x").alias("features"), "label")
     got = crossval.cross_validate(df, {"first": [0], "both": [0, 1]}).collect()
     assert len(got) == 6 and all(r["r2"] == pytest.approx(1.0) for r in got)
