@@ -13,8 +13,6 @@ from ..sources.session import materialize
 from . import project
 from .lookup import lookup_join, row_bytes
 
-WIDEST_ONE_HOT = 10_000
-
 
 def frequency_table(df: DataFrame, value: Column) -> DataFrame:
     """(value, count): counted with map-side combination, so a dominant value is no hot spot."""
@@ -51,16 +49,9 @@ def one_hot_long(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, name.alias("feature"), F.lit(1.0).alias("value"))
 
 
-def _few(values: DataFrame, column: str) -> list[str]:
-    rows = values.limit(WIDEST_ONE_HOT + 1).collect()
-    if len(rows) > WIDEST_ONE_HOT:
-        raise ValueError(f"{column} has over {WIDEST_ONE_HOT} categories; use one_hot_long")
-    return sorted(r[0] for r in rows)
-
-
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted categories of a column; refuses a column too varied for one column each."""
-    return _few(df.select(E.category(column)).distinct(), column)
+    """Sorted categories of a column, each of which becomes a column; ``one_hot_long`` needs no such list."""
+    return sorted(r[0] for r in df.select(E.category(column)).distinct().toLocalIterator())
 
 
 def one_hot_columns(df: DataFrame, column: str, known: Sequence[str] | None = None) -> list[Column]:
@@ -85,7 +76,7 @@ def encode_stage(df: DataFrame) -> DataFrame:
         E.ordinal_code(c, scale).alias(f"{c}_ordinal") for c, scale in fixed.ORDINAL_COLUMNS.items() if c in present
     ]
     for c in hot:
-        known = _few(counts.filter(F.col("column") == c).select("value"), c)
+        known = sorted(r[0] for r in counts.filter(F.col("column") == c).select("value").toLocalIterator())
         added += one_hot_columns(df, c, known)
     out = df
     for c, value in frequent.items():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.naming import feature_type
+from ..sources.session import materialize
 from . import metrics
 from .split import row_hash
 
@@ -19,6 +20,10 @@ from .split import row_hash
 # so windows over a model, or over all rows of such a table, stay small.
 
 
+#: Rows whose values are shuffled among each other.
+PERMUTATION_BLOCK = 4_096
+
+
 def normalized(rows: DataFrame, value: str = "importance") -> DataFrame:
     """Importance divided by its sum within a model; unchanged when the sum is not positive."""
     total = F.sum(value).over(Window.partitionBy("model"))
@@ -42,47 +47,52 @@ def tree_importance(spark, model, names: Sequence[str], label: str) -> DataFrame
 
 def permutation_importance(
     model, df: DataFrame, key: str, names: Sequence[str], features: str = "features", label: str = "label",
-    name: str = "network", rows: int = fixed.PERMUTATION["rows"], repeats: int = fixed.PERMUTATION["repeats"],
+    name: str = "network", rows: int | None = None, repeats: int = fixed.PERMUTATION["repeats"],
     seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Mean loss of R2 when one feature of a row sample is shuffled, normalised.
+    """Mean loss of R2 when one feature is shuffled, normalised; over all rows, or a sample of ``rows``.
 
-    The sample (``rows`` rows, chosen by hash) is the method's own bound and goes to every task.
-    Tasks take (feature, repeat) pairs and build the shuffled rows; any fitted model scores them.
+    Rows fall into blocks of about ``PERMUTATION_BLOCK`` by a hash of their key, and values are shuffled
+    within a block, so a task holds one block and no row passes the driver. Any fitted model scores them.
     """
-    spark = df.sparkSession
-    sample = (
-        df.select(F.col(key).alias("key"), vector_to_array(features).alias("x"), F.col(label).alias("label"))
-        .orderBy(row_hash("key", seed), "key").limit(rows).toPandas()
-    )
-    x, y = np.stack(sample["x"]), sample["label"].to_numpy()
-    shared = spark.sparkContext.broadcast((x, y))
-    width = x.shape[1]
+    code = row_hash("key", seed)
+    chosen = df.select(F.col(key).alias("key"), vector_to_array(features).alias("x"), F.col(label).alias("label"))
+    chosen = chosen.filter(F.col("label").isNotNull())
+    if rows is not None:
+        chosen = chosen.orderBy(code, "key").limit(rows)
+    chosen = materialize(chosen.withColumn("code", code), "permutation")
+    blocks = max(1, -(-chosen.count() // PERMUTATION_BLOCK))
+    width = len(names)
+    chosen = chosen.withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(blocks)))
+    chosen = chosen.repartition("block").sortWithinPartitions("block", "code", "key")
+
+    def shuffled(block: pd.DataFrame):
+        values, number = np.stack(block["x"].to_numpy()), int(block["block"].iloc[0])
+        yield pd.DataFrame({"feature": 0, "repeat": 0, "label": block["label"], "x": list(values)})
+        for feature in range(width):
+            for repeat in range(1, repeats + 1):
+                order = np.random.default_rng([seed, number, feature, repeat]).permutation(len(values))
+                changed = values.copy()
+                changed[:, feature] = values[order, feature]
+                yield pd.DataFrame({"feature": feature, "repeat": repeat, "label": block["label"], "x": list(changed)})
 
     def shuffle(frames):
-        values, labels = shared.value
+        held: list[pd.DataFrame] = []
         for frame in frames:
-            for pair in frame["id"]:
-                feature, repeat = int(pair) % width, int(pair) // width
-                changed = values
-                if repeat:
-                    order = np.random.default_rng([seed, feature, repeat]).permutation(len(values))
-                    changed = values.copy()
-                    changed[:, feature] = values[order, feature]
-                elif feature:
-                    continue
-                yield pd.DataFrame({
-                    "feature": feature, "repeat": repeat, "label": labels, "x": list(changed),
-                })
-
-    # Repeat 0 is the unshuffled sample, scored once.
-    pairs = spark.range(0, width * (repeats + 1), 1, spark.sparkContext.defaultParallelism)
-    grid = pairs.mapInPandas(shuffle, "feature INT, repeat INT, label DOUBLE, x ARRAY<DOUBLE>")
+            for number, part in frame.groupby("block", sort=False):
+                if held and held[0]["block"].iloc[0] != number:
+                    yield from shuffled(pd.concat(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield from shuffled(pd.concat(held))
+
+    grid = chosen.mapInPandas(shuffle, "feature INT, repeat INT, label DOUBLE, x ARRAY<DOUBLE>")
     scored = model.transform(grid.withColumn(features, array_to_vector("x")).drop("x"))
     r2 = metrics.regression_metrics(scored, by=["feature", "repeat"]).select("feature", "repeat", "r2").toPandas()
     base = r2.loc[r2["repeat"] == 0, "r2"].iloc[0]
     drops = base - r2[r2["repeat"] > 0].groupby("feature")["r2"].mean()
-    return normalized(_table(spark, name, names, [drops[i] for i in range(width)]))
+    return normalized(_table(df.sparkSession, name, names, [drops[i] for i in range(width)]))
 
 
 def with_type(rows: DataFrame, prefixes: Sequence[str] | None = None) -> DataFrame:
