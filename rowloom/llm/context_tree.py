@@ -35,7 +35,7 @@ DEPTH = 5
 LEAST_SHARE = 1e-5
 #: Begins and ends a text; no byte of UTF-8.
 END = 0xFF
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -251,7 +251,7 @@ def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share:
 def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFrame:
     """Per run of documents and range of word hashes: distinct words, training counts, and who holds them."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 2 * PIECE_BYTES):
+        for piece in pieces(batches, "text", 3 * PIECE_BYTES):
             data = [(t or "").encode() for t in piece.column(1).to_pylist()]
             words = [t.lower().split() for t in data]
             train = np.array(piece.column(2).to_pylist(), bool)
