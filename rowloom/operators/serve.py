@@ -83,6 +83,12 @@ def score(
     )
 
 
+def score_at(df: DataFrame, row_id: str, k: int, model: PipelineModel, manifest: Sequence[str], target: str | None = None,
+             **labels: str) -> DataFrame:
+    """The prediction report of the row at 0-based position k of ``row_id``; IndexError beyond the table."""
+    return score(project.row_at(df, row_id, k), model, manifest, row_id, target, **labels)
+
+
 def prediction_report(df: DataFrame) -> DataFrame:
     """Add error and percent error; both null when the actual value is missing or 0."""
     known = F.coalesce(F.col("actual") != 0, F.lit(False))

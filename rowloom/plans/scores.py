@@ -46,12 +46,38 @@ def ols_single(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ridge(spark: SparkSession, folder: str) -> DataFrame:
-    names = ["l_quantity", "l_discount"]
+RIDGE = ["l_quantity", "l_discount"]
+
+
+def _ridge(spark: SparkSession, folder: str):
+    names = RIDGE
     items = models.assemble(spread(table(spark, folder, "lineitem")), names).withColumnRenamed("l_extendedprice", "label")
     scaled = models.PopulationScaler().fit(items).transform(items)
-    model = models.Ridge("scaled", alpha=1000.0).fit(scaled)
-    return models.top_coefficients(model, names).select("feature", F.round("coefficient", 3).alias("coefficient"))
+    return models.Ridge("scaled", alpha=1000.0).fit(scaled)
+
+
+def ridge(spark: SparkSession, folder: str) -> DataFrame:
+    found = models.top_coefficients(_ridge(spark, folder), RIDGE)
+    return found.select("feature", F.round("coefficient", 3).alias("coefficient"))
+
+
+def top_by_value(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest coefficient by signed value."""
+    found = models.top_coefficients(_ridge(spark, folder), RIDGE, 1, by_size=False)
+    return found.select("feature", F.round("coefficient", 3).alias("coefficient"))
+
+
+def linear_importance(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.linear_importance(spark, _ridge(spark, folder), RIDGE, "ridge")
+    return found.select("model", "feature", F.round("importance", 6).alias("importance"))
+
+
+def score_row(spark: SparkSession, folder: str) -> DataFrame:
+    """One order, by position, scored by a model of its price from its key."""
+    orders = table(spark, folder, "orders").withColumn("k", (F.col("o_orderkey") % 97).cast("double"))
+    model, _ = serve.train(orders, "o_orderkey", ["k"], "o_totalprice", models.least_squares("scaled"))
+    found = serve.score_at(orders, "o_orderkey", 42, model, ["k"], "o_totalprice", title="o_orderstatus")
+    return found.select("row_index", F.round("predicted_salary", 3).alias("predicted_salary"), "actual_salary", "title")
 
 
 def cross_validate(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,6 +118,13 @@ SELECT approach, fold, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2,
 FROM p GROUP BY approach, fold
 """
 
+SQL_RIDGE = """WITH s AS (SELECT count(*) AS n, corr(l_quantity, l_discount) AS r,
+  covar_pop(l_quantity, l_extendedprice) / stddev_pop(l_quantity) AS a, covar_pop(l_discount, l_extendedprice) / stddev_pop(l_discount) AS b
+  FROM lineitem),
+g AS (SELECT n + 1000.0::DOUBLE AS d, n * r AS o, n * a AS u, n * b AS v FROM s)
+SELECT 'l_quantity' AS feature, round((d * u - o * v) / (d * d - o * o), 3) AS coefficient FROM g
+UNION ALL SELECT 'l_discount', round((d * v - o * u) / (d * d - o * o), 3) FROM g"""
+
 # --- error diagnostics ------------------------------------------------------
 
 
@@ -297,6 +330,9 @@ QUERIES = {
     "scale_population": scale_population,
     "ols_single": ols_single,
     "ridge": ridge,
+    "top_by_value": top_by_value,
+    "linear_importance": linear_importance,
+    "score_row": score_row,
     "cross_validate": cross_validate,
     "regression_metrics": regression_metrics,
     "residuals": residuals,
@@ -340,13 +376,17 @@ FROM lineitem, s""",
     "ols_single": """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept,
   round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""",
-    "ridge": """
-WITH s AS (SELECT count(*) AS n, corr(l_quantity, l_discount) AS r,
-  covar_pop(l_quantity, l_extendedprice) / stddev_pop(l_quantity) AS a, covar_pop(l_discount, l_extendedprice) / stddev_pop(l_discount) AS b
-  FROM lineitem),
-g AS (SELECT n + 1000.0::DOUBLE AS d, n * r AS o, n * a AS u, n * b AS v FROM s)
-SELECT 'l_quantity' AS feature, round((d * u - o * v) / (d * d - o * o), 3) AS coefficient FROM g
-UNION ALL SELECT 'l_discount', round((d * v - o * u) / (d * d - o * o), 3) FROM g""",
+    "ridge": SQL_RIDGE,
+    "top_by_value": f"SELECT * FROM ({SQL_RIDGE}) ORDER BY coefficient DESC, feature LIMIT 1",
+    "linear_importance": f"""
+SELECT 'ridge' AS model, feature, round(abs(c) / sum(abs(c)) OVER (), 6) AS importance
+FROM ({SQL_RIDGE.replace(', 3)', ', 15)').replace('AS coefficient', 'AS c')})""",
+    "score_row": f"""
+WITH fit AS (
+  SELECT regr_slope(o_totalprice, o_orderkey % 97) AS a, regr_intercept(o_totalprice, o_orderkey % 97) AS b
+  FROM orders WHERE {sql_hash("o_orderkey::VARCHAR")} % 10000 >= 2000 AND o_totalprice > 0)
+SELECT o_orderkey AS row_index, round(a * (o_orderkey % 97) + b, 3) AS predicted_salary, o_totalprice AS actual_salary, o_orderstatus AS title
+FROM (SELECT * FROM orders ORDER BY o_orderkey OFFSET 42 LIMIT 1), fit""",
     "cross_validate": SQL_CV,
     "regression_metrics": f"""
 SELECT l_returnflag, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae,

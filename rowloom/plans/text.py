@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.cells import prefix, strip
+from ..functions.cells import fixed_point, prefix, strip
 from ..functions.encoders import one_hot_name_column
 from ..functions.naming import feature_type
 from ..operators import tfidf, vectors
-from ..sources.session import materialize
+from ..sources.artifacts import load_vectors
+from ..sources.session import materialize, new_path
 from ..sources.tables import spread
 from .base import documents, sql_clean, sql_grams, sql_words, table
 
@@ -38,6 +39,10 @@ def tokenize_fields(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fixed_point_export(spark: SparkSession, folder: str) -> DataFrame:
+    return documents(spark, folder, "n_chars").select("doc_id", fixed_point(F.col("n_chars") / 8, 6).alias("eighth"))
+
+
 def ngrams(spark: SparkSession, folder: str) -> DataFrame:
     docs = tfidf.with_terms(documents(spark, folder, "text"), "text", "description", "terms", "A")
     return docs.select("doc_id", F.array_join("terms", "|").alias("terms"))
@@ -137,8 +142,12 @@ def _word_vectors(spark: SparkSession, folder: str, docs: DataFrame) -> DataFram
 
 
 def word_vector_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors are stored and loaded again, as given ones are; words without one are tried in lower case."""
     docs = documents(spark, folder, "text").select("doc_id", X.words(X.clean_text("text")).alias("words"))
-    pooled = vectors.pool_words(docs, "doc_id", "words", _word_vectors(spark, folder, docs), SIZE)
+    path = new_path(spark, "word-vectors")
+    _word_vectors(spark, folder, docs).write.parquet(path)
+    loaded, width = load_vectors(spark, path)
+    pooled = vectors.pool_words(docs, "doc_id", "words", loaded, width, retry_lower=True)
     return vectors.long_vectors(pooled, "doc_id", "vector").select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value")
     )
@@ -289,6 +298,7 @@ SQL_HYBRID = " UNION ALL ".join(
 QUERIES = {
     "clean_text": clean_text,
     "tokenize_fields": tokenize_fields,
+    "fixed_point_export": fixed_point_export,
     "ngrams": ngrams,
     "first_words": first_words,
     "concat_text": concat_text,
@@ -315,6 +325,7 @@ WITH f AS (
   SELECT doc_id, 'all_skills', {sql_words("array_to_string(list_transform(string_split(concat_ws('|', lang, source, ' ', text), '|'), lambda i: " + _ITEM + "), ' ')")}
   FROM documents)
 SELECT doc_id, field, len(t)::BIGINT AS n_tokens, array_to_string(t, ' ') AS tokens FROM f""",
+    "fixed_point_export": "SELECT doc_id, printf('%.6f', n_chars / 8.0::DOUBLE) AS eighth FROM documents",
     "ngrams": f"""
 WITH tok AS (SELECT doc_id, {sql_words(CLEAN, 2)} AS t FROM documents)
 SELECT doc_id, array_to_string({sql_grams('t')}, '|') AS terms FROM tok""",
