@@ -98,6 +98,10 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+#: In place of a rank: the pair makes no token.
+_NO_RANK = 1 << 40
+
+
 def _rank(left: str, right: str) -> str:
     def at(table: str, size: int) -> str:
         return f"{table}[cast(k % {size} AS INT)]"
@@ -105,7 +109,7 @@ def _rank(left: str, right: str) -> str:
     first, second = at("bpe_first", _P1), at("bpe_second", _P2)
     return _let("k", f"{left} * {_SIDE} + {right}", (
         f"CASE WHEN shiftright({first}, {_RANK_BITS}) = k THEN {first} & {(1 << _RANK_BITS) - 1} "
-        f"WHEN shiftright({second}, {_RANK_BITS}) = k THEN {second} & {(1 << _RANK_BITS) - 1} END"
+        f"WHEN shiftright({second}, {_RANK_BITS}) = k THEN {second} & {(1 << _RANK_BITS) - 1} ELSE {_NO_RANK}L END"
     ))
 
 
@@ -115,12 +119,13 @@ def fold(word: str) -> str:
     The state holds the tokens and the rank of each with its successor, of which a merge changes two.
     """
     start = f"transform(split(decode(cast({word} AS BINARY), 'ISO-8859-1'), ''), c -> bpe_bytes[ascii(c)])"
-    merged = _let("p", "cast(array_position(s.r, m) AS INT)", (
-        "named_struct('a', concat(slice(s.a, 1, p - 1), array(m), slice(s.a, p + 2, size(s.a))), "
-        f"'r', concat(slice(s.r, 1, greatest(p - 2, 0)), slice(array({_rank('get(s.a, p - 2)', 'm')}), 1, IF(p > 1, 1, 0)), "
-        f"array({_rank('m', 'get(s.a, p + 1)')}), slice(s.r, p + 2, size(s.r))))"
-    ))
-    step = _let("m", "array_min(s.r)", f"IF(m IS NULL, s, {merged})")
+    tokens = "filter(transform(s.a, (x, i) -> CASE WHEN i = p THEN m WHEN i = p + 1 THEN NULL ELSE x END), x -> x IS NOT NULL)"
+    ranks = (
+        f"filter(transform(s.r, (x, i) -> CASE WHEN i = p - 1 THEN {_rank('get(s.a, p - 1)', 'm')} "
+        f"WHEN i = p THEN {_rank('m', 'get(s.a, p + 2)')} WHEN i = p + 1 THEN NULL ELSE x END), x -> x IS NOT NULL)"
+    )
+    merged = _let("p", "cast(array_position(s.r, m) AS INT) - 1", f"named_struct('a', {tokens}, 'r', {ranks})")
+    step = _let("m", "array_min(s.r)", f"IF(m >= {_NO_RANK}L, s, {merged})")
     first = f"named_struct('a', a, 'r', transform(a, (x, i) -> {_rank('x', 'get(a, i + 1)')}))"
     return _let("a", start, f"IF(size(a) < 2, a, aggregate(sequence(2, size(a)), {first}, (s, n) -> {step}, s -> s.a))")
 
