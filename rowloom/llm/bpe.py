@@ -211,8 +211,7 @@ def prepare(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_w
     entries = materialize(vocabulary.union(frequent).withColumn("h", F.xxhash64("w")), "known-words")
     # Only hashes and places pass the driver, one of each per known word.
     hashes = entries.select("h").distinct().toPandas()["h"].to_numpy(np.int64)
-    for name, size, side in (("bpe_known_first", _P1, 0), ("bpe_known_second", _P2, 1)):
-        places = _places(hashes)[side]
+    for name, size, places in zip(("bpe_known_first", "bpe_known_second"), (_P1, _P2), _places(hashes)):
         used = np.flatnonzero(places >= 0)
         frame = spark.createDataFrame(pd.DataFrame({"i": used, "h": hashes[places[used]]}))
         placed = entries.join(frame, "h").groupBy("i").agg(F.min(F.struct("w", "ids")).alias("e"))
@@ -225,20 +224,18 @@ def prepare(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_w
 def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For both tables, which hash (by position) stands at each place, or -1."""
     tables = (np.full(_P1, -1, np.int64), np.full(_P2, -1, np.int64))
-    homes = ((hashes % _P1).tolist(), (hashes % _P2).tolist())
-    first, second = (t.tolist() for t in tables)
-    lists = (first, second)
+    homes = (hashes % _P1, hashes % _P2)
     for entry in range(len(hashes)):
         side = 0
         for _ in range(1_000):
-            at = homes[side][entry]
-            entry, lists[side][at] = lists[side][at], entry
+            table, at = tables[side], homes[side][entry]
+            entry, table[at] = int(table[at]), entry
             if entry < 0:
                 break
             side = 1 - side
         else:
             raise ValueError("too many words for the tables")
-    return np.array(first, np.int64), np.array(second, np.int64)
+    return tables
 
 
 def _is_text(token: bytes) -> bool:

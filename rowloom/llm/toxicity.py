@@ -142,7 +142,7 @@ class Model:
         self.known, self.weights, self.bias, self.moves, self.document = known, weights, bias, moves, document
 
 
-def _counts(rows: DataFrame, label: str) -> list:
+def _counts(rows: DataFrame, label: str) -> pd.DataFrame:
     """Per feature of the sample: toxic and other documents, and a bitmap of the contexts in toxic ones.
 
     Tasks add up before the shuffle. The bitmap tells a word that toxic documents share from one of a single
@@ -172,7 +172,7 @@ def _counts(rows: DataFrame, label: str) -> list:
 
     rows = rows.select("text", label).mapInArrow(count, "f binary, a long, b long, m long")
     sums = rows.groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.bit_count(F.bit_or("m")).alias("places"))
-    return sums.filter(F.col("a") + F.col("b") >= LEAST_DOCUMENTS).orderBy("f").collect()  # bounded by the sample
+    return sums.filter(F.col("a") + F.col("b") >= LEAST_DOCUMENTS).orderBy("f").toPandas()  # bounded by the sample
 
 
 def _prepared(rows: DataFrame, label: str, shared) -> DataFrame:
@@ -239,13 +239,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, allowed: Column, pe
         share = {(): 0.5, (0,): 0.0, (1,): 1.0}[tuple(classes)]
         return Model({}, np.zeros(0), -5.0, np.full(3, -5.0), np.array([0, 0, 0, 20 * (2 * share - 1)]))
     counts = _counts(rows, label)
-    known = {bytes(r["f"]): i for i, r in enumerate(counts)}
+    known = {bytes(f): i for i, f in enumerate(counts["f"])}
     least = min(TOXIC_DOCUMENTS, max(2, classes[1] // 20))
-    toxic = np.array([
-        r["a"] >= least and r["places"] >= least - 1
-        and (r["a"] + 0.5) / (classes[1] + 1) >= TOXIC_ODDS * (r["b"] + 0.5) / (classes[0] + 1)
-        for r in counts
-    ], bool)
+    a, b, places = (counts[c].to_numpy(float) for c in ("a", "b", "places"))
+    toxic = (a >= least) & (places >= least - 1) & ((a + 0.5) / (classes[1] + 1) >= TOXIC_ODDS * (b + 0.5) / (classes[0] + 1))
     context, size = rows.sparkSession.sparkContext, len(known)
     arrays = _prepared(rows, label, context.broadcast((known, toxic)))
 
