@@ -14,7 +14,7 @@ from ..operators import tfidf, vectors
 from ..sources.artifacts import load_vectors
 from ..sources.session import materialize, new_path
 from ..sources.tables import spread
-from .base import documents, sql_clean, sql_grams, sql_words, table
+from .base import documents, sql_clean, sql_grams, sql_hash, sql_words, table
 
 CLEAN = sql_clean("text")
 
@@ -257,10 +257,10 @@ FROM names GROUP BY 1
 
 
 def batch_embed(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors of the first words of every document from a batch encoder."""
-    docs = documents(spark, folder, "text").select("doc_id", X.first_words(X.clean_text("text")).alias("t"))
-    coded = docs.select("doc_id", vectors.encode_batches("t", vectors.hashing_encoder(SIZE), 64).alias("vector"))
-    return vectors.expand(coded, "vector", [f"desc_emb_{i}" for i in range(SIZE)], 6)
+    """Hashed vectors of the first words of every document."""
+    words = X.words(X.first_words(X.clean_text("text")))
+    docs = documents(spark, folder, "text").select("doc_id", words.alias("words"))
+    return vectors.hashed_words(docs, "doc_id", "words", SIZE).select("doc_id", "dim", F.round("value", 6).alias("value"))
 
 
 def word2vec_fit(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,6 +349,11 @@ FROM weights WHERE term IN (SELECT term FROM vocab ORDER BY term LIMIT 5)""",
     "vector_expand": SQL_EXPAND,
     "feature_quality": SQL_QUALITY,
     "feature_types": SQL_TYPES,
+    "batch_embed": f"""
+WITH w AS (SELECT doc_id, unnest(list_slice({sql_words(CLEAN)}, 1, 500)) AS word FROM documents),
+c AS (SELECT doc_id, {sql_hash('word')} AS code FROM w),
+n AS (SELECT doc_id, code % {SIZE} AS dim, sum(CASE WHEN code // {SIZE} % 2 = 0 THEN 1 ELSE -1 END) AS n FROM c GROUP BY ALL)
+SELECT doc_id, dim, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 6) AS value FROM n WHERE n <> 0""",
     "hybrid_features": SQL_HYBRID,
     "word2vec_fit": r"""
 SELECT word, 100::BIGINT AS size
