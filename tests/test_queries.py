@@ -6,8 +6,9 @@ import pytest
 import __spark_entry__ as driver
 
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
-# Fitted on too few rows at the smallest scale to say anything beyond "it runs".
-ROWS_ONLY = sorted(set(QUERIES) - set(SQL))
+# Fitted on too few rows at the smallest scale to say anything beyond "it runs". Queries of the training-data
+# operators have tests of their own.
+ROWS_ONLY = sorted(n for n in set(QUERIES) - set(SQL) if not n.startswith("op") and n != "pipeline")
 
 
 @pytest.fixture(scope="module")
