@@ -5,11 +5,12 @@ A byte is predicted as eight binary decisions; each decision has its own tree of
 with the product of its children's weighted probabilities, from the leaves up; for prediction the same
 weights mix the estimates of all depths. Scores are thus code lengths of a mixture over all prunings.
 
-Counting is exact and covers all training bytes: tasks count (context, byte) grams of their documents,
-and grams with the same two nearest bytes meet in one task, which sums them up. A context becomes a node if
-it holds at least the share ``LEAST_SHARE`` of the training bytes, so there are at most 1 / LEAST_SHARE
-nodes per depth, however large the corpus; what its other contexts hold stays in their parent as one
-further child. The model is a table of at most DEPTH / LEAST_SHARE + 1 rows, and that is what is broadcast.
+Counting is exact and covers all training bytes, and every context seen at least ``LEAST`` times is a node,
+so the model grows with the corpus. It is never in one place: blocks of documents send their distinct
+(context, byte) grams, with training counts, to ranges of the nearest two bytes (three for frequent pairs),
+and one task per range weighs the nodes below. Only sums per nearest byte and frequent pair reach the
+driver, which weighs the few nodes above. A second pass over the ranges mixes the probabilities of every
+gram that a block asks for and sends them back to it; nothing is broadcast but the nodes above.
 
 The unigram model needs the count of every word of every document. Words travel as blocks: the distinct
 words of a run of documents, per range of word hashes, with the documents that hold them.
@@ -24,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,13 @@ from .common import parts, pieces
 from .ngram_join import word_hashes
 
 DEPTH = 5
-LEAST_SHARE = 1e-5
+#: A context is a node if training saw it so often.
+LEAST = 2
 #: Begins and ends a text; no byte of UTF-8.
 END = 0xFF
 PIECE_BYTES = 2 << 20
+#: Text whose distinct grams travel together.
+BLOCK_BYTES = 4 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +81,7 @@ def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tree:
-    """Nodes by depth: sorted contexts and the table of log10 probabilities of the next byte."""
+    """A small corpus's nodes in one process, by depth: sorted contexts and the table of log10 probabilities of the next byte."""
 
     def __init__(self, depths: list[tuple[np.ndarray, np.ndarray]], depth: int):
         self.depth = depth
@@ -198,13 +203,13 @@ def _count(documents: DataFrame, training: Column, depth: int, buckets: int) ->
     return documents.filter(training).select("text").mapInArrow(work, "bucket int, gram binary, count binary")
 
 
-def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> Tree:
-    """The tree of the training texts. Without any, every byte has probability 1 / 256."""
+def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0) -> Tree:
+    """The tree of a small corpus in one process; ``score`` spreads it over tasks."""
     spark = documents.sparkSession
     total = documents.filter(training).agg(
         F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1), F.lit(0)).alias("n"),
     ).first()["n"]
-    least = max(2.0, least_share * total)
+    least = max(float(LEAST), least_share * total)
     kept = pa.schema([("depth", pa.int32()), ("context", pa.binary()), ("byte", pa.binary()), ("count", pa.binary())])
 
     def reduce(table: pa.Table) -> pa.Table:
@@ -248,6 +253,281 @@ def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share:
     return Tree(depths, depth)
 
 
+def _block_name(ids: list, texts: list[bytes], turn: int) -> str:
+    """The same for a repeated attempt at the same rows, another one for any other block."""
+    digest = xxhash.xxh3_128()
+    for k, t in zip(ids, texts):
+        digest.update(f"{k} {xxhash.xxh3_64_hexdigest(t)} ")
+    context = TaskContext.get()
+    return f"{digest.hexdigest()}-{context.partitionId() if context else 0}-{turn}"
+
+
+def _bucket(gram: np.ndarray, depth: int, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """The range of each gram: by its two nearest bytes, by three for the pairs in ``hot``."""
+    pair, near = gram >> (8 * (depth - 1)), gram >> (8 * (depth - 2))
+    return (np.where(np.isin(pair, hot), near + (1 << 24), pair) * 40_503 % 65_521) % buckets
+
+
+def _hot_pairs(documents: DataFrame, training: Column, buckets: int) -> np.ndarray:
+    """Pairs with more than an average range's bytes, by an eighth of the documents.
+
+    They only decide which task weighs what.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << 16, np.int64)
+        for piece in pieces(batches, "text", PIECE_BYTES):
+            context, _, _ = grams([(t or "").encode() for t in piece.column(0).to_pylist()], 2)
+            held += np.bincount(context, minlength=1 << 16)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(some, pa.int64()), "n": pa.array(held[some], pa.int64())})
+
+    some = documents.filter(training & (F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0)).select("text")
+    found = some.mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # 65,536 rows at most
+    limit = max(100.0, sum(r["n"] for r in found) / buckets)
+    return np.array(sorted(r["pair"] for r in found if r["n"] > limit), np.int64)
+
+
+_GRAMS = pa.schema([
+    ("bucket", pa.int32()), ("block", pa.string()), ("gram", pa.binary()), ("count", pa.binary()), ("info", pa.binary()),
+])
+
+
+def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.ndarray, buckets: int) -> DataFrame:
+    """Per block and range: the block's distinct grams, ascending, as differences, and their training counts.
+
+    A further row per block holds its documents.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for turn, piece in enumerate(pieces(batches, "text", BLOCK_BYTES)):
+            texts = [(t or "").encode() for t in piece.column(1).to_pylist()]
+            block = _block_name(piece.column(0).to_pylist(), texts, turn)
+            context, byte, lengths = grams(texts, depth)
+            key = context << 8 | byte
+            train = np.repeat(np.array(piece.column(2).to_pylist(), bool), lengths)
+            kinds = np.unique(key)
+            seen, number = np.unique(key[train], return_counts=True)
+            count = np.zeros(len(kinds), np.uint32)
+            count[np.searchsorted(kinds, seen)] = number
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, piece.schema) as stream:
+                stream.write_batch(piece)
+            rows = [{"block": block, "info": sink.getvalue().to_pybytes()}]
+            bucket = _bucket(kinds >> 8, depth, hot, buckets)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(ends)):
+                own = order[ends[b]:ends[b + 1]]
+                rows.append({"bucket": int(b), "block": block, "gram": np.diff(kinds[own], prepend=0).tobytes(), "count": count[own].tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+
+    rows = documents.select(F.col("doc_id").cast("long"), "text", F.coalesce(training, F.lit(False)).alias("_t"))
+    return rows.mapInArrow(work, "bucket int, block string, gram binary, count binary, info binary")
+
+
+def _mixed(zeros: np.ndarray, ones: np.ndarray, kin: np.ndarray, below: np.ndarray, bz: np.ndarray, bo: np.ndarray) -> tuple:
+    """Log of the weighted probability, own part, weight of what lies below, and estimate of what is no node.
+
+    ``kin`` says which nodes have nodes below, ``below`` sums their weighted logs, bz and bo count the rest.
+    """
+    kt = _log_kt(zeros, ones)
+    both = np.where(kin, np.log(0.5) + np.logaddexp(kt, below + _log_kt(bz, bo)), kt)
+    w = np.where(kin, np.exp(np.log(0.5) + kt - both), 1.0)
+    return both, w * (ones + 0.5) / (zeros + ones + 1), 1 - w, np.where(kin, (bo + 0.5) / (bz + bo + 1), 0.5)
+
+
+class _Range:
+    """The grams of one range: distinct ones by depth, counts, and which contexts are nodes complete here."""
+
+    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int, hot: np.ndarray):
+        self.depth, self.hot = depth, hot
+        self.keys, self.counts, self.up = {depth: gram}, {depth: count}, {}
+        for d in range(depth - 1, 0, -1):
+            above = self.keys[d + 1]
+            self.keys[d], self.up[d] = np.unique(above >> 16 << 8 | above & 255, return_inverse=True)
+            self.counts[d] = np.bincount(self.up[d], self.counts[d + 1], len(self.keys[d]))
+        # Per key: whether its context is a node that this range weighs, and whether that has nodes below.
+        self.node, self.kin = {}, {}
+        for d in range(depth, 1, -1):
+            run, starts = self.runs(d, 0)
+            full = np.add.reduceat(self.counts[d], starts) >= LEAST if len(starts) else np.zeros(0, bool)
+            if d == 2:
+                full &= ~np.isin(self.keys[2][starts] >> 8, hot)
+            self.node[d] = full[run]
+            if d < depth:
+                self.kin[d] = (np.bincount(run[self.up[d]], self.node[d + 1], len(starts)) > 0)[run]
+            else:
+                self.kin[d] = np.zeros(len(run), bool)
+
+    def runs(self, d: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The decision of each key at a level (bits of the byte already known), and each decision's first key."""
+        same = self.keys[d] >> (8 - level)
+        first = np.ones(len(same), bool)
+        first[1:] = same[1:] != same[:-1]
+        return np.cumsum(first) - 1, np.flatnonzero(first)
+
+    def level(self, level: int) -> Iterator[tuple]:
+        """From the deepest contexts to pairs: depth, decision of each key, first keys, counts and mixture of decisions."""
+        child = None
+        for d in range(self.depth, 1, -1):
+            run, starts = self.runs(d, level)
+            n = self.counts[d]
+            total = np.add.reduceat(n, starts)
+            ones = np.add.reduceat(n * (self.keys[d] >> (7 - level) & 1), starts)
+            zeros = total - ones
+            below, bz, bo = np.zeros(len(starts)), zeros, ones
+            if child is not None:
+                first, z, o, both = child
+                good = self.node[d + 1][first]
+                parent = run[self.up[d][first[good]]]
+                below = np.bincount(parent, both[good], len(starts))
+                bz = zeros - np.bincount(parent, z[good], len(starts))
+                bo = ones - np.bincount(parent, o[good], len(starts))
+            mixture = _mixed(zeros, ones, self.kin[d][starts], below, bz, bo)
+            child = starts, zeros, ones, mixture[0]
+            yield d, run, starts, zeros, ones, mixture
+
+    def partial(self) -> dict[int, np.ndarray]:
+        """What nodes above need: (byte counts, zeros and ones of nodes below, their weighted logs, 1 if any) by context.
+
+        Bytes are known by their number, frequent pairs by theirs and 256.
+        """
+        out: dict[int, np.ndarray] = {}
+        for d in (1, 2):
+            context, byte = self.keys[d] >> 8, self.keys[d] & 255
+            use = np.ones(len(context), bool) if d == 1 else np.isin(context, self.hot)
+            for c in np.unique(context[use]):
+                row = out[int(c) + (256 if d == 2 else 0)] = np.zeros((5, 256))
+                a, b = np.searchsorted(context, (c, c + 1))
+                row[0, byte[a:b]] = self.counts[d][a:b]
+        for level in range(8):
+            for d, _, starts, zeros, ones, mixture in self.level(level):
+                if d > 3:
+                    continue
+                good = self.node[d][starts]
+                if d == 3:
+                    good &= np.isin(self.keys[3][starts] >> 16, self.hot)
+                first = self.keys[d][starts[good]]
+                name = (first >> 16) + (256 if d == 3 else 0)
+                decision = (1 << level) | ((first & 255) >> (8 - level))
+                kinds, which = np.unique(name, return_inverse=True)
+                at = which * 256 + decision
+                for row, value in ((1, zeros), (2, ones), (3, mixture[0]), (4, np.ones(len(starts)))):
+                    sums = np.bincount(at, value[good], len(kinds) * 256).reshape(-1, 256)
+                    for i, c in enumerate(kinds):
+                        out[int(c)][row] += sums[i]
+        return out
+
+    def log10(self, above: dict) -> np.ndarray:
+        """log10 of the mixed probability of each gram's byte, ``above`` holding the nodes above the ranges."""
+        gram = self.keys[self.depth]
+        near, pair = gram >> (8 * self.depth), gram >> (8 * (self.depth - 1))
+        result = np.zeros(len(gram))
+        at = np.minimum(np.searchsorted(self.hot, pair), max(len(self.hot) - 1, 0))
+        hot = self.hot[at] == pair if len(self.hot) else np.zeros(len(gram), bool)
+        for level in range(8):
+            p, met = np.full(len(gram), 0.5), np.zeros(len(gram), bool)
+
+            def climb(node: np.ndarray, own: np.ndarray, under: np.ndarray, alone: np.ndarray) -> None:
+                p[node] = (own + under * np.where(met, p, alone))[node]
+                met[node] = True
+
+            place = np.arange(len(gram))
+            for d, run, _, _, _, (_, own, under, alone) in self.level(level):
+                if d < self.depth:
+                    place = self.up[d][place]
+                where = run[place]
+                climb(self.node[d][place], own[where], under[where], alone[where])
+            decision = (1 << level) | ((gram & 255) >> (8 - level))
+            if hot.any():
+                climb(hot & above["pair_node"][at], *(above["pair"][i, at, decision] for i in range(3)))
+            climb(above["byte_node"][near], *(above["byte"][i, near, decision] for i in range(3)))
+            climb(np.ones(len(gram), bool), *(above["root"][i, 0, decision] for i in range(3)))
+            result += np.log10(np.where(gram >> (7 - level) & 1, p, 1 - p))
+        return result
+
+
+def _range_of(table: pa.Table, depth: int, hot: np.ndarray) -> tuple[_Range, np.ndarray, list[int]]:
+    """The grams of a range, the place of each row's grams among them, and the number of grams of each row."""
+    rows = [np.cumsum(np.frombuffer(g.as_buffer(), np.int64)) for g in table["gram"]]
+    counts = np.concatenate([np.frombuffer(c.as_buffer(), np.uint32) for c in table["count"]])
+    gram, code = np.unique(np.concatenate(rows), return_inverse=True)
+    return _Range(gram, np.bincount(code, counts, len(gram)), depth, hot), code, [len(r) for r in rows]
+
+
+def _above(partials: dict[int, np.ndarray], hot: np.ndarray) -> dict:
+    """Own part, weight below and estimate of no nodes of the root, of all bytes and of the frequent pairs."""
+    def weigh(rows: np.ndarray) -> tuple[np.ndarray, tuple, np.ndarray]:
+        zeros, ones = _bits(rows[:, 0])
+        kin = rows[:, 4].sum(1, keepdims=True) > 0
+        mixture = _mixed(zeros, ones, np.broadcast_to(kin, zeros.shape), rows[:, 3], zeros - rows[:, 1], ones - rows[:, 2])
+        return rows[:, 0].sum(1) >= LEAST, mixture, np.stack([zeros, ones, mixture[0]], axis=1)
+
+    blank = np.zeros((5, 256))
+    pairs = np.stack([partials.get(int(c) + 256, blank) for c in hot]) if len(hot) else np.zeros((0, 5, 256))
+    pair_node, pair, under = weigh(pairs)
+    singles = np.stack([partials.get(c, blank) for c in range(256)])
+    for c, good, row in zip(hot >> 8, pair_node, under):
+        if good:
+            singles[c, 1:4] += row
+            singles[c, 4] += 1
+    byte_node, byte, under = weigh(singles)
+    top = np.zeros((1, 5, 256))
+    top[0, 0] = singles[:, 0].sum(0)
+    top[0, 1:4] = under[byte_node].sum(0)
+    top[0, 4] = byte_node.any()
+    _, root, _ = weigh(top)
+    return {"pair_node": pair_node, "pair": np.stack(pair[1:]), "byte_node": byte_node, "byte": np.stack(byte[1:]), "root": np.stack(root[1:])}
+
+
+def tree_scores(documents: DataFrame, training: Column, depth: int = DEPTH, buckets: int | None = None) -> DataFrame:
+    """_id, _tie, score and _bytes of every row; ``depth`` is 3 or more."""
+    spark = documents.sparkSession
+    buckets = buckets or 4 * parts(spark)
+    hot = _hot_pairs(documents, training, buckets)
+    blocks = materialize(_gram_blocks(documents, training, depth, hot, buckets), "gram-blocks")
+    asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "gram", "count")
+
+    def sums(table: pa.Table) -> pa.Table:
+        found = _range_of(table, depth, hot)[0].partial()
+        return pa.table({"name": pa.array(list(found), pa.int64()), "sums": pa.array([x.tobytes() for x in found.values()], pa.binary())})
+
+    partials: dict[int, np.ndarray] = {}
+    for r in asked.groupBy("bucket").applyInArrow(sums, "name long, sums binary").toLocalIterator():
+        # 256 bytes and the frequent pairs, of which there are fewer than ranges.
+        partials[r["name"]] = partials.get(r["name"], 0) + np.frombuffer(r["sums"]).reshape(5, 256)
+    shared = spark.sparkContext.broadcast(_above(partials, hot))
+
+    def values(table: pa.Table) -> pa.Table:
+        found, code, lengths = _range_of(table, depth, hot)
+        value = np.split(found.log10(shared.value).astype(np.float32)[code], np.cumsum(lengths)[:-1])
+        return pa.table({
+            "block": table["block"], "bucket": table["bucket"], "value": pa.array([v.tobytes() for v in value], pa.binary()),
+            "info": pa.nulls(len(value), pa.binary()),
+        })
+
+    def back(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        with pa.ipc.open_stream(next(r["info"] for r in rows if r["info"] is not None)) as stream:
+            piece = stream.read_all()
+        texts = [(t or "").encode() for t in piece.column(1).to_pylist()]
+        context, byte, lengths = grams(texts, depth)
+        code, kinds = pd.factorize(context << 8 | byte)
+        order = np.argsort(kinds)
+        order = order[np.argsort(_bucket(kinds[order] >> 8, depth, hot, buckets), kind="stable")]
+        value = np.zeros(len(kinds), np.float64)
+        held = sorted((r["bucket"], r["value"]) for r in rows if r["value"] is not None)
+        value[order] = np.frombuffer(b"".join(v for _, v in held), np.float32)
+        return pa.table({
+            "_id": piece.column(0), "_tie": pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()),
+            "score": np.add.reduceat(value[code], np.cumsum(lengths) - lengths), "_bytes": pa.array([len(t) + 1 for t in texts], pa.int64()),
+        })
+
+    kinds = "block string, bucket int, value binary, info binary"
+    answers = asked.groupBy("bucket").applyInArrow(values, kinds)
+    info = blocks.filter("info IS NOT NULL").select("block", "bucket", F.lit(None).cast("binary").alias("value"), "info")
+    return answers.unionByName(info).groupBy("block").applyInArrow(back, "_id long, _tie long, score double, _bytes long")
+
+
 def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFrame:
     """Per run of documents and range of word hashes: distinct words, training counts, and who holds them."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +637,7 @@ def unigram(documents: DataFrame, training: Column) -> DataFrame:
     )
 
 
-def score(documents: DataFrame, training: Column, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> DataFrame:
+def score(documents: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
     """Both models' log10 probabilities of every row, learned from the rows that ``training`` names.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte. Whole texts are
@@ -365,20 +645,7 @@ def score(documents: DataFrame, training: Column, depth: int = DEPTH, least_shar
     included) and a hash of the text, so repeated rows and doc_ids keep their own scores. An empty table
     gives an empty one; without training rows every byte has probability 1 / 256 and N is 0.
     """
-    tree = fit(documents, training, depth, least_share)
-    shared = documents.sparkSession.sparkContext.broadcast((tree.contexts, tree.offsets, tree.table, tree.depth))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tree.__new__(Tree)
-        own.contexts, own.offsets, own.table, own.depth = shared.value
-        for piece in pieces(batches, "text", PIECE_BYTES):
-            texts = [(t or "").encode() for t in piece.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({
-                "_id": piece.column(0), "_tie": pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()),
-                "score": log10_probabilities(own, texts), "_bytes": pa.array([len(t) + 1 for t in texts], pa.int64()),
-            })
-
-    scored = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "_id long, _tie long, score double, _bytes long")
+    scored = tree_scores(documents, training, depth)
     scored = scored.groupBy("_id", "_tie").agg(F.min("score").alias("score"), F.min("_bytes").alias("_bytes"))
     rows = unigram(documents, training)
     joined = rows.join(scored, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["tie"] == F.col("_tie")))

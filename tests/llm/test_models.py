@@ -194,6 +194,27 @@ def test_language_model(spark):
     assert context_tree.score(df.limit(0), F.lit(True)).collect() == []
 
 
+@pytest.mark.parametrize("buckets", [3, 40])
+def test_spread_tree_equals_one_tree(spark, buckets):
+    """Nodes weighed range by range give what one process gives, frequent pairs split or not."""
+    texts = [t or "" for t in brute.texts(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    training = F.col("doc_id") % 7 != 2
+    got = {r["_id"]: r.score for r in context_tree.tree_scores(df, training, 5, buckets).collect()}
+    if buckets == 40:
+        assert len(context_tree._hot_pairs(df, training, buckets))
+    want = context_tree.log10_probabilities(context_tree.fit(df, training), [t.encode() for t in texts])
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want.tolist(), rel=1e-4)
+
+
+def test_rare_context_is_modelled_in_a_large_corpus(spark):
+    """Two occurrences make a node, whatever share of the corpus they are."""
+    rows = [(i, "the same common words again and again " * 400) for i in range(40)] + [(100 + i, "zqxjkvwp") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rare = context_tree.score(df, F.col("doc_id") != 102).filter("doc_id = 102").first()
+    assert rare.bits_per_byte < 4
+
+
 # --- nearest neighbours -----------------------------------------------------
 
 
