@@ -18,7 +18,6 @@ words of a run of documents, per range of word hashes, with the documents that h
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -531,7 +530,7 @@ def tree_scores(documents: DataFrame, training: Column, depth: int = DEPTH, buck
 def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFrame:
     """Per run of documents and range of word hashes: distinct words, training counts, and who holds them."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 3 * PIECE_BYTES):
+        for turn, piece in enumerate(pieces(batches, "text", 3 * PIECE_BYTES)):
             data = [(t or "").encode() for t in piece.column(1).to_pylist()]
             words = [t.lower().split() for t in data]
             train = np.array(piece.column(2).to_pylist(), bool)
@@ -542,7 +541,7 @@ def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFr
             pair, number = np.unique(owner * max(len(kinds), 1) + code, return_counts=True)
             owner, code = pair // max(len(kinds), 1), pair % max(len(kinds), 1)
             bucket = ((kinds >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-            block = uuid.uuid4().hex
+            block = _block_name(piece.column(0).to_pylist(), data, turn)
             info = pa.RecordBatch.from_pydict({
                 "doc_id": piece.column(0), "held_out": pa.array(~train), "n": pa.array(lengths + 1),
                 "tie": pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in data], pa.int64()),

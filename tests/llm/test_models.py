@@ -215,6 +215,15 @@ def test_rare_context_is_modelled_in_a_large_corpus(spark):
     assert rare.bits_per_byte < 4
 
 
+def test_word_blocks_are_named_alike_by_a_repeated_attempt(spark):
+    rows = [(i, t) for i, t in enumerate(brute.texts(30))] + [(None, "x"), (3, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "text")
+    first, again = (
+        sorted(r.block for r in context_tree._word_blocks(df, F.lit(True), 4).filter("info IS NOT NULL").collect()) for _ in range(2)
+    )
+    assert first == again and len(set(first)) == len(first)
+
+
 # --- nearest neighbours -----------------------------------------------------
 
 
