@@ -19,7 +19,6 @@ FEATURES = [
     *[one_hot_name("l_returnflag", f) for f in FLAGS],
 ]
 TARGET = "charge"
-SOLD = ["n_lines", "quantity", "discount", "tax", "p_retailprice", "p_size"]
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,18 +32,6 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def parts_sold(spark: SparkSession, folder: str) -> DataFrame:
-    """What each part's line items add up to, for a model of the part's total charge."""
-    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    rows = priced_items(spark, folder).groupBy(F.col("p_partkey").cast("string").alias("key")).agg(
-        F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
-        F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"), F.max("p_retailprice").alias("p_retailprice"),
-        F.max("p_size").alias("p_size"), F.sum(charge).alias(TARGET),
-    )
-    # Sums of doubles depend on the order of the rows; splits and forests shall not.
-    return rows.select("key", *(F.round(c, 6).alias(c) for c in (*SOLD, TARGET)))
-
-
 def _split(rows: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
     """Assembled and scaled (train, test), written once; the scaler sees the training part only."""
     typed = models.typed_features(rows, features, TARGET, ["key"])
@@ -58,10 +45,6 @@ def _split_items(spark: SparkSession, folder: str, features: list[str] = FEATURE
     return _split(items(spark, folder), features)
 
 
-def _split_sold(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return _split(parts_sold(spark, folder), SOLD)
-
-
 def _estimators() -> dict:
     """The four models at the production settings."""
     return {
@@ -74,7 +57,7 @@ def _estimators() -> dict:
 
 def _one_model(name: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        train, test = _split_sold(spark, folder)
+        train, test = _split_items(spark, folder)
         _, row, _ = crossval.evaluate(train, test, name, _estimators()[name]())
         return row
 
@@ -93,13 +76,13 @@ def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
 
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     """Four models on one split, best test R2 first."""
-    _, scores, _ = crossval.compare_models(*_split_sold(spark, folder), _estimators())
+    _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
     return scores
 
 
 def prediction_points(spark: SparkSession, folder: str) -> DataFrame:
     """Actual and predicted values of the test rows, for all four models."""
-    return crossval.compare_models(*_split_sold(spark, folder), _estimators())[2]
+    return crossval.compare_models(*_split_items(spark, folder), _estimators())[2]
 
 
 def train_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,12 +105,12 @@ def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
 
 def compare_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Importance of every feature in all four models, averaged."""
-    train, test = _split_sold(spark, folder)
+    train, test = _split_items(spark, folder)
     fitted = {name: make().fit(train) for name, make in _estimators().items()}
     parts = [
-        importance.linear_importance(spark, fitted["Ridge Regression"], SOLD, "Ridge Regression"),
-        *(importance.tree_importance(spark, fitted[n], SOLD, n) for n in ("Boosted Trees", "Random Forest")),
-        importance.permutation_importance(fitted["MLP Neural Network"], test, "key", SOLD, "scaled", name="MLP Neural Network"),
+        importance.linear_importance(spark, fitted["Ridge Regression"], FEATURES, "Ridge Regression"),
+        *(importance.tree_importance(spark, fitted[n], FEATURES, n) for n in ("Boosted Trees", "Random Forest")),
+        importance.permutation_importance(fitted["MLP Neural Network"], test, "key", FEATURES, "scaled", name="MLP Neural Network"),
     ]
     return importance.top_features(importance.with_type(importance.union_all(parts), ("p_",)), 30)
 
@@ -139,8 +122,8 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tree_importance(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _split_sold(spark, folder)
-    return importance.tree_importance(spark, models.forest("scaled").fit(train), SOLD, "forest")
+    train, _ = _split_items(spark, folder)
+    return importance.tree_importance(spark, models.forest("scaled").fit(train), FEATURES, "forest")
 
 
 def save_load_score(spark: SparkSession, folder: str) -> DataFrame:
