@@ -2,18 +2,20 @@
 
 The two views share no feature: the text view sees how the words are written, the metadata view sees
 language, source and lengths. Both start from a bounded sample of labelled documents. In each round each
-view labels a pool of unlabelled documents, and what it is surest of joins the training set of the other,
-in the labelled shares of the classes. After the last round both are calibrated on labelled documents that
-neither was fitted on, and their log-odds are combined, weighted by what calibration found.
+view labels all unlabelled documents, and every one it is sure of teaches the other in that round; a class's
+pseudo-labels weigh as much as its labels together, and none more than a label. After the last round both are
+calibrated on labelled documents that neither was fitted on, and their log-odds are combined, weighted by
+what calibration found.
 
-Fitting works on arrays of a bounded number of documents; scoring is a scan of all of them.
+The features of unlabelled documents are written once. Each step of a fit is a scan of them: a task adds up
+gradients and curvatures, the driver solves systems of the size of a view.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,12 +27,11 @@ from ..sources.session import materialize
 from .common import crc_text, pieces
 from .labelled import SAMPLE_PER_CLASS, logistic, sample, sigmoid
 
-#: Unlabelled documents that the views label for each other, at most.
-POOL = 4_000
 ROUNDS = 4
-#: What a view hands over per round, as a share of the pool.
-SHARE = 0.05
+#: A document teaches the other view if its class is at least so likely.
 SURE = 0.9
+#: Steps of a fit, at most, each a scan.
+STEPS = 12
 PIECE_BYTES = 2 << 20
 HASHED = 32
 
@@ -119,9 +120,88 @@ def _features(rows: DataFrame, label: str | None) -> tuple[np.ndarray, np.ndarra
     return x[order, :13], x[order, 13:], found["y"].to_numpy()[order]
 
 
-def _fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-3)
-    return mean, spread, logistic((x - mean) / spread, y, penalty=2.0, weight=_balance(y))
+WIDTHS = (13, 5 + HASHED)
+
+
+def _unlabelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Packed features (floats of 32 bits) of every row whose doc_id has no label, null doc_ids included."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text", PIECE_BYTES):
+            x = np.hstack(_arrays([c.to_pylist() for c in piece.columns[1:]])).astype(np.float32)
+            yield pa.RecordBatch.from_pydict({"doc_id": piece.column(0), "x": pa.array([r.tobytes() for r in x], pa.binary())})
+
+    rows = documents.select("doc_id", "text", "lang", "source", "n_chars").mapInArrow(work, "doc_id long, x binary")
+    return materialize(rows.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").select("x"), "unlabelled")
+
+
+def _added(rows: DataFrame, size: int, add: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``add`` of all rows' features, in batches; a task returns one vector."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += add(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.float32).reshape(-1, sum(WIDTHS)).astype(float))
+        yield pa.RecordBatch.from_pydict({"v": [total.tobytes()]})
+
+    total = np.zeros(size)
+    for r in rows.mapInArrow(work, "v binary").collect():
+        total += np.frombuffer(r["v"])
+    return total
+
+
+def _views(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return x[:, :WIDTHS[0]], x[:, WIDTHS[0]:]
+
+
+def _slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Rows, gradient and curvature of each class, flat; ``x`` ends with ones."""
+    out = []
+    for c in (0, 1):
+        own = x[y == c]
+        p = sigmoid(own @ w)
+        out += [[float(len(own))], own.T @ (p - c), ((own * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ own).ravel()]
+    return np.concatenate(out)
+
+
+def _taught(rows: DataFrame, model: Model, labelled: list[np.ndarray], y: np.ndarray) -> Model:
+    """Both views fitted again: on the labels, and on what the other view of ``model`` is sure of."""
+    sizes = [k + 1 for k in WIDTHS]
+    lengths = [2 * (1 + k + k * k) for k in sizes]
+    weights = [view[2].copy() for view in model.views]
+    scaled = [np.hstack([(x - v[0]) / v[1], np.ones((len(x), 1))]) for x, v in zip(labelled, model.views)]
+    for _ in range(STEPS):
+        now = [w.copy() for w in weights]
+
+        def add(x: np.ndarray) -> np.ndarray:
+            parts = _views(x)
+            out = []
+            for view in (0, 1):
+                p = sigmoid(model.view_odds(1 - view, parts[1 - view]))
+                sure = np.where(p >= SURE, 1, np.where(1 - p >= SURE, 0, -1))
+                mean, spread, _ = model.views[view]
+                own = parts[view][sure >= 0]
+                out.append(_slopes(np.hstack([(own - mean) / spread, np.ones((len(own), 1))]), sure[sure >= 0], now[view]))
+            return np.concatenate(out)
+
+        sums = np.split(_added(rows, sum(lengths), add), [lengths[0]])
+        largest = 0.0
+        for view, k in enumerate(sizes):
+            ridge = np.full(k, 2.0)
+            ridge[-1] = 1e-6
+            gradient, curvature = ridge * weights[view], np.diag(ridge)
+            told = _slopes(scaled[view], y, weights[view]).reshape(2, -1)
+            for c, pseudo in enumerate(sums[view].reshape(2, -1)):
+                half = 0.5 * len(y)
+                label = half / max(told[c, 0], 1.0)
+                total = label * told[c] + min(label, half / max(pseudo[0], 1.0)) * pseudo
+                gradient = gradient + total[1:1 + k]
+                curvature = curvature + total[1 + k:].reshape(k, k)
+            move = np.linalg.solve(curvature, gradient)
+            weights[view] = weights[view] - move * min(1.0, 5 / max(np.abs(move).max(), 1e-12))
+            largest = max(largest, np.abs(move).max())
+        if largest < 1e-6:
+            break
+    return Model([(m, d, w) for (m, d, _), w in zip(model.views, weights)], model.final)
 
 
 def _balance(y: np.ndarray) -> np.ndarray:
@@ -129,7 +209,7 @@ def _balance(y: np.ndarray) -> np.ndarray:
     return np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int = SAMPLE_PER_CLASS, pool: int = POOL) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Both views after co-training, calibrated on a fifth of the sample.
 
     With no labels or one class only, every score is that class's share (one half without labels).
@@ -141,37 +221,27 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, allowed: Column, pe
         share = 0.5 if not len(y) else float(y[0])
         blank = [(np.zeros(k), np.ones(k), np.zeros(k + 1)) for k in (13, 5 + HASHED)]
         return Model(blank, np.array([0, 0, 20 * (2 * share - 1)]))
-    lot = F.xxhash64("doc_id", F.lit(9))
-    chosen = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id").distinct().orderBy(lot, "doc_id").limit(pool)
-    chosen = materialize(chosen, "pool-ids")
-    pool_text, pool_page, _ = _features(documents.join(F.broadcast(chosen), "doc_id", "left_semi"), None)
-
     apart = np.arange(len(y)) % 5 == 0
     if len(set(y[apart].tolist())) < 2 or len(set(y[~apart].tolist())) < 2:
         apart = np.zeros(len(y), bool)
     learn = ~apart
-    sets = [[text[learn], y[learn].astype(float)], [page[learn], y[learn].astype(float)]]
-    pools, left = (pool_text, pool_page), np.ones(len(pool_text), bool)
-    share = y.mean()
-    for r in range(ROUNDS + 1):
-        views = [_fitted(*s) for s in sets]
-        if r == ROUNDS or not left.any():
-            break
-        model = Model(views, np.zeros(3))
-        for view in (0, 1):
-            odds = model.view_odds(view, pools[view])
-            for good in (1, 0):
-                sure = np.flatnonzero(left & ((sigmoid(odds) if good else 1 - sigmoid(odds)) >= SURE))
-                count = math.ceil(SHARE * len(left) * (share if good else 1 - share))
-                best = sure[np.argsort(-odds[sure] if good else odds[sure], kind="stable")[:count]]
-                other = 1 - view
-                sets[other][0] = np.vstack([sets[other][0], pools[other][best]])
-                sets[other][1] = np.concatenate([sets[other][1], np.full(len(best), float(good))])
-                left[best] = False
+    rows = _unlabelled(documents, labels)
+    # Means and spreads of labelled and unlabelled documents together, for all rounds.
+    seen = np.hstack([text[learn], page[learn]])
+    sums = _added(rows, 1 + 2 * seen.shape[1], lambda x: np.concatenate([[float(len(x))], x.sum(0), (x * x).sum(0)]))
+    n = sums[0] + len(seen)
+    one, two = np.split(sums[1:], 2)
+    mean = (one + seen.sum(0)) / n
+    spread = np.maximum(np.sqrt(np.maximum((two + (seen * seen).sum(0)) / n - mean * mean, 0)), 1e-3)
+    views, own = [], y[learn]
+    for x, m, d in zip((text[learn], page[learn]), _views(mean[None]), _views(spread[None])):
+        views.append((m[0], d[0], logistic((x - m[0]) / d[0], own.astype(float), penalty=2.0, weight=_balance(own))))
     model = Model(views, np.zeros(3))
+    for _ in range(ROUNDS if sums[0] else 0):
+        model = _taught(rows, model, [text[learn], page[learn]], own)
     test = apart if apart.any() else learn
     odds = np.stack([model.view_odds(0, text[test]), model.view_odds(1, page[test])], axis=1)
-    return Model(views, logistic(odds, y[test].astype(float), penalty=0.1, weight=_balance(y[test])))
+    return Model(model.views, logistic(odds, y[test].astype(float), penalty=0.1, weight=_balance(y[test])))
 
 
 def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:

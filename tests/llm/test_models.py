@@ -107,6 +107,20 @@ def test_quality(spark, labelled):
     assert set(kept.columns) == set(df.columns) and kept.count() == df.count()
 
 
+def test_cotraining_learns_from_all_unlabelled_rows(spark, labelled):
+    """Every unlabelled row is written for the rounds, repeated and null ids too, and more of them change the model."""
+    documents, labels = labelled
+    known = spark.createDataFrame(labels[:200], LABELS)
+    many = [(10_000 + i, *documents[i % 400][1:]) for i in range(5_000)]
+    few, all_ = (spark.createDataFrame([*documents[:200], *more, *ODD], DOCUMENTS).repartition(3) for more in (many[:4_000], many))
+    rows = cotraining._unlabelled(cotraining._columns(all_), known)
+    assert rows.count() == 5_000 + len(ODD)
+    one = cotraining._added(rows, 1, lambda x: np.array([float(len(x))]))
+    assert one[0] == 5_000 + len(ODD)
+    a, b = (cotraining.fit(df, known, "quality", F.lit(True)) for df in (few, all_))
+    assert any(not np.allclose(v[2], w[2], atol=1e-6) for v, w in zip(a.views, b.views))
+
+
 # --- language model ---------------------------------------------------------
 
 
