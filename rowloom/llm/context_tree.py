@@ -39,7 +39,7 @@ LEAST = 2
 END = 0xFF
 PIECE_BYTES = 2 << 20
 #: Text whose distinct grams travel together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,6 +267,17 @@ def _bucket(gram: np.ndarray, depth: int, hot: np.ndarray, buckets: int) -> np.n
     return (np.where(np.isin(pair, hot), near + (1 << 24), pair) * 40_503 % 65_521) % buckets
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The bytes of an array, place by place, compressed behind their number."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _hot_pairs(documents: DataFrame, training: Column, buckets: int) -> np.ndarray:
     """Pairs with more than an average range's bytes, by an eighth of the documents.
 
@@ -303,12 +314,14 @@ def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.nda
             context, byte, lengths = grams(texts, depth)
             key = context << 8 | byte
             train = np.repeat(np.array(piece.column(2).to_pylist(), bool), lengths)
+            del context, byte
             kinds = np.unique(key)
             seen, number = np.unique(key[train], return_counts=True)
+            del key, train
             count = np.zeros(len(kinds), np.uint32)
             count[np.searchsorted(kinds, seen)] = number
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, piece.schema) as stream:
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
                 stream.write_batch(piece)
             rows = [{"block": block, "info": sink.getvalue().to_pybytes()}]
             bucket = _bucket(kinds >> 8, depth, hot, buckets)
@@ -316,7 +329,7 @@ def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.nda
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(ends)):
                 own = order[ends[b]:ends[b + 1]]
-                rows.append({"bucket": int(b), "block": block, "gram": np.diff(kinds[own], prepend=0).tobytes(), "count": count[own].tobytes()})
+                rows.append({"bucket": int(b), "block": block, "gram": _packed(np.diff(kinds[own], prepend=0)), "count": _packed(count[own])})
             yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
 
     rows = documents.select(F.col("doc_id").cast("long"), "text", F.coalesce(training, F.lit(False)).alias("_t"))
@@ -447,8 +460,8 @@ class _Range:
 
 def _range_of(table: pa.Table, depth: int, hot: np.ndarray) -> tuple[_Range, np.ndarray, list[int]]:
     """The grams of a range, the place of each row's grams among them, and the number of grams of each row."""
-    rows = [np.cumsum(np.frombuffer(g.as_buffer(), np.int64)) for g in table["gram"]]
-    counts = np.concatenate([np.frombuffer(c.as_buffer(), np.uint32) for c in table["count"]])
+    rows = [np.cumsum(_unpacked(g.as_py(), np.int64)) for g in table["gram"]]
+    counts = np.concatenate([_unpacked(c.as_py(), np.uint32) for c in table["count"]])
     gram, code = np.unique(np.concatenate(rows), return_inverse=True)
     return _Range(gram, np.bincount(code, counts, len(gram)), depth, hot), code, [len(r) for r in rows]
 
@@ -500,7 +513,7 @@ def tree_scores(documents: DataFrame, training: Column, depth: int = DEPTH, buck
         found, code, lengths = _range_of(table, depth, hot)
         value = np.split(found.log10(shared.value).astype(np.float32)[code], np.cumsum(lengths)[:-1])
         return pa.table({
-            "block": table["block"], "bucket": table["bucket"], "value": pa.array([v.tobytes() for v in value], pa.binary()),
+            "block": table["block"], "bucket": table["bucket"], "value": pa.array([_packed(v) for v in value], pa.binary()),
             "info": pa.nulls(len(value), pa.binary()),
         })
 
@@ -515,7 +528,7 @@ def tree_scores(documents: DataFrame, training: Column, depth: int = DEPTH, buck
         order = order[np.argsort(_bucket(kinds[order] >> 8, depth, hot, buckets), kind="stable")]
         value = np.zeros(len(kinds), np.float64)
         held = sorted((r["bucket"], r["value"]) for r in rows if r["value"] is not None)
-        value[order] = np.frombuffer(b"".join(v for _, v in held), np.float32)
+        value[order] = np.concatenate([_unpacked(v, np.float32) for _, v in held])
         return pa.table({
             "_id": piece.column(0), "_tie": pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64()),
             "score": np.add.reduceat(value[code], np.cumsum(lengths) - lengths), "_bytes": pa.array([len(t) + 1 for t in texts], pa.int64()),
