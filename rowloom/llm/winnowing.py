@@ -153,9 +153,10 @@ def compare(documents: DataFrame) -> DataFrame:
     fp = fp.withColumn("edited", F.concat(F.substring("text", F.lit(1), cut), F.substring("_next", F.lit(1), n - cut)))
     fp = fp.withColumn("_own", minima(F.col("text")))
     start = F.greatest(cut - back, F.lit(0))
-    tail = let(start, lambda s: F.transform(
+    # A tail without a whole window adds none, unless it is all of the text.
+    tail = let(start, lambda s: F.when((s == 0) | (F.char_length("edited") > s + back), F.transform(
         minima(F.substring(F.col("edited"), s + 1, F.char_length("edited"))), lambda x: x - s,
-    ))
+    )).otherwise(_none()))
     fp = fp.select(
         "doc_id", "_bucket", "_tie", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.array_distinct("_own").alias("_chosen"),

@@ -104,3 +104,14 @@ def test_compare_odd_tables(spark):
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256((("abcdefgh" * 9)[:54] + ("abcdefgh" * 9)[:18]).encode()).hexdigest()
     odd = winnowing.compare(spark.createDataFrame([(None, "x"), (None, "y" * 8), (1, None), (1, None)], ddl)).collect()
     assert len(odd) == 4
+
+
+def test_edited_fingerprint_beside_an_empty_document(spark):
+    """What stays of a text whose next document is empty has the fingerprint of an equal text."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 600, 3):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(80))
+        rows += [(i, text), (i + 1, ""), (i + 2, text[:60])]
+    got = {r.doc_id: r for r in winnowing.compare(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].edited_fingerprint == got[i + 2].fingerprint for i in range(0, 600, 3))
