@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, context_tree, cotraining, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
+from . import bpe, context_tree, cotraining, merkle, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
 from .common import crc_text, table
 
 
@@ -54,11 +54,15 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("copies")
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"), merkle.third(F.col("doc_id")))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op7_context_tree, op8_warc,
-        op9_winnowing, op10_mixing,
+        op9_winnowing, op10_mixing, op11_merkle,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_merkle": merkle.sql()}
