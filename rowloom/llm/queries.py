@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, context_tree, cotraining, merkle, mixing, ngram_join, one_bit_codes, token_files, toxicity, warc, winnowing
+from . import bpe, context_tree, cotraining, licence_scan, merkle, mixing, ngram_join, one_bit_codes, periodic_runs, token_files, toxicity, warc, winnowing
 from .common import crc_text, table
 
 
@@ -58,10 +58,18 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"), merkle.third(F.col("doc_id")))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.summary(table(spark, folder, "documents"), crc_text(F.col("doc_id")))
+
+
+def op13_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan.summary(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op7_context_tree, op8_warc,
-        op9_winnowing, op10_mixing, op11_merkle,
+        op9_winnowing, op10_mixing, op11_merkle, op12_periodic_runs, op13_licence_scan,
     )
 } | {"pipeline": corpus_pipeline.run}
 
