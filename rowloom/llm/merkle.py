@@ -169,7 +169,7 @@ def manifest(documents: DataFrame, tampered: Column) -> DataFrame:
     first in their tree, rows of the same doc_id are ordered by their leaf, and equal rows are all leaves.
     Of an empty table there is no tree. Columns beside those of ``FIELDS`` are not read.
     """
-    found = leaves(documents, tampered)
+    found = materialize(leaves(documents, tampered), "leaves")  # read by the range sampling and by the sort
     order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]
     own = climb(ranked(found, F.col("lang"), order).drop("lang"))
     top_leaves = own.roots.select(F.col("tree").alias("lang"), "hash")
