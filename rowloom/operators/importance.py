@@ -5,23 +5,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.naming import feature_type
 from ..sources.session import materialize
-from . import metrics
 from .split import row_hash
 
 # Importance tables have one row per (model, feature): their size is the number of features,
 # so windows over a model, or over all rows of such a table, stay small.
 
 
-#: Rows whose values are shuffled among each other.
-PERMUTATION_BLOCK = 4_096
+#: Bytes of the rows whose values replace those of other rows; they are sent to every task.
+DONOR_BYTES = 16 << 20
 
 
 def normalized(rows: DataFrame, value: str = "importance") -> DataFrame:
@@ -45,54 +45,143 @@ def tree_importance(spark, model, names: Sequence[str], label: str) -> DataFrame
     return normalized(_table(spark, label, names, model.featureImportances.toArray()))
 
 
+class LinearScorer:
+    """Predictions of a linear model when one feature changes."""
+
+    def __init__(self, coefficients: np.ndarray, intercept: float):
+        self.coefficients, self.intercept = coefficients, intercept
+
+    def start(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(what ``changed`` starts from, predictions)."""
+        p = x @ self.coefficients + self.intercept
+        return p, p
+
+    def changed(self, state: np.ndarray, feature: int, by: np.ndarray) -> np.ndarray:
+        """Predictions of the rows with ``by`` added to one feature."""
+        return state + self.coefficients[feature] * by
+
+
+def scorer(model):
+    """What scores a fitted model's rows inside a task, one changed feature at a time."""
+    if hasattr(model, "scorer"):
+        return model.scorer()
+    if hasattr(model, "coefficients"):
+        return LinearScorer(model.coefficients.toArray(), float(model.intercept))
+    raise TypeError(f"{type(model).__name__} cannot be scored in place; linear models and networks can")
+
+
+def _vectors(rows: DataFrame, features: str, label: str) -> DataFrame:
+    return rows.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), "code").filter(F.col("y").isNotNull())
+
+
+def _arrays(batch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return x, batch.column("y").to_numpy(zero_copy_only=False)
+
+
+def _mixed(code: np.ndarray, repeat: int) -> np.ndarray:
+    """Well-spread numbers from row codes and a repeat."""
+    h = code.astype(np.uint64) + np.uint64(repeat) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def _donors(rows: DataFrame, n: int, width: int) -> np.ndarray:
+    """Feature values of all rows, or of those with the smallest codes, about DONOR_BYTES of them."""
+    most = max(1, DONOR_BYTES // (8 * width))
+    if n > most:
+        # Codes are spread evenly over the longs; the margin keeps the pool from being empty.
+        rows = rows.filter(F.col("code") < -(1 << 63) + ((1 << 64) - 1) * min(most + 10, n) // n)
+    found = rows.select("x", "code").toArrow()
+    x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    order = np.lexsort((*x.T[::-1], found["code"].to_numpy())) if width <= 32 else np.argsort(found["code"].to_numpy(), kind="stable")
+    return x[order]
+
+
 def permutation_importance(
     model, df: DataFrame, key: str, names: Sequence[str], features: str = "features", label: str = "label",
     name: str = "network", rows: int | None = None, repeats: int = fixed.PERMUTATION["repeats"],
     seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Mean loss of R2 when one feature is shuffled, normalised; over all rows, or a sample of ``rows``.
+    """Mean loss of R2 when one feature's values come from other rows, normalised; over all rows, or a sample of ``rows``.
 
-    Rows fall into blocks of about ``PERMUTATION_BLOCK`` by a hash of their key, and values are shuffled
-    within a block, so a task holds one block and no row passes the driver. Any fitted model scores them.
+    Every row is scored in the task that reads it, once as it is and then with one feature changed in
+    place; no row is copied or shuffled. The other values come from donors, rows picked by a hash of their
+    key: all rows, or as many as DONOR_BYTES hold. A task sends one sum of squares per feature and repeat,
+    so what is shuffled does not depend on the number of rows. Linear models and networks can be scored so.
+    A table without rows has no importances; rows without a label are left out.
     """
-    code = row_hash("key", seed)
-    chosen = df.select(F.col(key).alias("key"), vector_to_array(features).alias("x"), F.col(label).alias("label"))
-    chosen = chosen.filter(F.col("label").isNotNull())
+    spark, width = df.sparkSession, len(names)
+    chosen = df
     if rows is not None:
-        chosen = chosen.orderBy(code, "key").limit(rows)
-    chosen = materialize(chosen.withColumn("code", code), "permutation")
-    blocks = max(1, -(-chosen.count() // PERMUTATION_BLOCK))
-    width = len(names)
-    chosen = chosen.withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(blocks)))
-    chosen = chosen.repartition("block").sortWithinPartitions("block", "code", "key")
-
-    def shuffled(block: pd.DataFrame):
-        values, number = np.stack(block["x"].to_numpy()), int(block["block"].iloc[0])
-        yield pd.DataFrame({"feature": 0, "repeat": 0, "label": block["label"], "x": list(values)})
-        for feature in range(width):
-            for repeat in range(1, repeats + 1):
-                order = np.random.default_rng([seed, number, feature, repeat]).permutation(len(values))
-                changed = values.copy()
-                changed[:, feature] = values[order, feature]
-                yield pd.DataFrame({"feature": feature, "repeat": repeat, "label": block["label"], "x": list(changed)})
-
-    def shuffle(frames):
-        held: list[pd.DataFrame] = []
-        for frame in frames:
-            for number, part in frame.groupby("block", sort=False):
-                if held and held[0]["block"].iloc[0] != number:
-                    yield from shuffled(pd.concat(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield from shuffled(pd.concat(held))
-
-    grid = chosen.mapInPandas(shuffle, "feature INT, repeat INT, label DOUBLE, x ARRAY<DOUBLE>")
-    scored = model.transform(grid.withColumn(features, array_to_vector("x")).drop("x"))
-    r2 = metrics.regression_metrics(scored, by=["feature", "repeat"]).select("feature", "repeat", "r2").toPandas()
-    base = r2.loc[r2["repeat"] == 0, "r2"].iloc[0]
-    drops = base - r2[r2["repeat"] > 0].groupby("feature")["r2"].mean()
-    return normalized(_table(df.sparkSession, name, names, [drops[i] for i in range(width)]))
+        chosen = df.filter(F.col(label).isNotNull()).orderBy(row_hash(key, seed), key).limit(rows)
+    chosen = materialize(_vectors(chosen.withColumn("code", F.xxhash64(F.col(key), F.lit(seed))), features, label), "permutation")
+    head = chosen.agg(F.count("y").alias("n"), F.avg("y").alias("mean")).first()
+    if not head["n"]:
+        return _table(spark, name, [], [])
+    shared = spark.sparkContext.broadcast((scorer(model), _donors(chosen, head["n"], width)))
+
+    def score(batches):
+        in_place, donors = shared.value
+        sums = np.zeros((repeats, 4 + width))
+        for batch in batches:
+            x, y = _arrays(batch, width)
+            if not len(x):
+                continue
+            state, p = in_place.start(x)
+            code = batch.column("code").to_numpy(zero_copy_only=False)
+            shifted = y - head["mean"]
+            sums[:, :4] += [len(y), shifted.sum(), shifted @ shifted, (y - p) @ (y - p)]
+            for repeat in range(repeats):
+                donor = (_mixed(code, repeat) % np.uint64(len(donors))).astype(np.int64)
+                for feature in range(width):
+                    error = y - in_place.changed(state, feature, donors[donor, feature] - x[:, feature])
+                    sums[repeat, 4 + feature] += error @ error
+        yield pa.RecordBatch.from_pydict({"repeat": pa.array(range(repeats), pa.int32()), "sums": pa.array(list(sums), pa.list_(pa.float64()))})
+
+    parts = chosen.mapInArrow(score, "repeat INT, sums ARRAY<DOUBLE>")
+    found = parts.groupBy("repeat").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).toPandas()
+    shared.destroy()
+    sums = np.stack(found.sort_values("repeat")["sums"])
+    spread = sums[0, 2] - sums[0, 1] ** 2 / sums[0, 0]
+    drops = (sums[:, 4:].mean(axis=0) - sums[0, 3]) / (spread or 1.0)
+    return normalized(_table(spark, name, names, drops))
+
+
+def expected_permutation_importance(
+    model, df: DataFrame, names: Sequence[str], features: str = "features", label: str = "label", name: str = "ridge",
+) -> DataFrame:
+    """The mean of ``permutation_importance`` over all permutations, for a linear model, normalised.
+
+    With error e and coefficient w the squared errors grow by 2 w sum(e (x - mean)) + 2 n w^2 var(x) on
+    average, so three sums per feature are enough: one scan for means, one for the sums.
+    """
+    spark, width = df.sparkSession, len(names)
+    rows = _vectors(df.withColumn("code", F.lit(0)), features, label)
+    head = rows.groupBy(F.lit(1)).agg(Summarizer.mean(array_to_vector("x")).alias("x"), F.avg("y").alias("y")).first()
+    if head is None:
+        return _table(spark, name, [], [])
+    w = model.coefficients.toArray()
+    shared = spark.sparkContext.broadcast((scorer(model), head["x"].toArray(), head["y"]))
+
+    def add(batches):
+        linear, mean, y_mean = shared.value
+        sums = np.zeros((3, width))
+        for batch in batches:
+            x, y = _arrays(batch, width)
+            if len(x):
+                e, z, y = y - linear.start(x)[1], x - mean, y - y_mean
+                sums += np.stack([e @ z, (z * z).sum(axis=0), np.full(width, y @ y)])
+        yield pa.RecordBatch.from_pydict({"i": pa.array(range(3), pa.int32()), "sums": pa.array(list(sums), pa.list_(pa.float64()))})
+
+    found = rows.mapInArrow(add, "i INT, sums ARRAY<DOUBLE>").groupBy("i").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")
+    ).toPandas()
+    shared.destroy()
+    ez, zz, yy = np.stack(found.sort_values("i")["sums"])
+    drops = (2 * w * ez + 2 * w * w * zz) / np.where(yy > 0, yy, 1.0)
+    return normalized(_table(spark, name, names, drops))
 
 
 def with_type(rows: DataFrame, prefixes: Sequence[str] | None = None) -> DataFrame:

@@ -112,8 +112,9 @@ def forest(features: str = "features", label: str = "label", **changes) -> Rando
     return RandomForestRegressor(
         featuresCol=features, labelCol=label, numTrees=s["trees"], maxDepth=s["depth"],
         minInstancesPerNode=s["min_leaf"], featureSubsetStrategy="sqrt", seed=fixed.SEED,
-        # Distributed node-id cache is pointless here; larger groups mean fewer passes.
-        maxMemoryInMB=1024,
+        # With the rows' node ids kept beside them a task is sent the split nodes only, not all trees so far;
+        # larger groups of nodes mean fewer passes.
+        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rowloom import fixed_values as fixed
 from rowloom.functions import text as X
 from rowloom.operators import (
-    crossval, encode, importance, lookup, metrics, missing, models, order_stats, profile, project, serve, split,
+    crossval, encode, importance, lookup, metrics, missing, models, network, order_stats, profile, project, serve, split,
     tfidf, validate, vectors,
 )
 from rowloom.operators.network import NetworkModel, NetworkRegressor
@@ -284,6 +284,68 @@ def test_network_learns_saves_and_ignores_partitioning(planted, tmp_path):
     assert pick(again) == pytest.approx(pick(model))
 
 
+def test_network_in_one_stage_equals_a_job_per_epoch(planted, monkeypatch):
+    df, _, _ = planted
+    scaled = models.PopulationScaler().fit(df).transform(df)
+    make = lambda **o: NetworkRegressor("scaled", hidden=(8,), epochs=12, step=0.01, batch=50, slices=5, patience=3, **o)
+    monkeypatch.setattr(network, "SAVE_EVERY", 4)
+    stage, jobs = make().fit(scaled), make(oneStage=False).fit(scaled)
+    assert stage.weights == pytest.approx(jobs.weights, abs=1e-9)
+    assert (stage.epochs, stage.validation_r2) == (jobs.epochs, pytest.approx(jobs.validation_r2))
+    monkeypatch.setattr(network, "FAN_IN", 2)  # several levels of adding
+    assert make().fit(scaled).weights == pytest.approx(jobs.weights, abs=1e-9)
+    monkeypatch.setattr(network, "HELD_BYTES", 10)  # too much for the tasks of one stage
+    assert make().fit(scaled).weights == pytest.approx(jobs.weights, abs=1e-9)
+
+
+def test_network_goes_on_from_its_saved_state(planted, monkeypatch, tmp_path):
+    df, _, _ = planted
+    scaled = models.PopulationScaler().fit(df).transform(df)
+    make = lambda: NetworkRegressor("scaled", hidden=(8,), epochs=9, step=0.01, batch=50, slices=3)
+    monkeypatch.setattr(network, "SAVE_EVERY", 4)
+    monkeypatch.setattr(network, "new_path", lambda spark, name: str(tmp_path / "first"))
+    whole = make().fit(scaled)
+    states = sorted(f for f in os.listdir(tmp_path / "first") if f.startswith("state-"))
+    assert [int(f[6:15]) for f in states] == [4, 8, 9]
+    # What a repeated stage finds after the fourth epoch; where it would start otherwise makes no difference.
+    (tmp_path / "again").mkdir()
+    (tmp_path / "again" / states[0]).write_bytes((tmp_path / "first" / states[0]).read_bytes())
+    monkeypatch.setattr(network, "new_path", lambda spark, name: str(tmp_path / "again"))
+    monkeypatch.setattr(network, "_start", lambda sizes, seed: np.zeros(sum((a + 1) * b for a, b in zip(sizes, sizes[1:]))))
+    assert make().fit(scaled).weights == pytest.approx(whole.weights, abs=1e-9)
+
+
+def test_network_survives_a_lost_task(planted, monkeypatch, tmp_path):
+    df, _, _ = planted
+    scaled = models.PopulationScaler().fit(df).transform(df)
+    make = lambda: NetworkRegressor("scaled", hidden=(8,), epochs=9, step=0.01, batch=50, slices=3)
+    monkeypatch.setattr(network, "SAVE_EVERY", 4)
+    whole, save, mark = make().fit(scaled), network._Meeting.save, str(tmp_path / "lost")
+
+    def save_and_die_once(meeting, p):
+        save(meeting, p)
+        if p.epoch == 8 and not os.path.exists(mark):
+            open(mark, "w").close()
+            raise RuntimeError("an executor is lost")
+
+    monkeypatch.setattr(network._Meeting, "save", save_and_die_once)
+    assert make().fit(scaled).weights == pytest.approx(whole.weights, abs=1e-9)
+    assert os.path.exists(mark)
+
+
+def test_linear_network_finds_least_squares(planted):
+    df, x, y = planted
+    scaled = models.PopulationScaler().fit(df).transform(df)
+    model = NetworkRegressor(
+        "scaled", hidden=(), epochs=400, step=0.02, batch=2000, slices=1, l2=0.0, validation_share=0.0, patience=500,
+    ).fit(scaled)
+    z = (x - x.mean(0)) / x.std(0)
+    w = np.linalg.lstsq(np.column_stack([z, np.ones(len(z))]), y, rcond=None)[0]
+    got = model.weights * model.getOrDefault("labelStd")
+    assert got[:3] == pytest.approx(w[:3], rel=1e-3)
+    assert got[3] + model.getOrDefault("labelMean") == pytest.approx(w[3], rel=1e-3)
+
+
 def test_permutation_importance_finds_the_signal(planted, spark):
     df, _, _ = planted
     model = models.least_squares().fit(df)
@@ -295,6 +357,42 @@ def test_permutation_importance_finds_the_signal(planted, spark):
     assert {r["feature"]: r["importance"] for r in again} == pytest.approx(got)
 
 
+def test_permutation_importance_nears_its_expectation(planted, spark, monkeypatch):
+    df, x, y = planted
+    model = models.least_squares().fit(df)
+    w, e = model.coefficients.toArray(), y - x @ model.coefficients.toArray() - model.intercept
+    # The mean over all permutations is the mean over all pairs of rows.
+    drops = [((e[:, None] + w[f] * (x[:, None, f] - x[None, :, f])) ** 2).mean() - (e ** 2).mean() for f in range(3)]
+    want = np.array(drops) / np.sum(drops)
+    expected = {r["feature"]: r["importance"] for r in importance.expected_permutation_importance(model, df, ["a", "b", "c"]).collect()}
+    assert [expected[f] for f in "abc"] == pytest.approx(want, rel=1e-9)
+    sampled = lambda **o: {r["feature"]: r["importance"] for r in importance.permutation_importance(model, df, "id", ["a", "b", "c"], **o).collect()}
+    assert [sampled(repeats=8)[f] for f in "abc"] == pytest.approx(want, abs=0.01)
+    monkeypatch.setattr(importance, "DONOR_BYTES", 8 * 3 * 400)  # a third of the rows are donors
+    assert [sampled(repeats=8)[f] for f in "abc"] == pytest.approx(want, abs=0.04)
+    nothing = df.filter("false")
+    assert importance.permutation_importance(model, nothing, "id", ["a", "b", "c"]).collect() == []
+    assert importance.expected_permutation_importance(model, nothing, ["a", "b", "c"]).collect() == []
+    with pytest.raises(TypeError):
+        importance.scorer(object())
+
+
+def test_network_is_scored_in_place_as_by_transform(spark):
+    rng = np.random.default_rng(4)
+    for sizes in ([4, 1], [4, 3, 1], [4, 6, 5, 1]):
+        n = sum((a + 1) * b for a, b in zip(sizes, sizes[1:]))
+        scorer = NetworkModel(sizes=sizes, weights=rng.normal(size=n), mean=3.0, std=2.0).scorer()
+        x, by = rng.normal(size=(20, 4)), rng.normal(size=20)
+        state, p = scorer.start(x)
+        for feature in range(4):
+            moved = x.copy()
+            moved[:, feature] += by
+            assert scorer.changed(state, feature, by) == pytest.approx(scorer.start(moved)[1])
+        model = NetworkModel(sizes=sizes, weights=scorer.weights, mean=3.0, std=2.0)
+        frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id INT, v ARRAY<DOUBLE>").withColumn("features", array_to_vector("v"))
+        assert [r["prediction"] for r in model.transform(frame).orderBy("id").collect()] == pytest.approx(p)
+
+
 def test_importance_is_unchanged_when_its_sum_is_not_positive(spark):
     rows = spark.createDataFrame([("m", "a", -1.0), ("m", "b", 0.5)], "model STRING, feature STRING, importance DOUBLE")
     assert {r["importance"] for r in importance.normalized(rows).collect()} == {-1.0, 0.5}
