@@ -81,7 +81,7 @@ def _arrays(batch, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _mixed(code: np.ndarray, repeat: int) -> np.ndarray:
     """Well-spread numbers from row codes and a repeat."""
-    h = code.astype(np.uint64) + np.uint64(repeat) * np.uint64(0x9E3779B97F4A7C15)
+    h = code.astype(np.uint64) + np.uint64(repeat * 0x9E3779B97F4A7C15 % (1 << 64))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
     return h ^ (h >> np.uint64(31))
@@ -120,11 +120,10 @@ def permutation_importance(
     head = chosen.agg(F.count("y").alias("n"), F.avg("y").alias("mean")).first()
     if not head["n"]:
         return _table(spark, name, [], [])
-    shared = spark.sparkContext.broadcast((scorer(model), _donors(chosen, head["n"], width)))
+    in_place, shared = scorer(model), spark.sparkContext.broadcast(_donors(chosen, head["n"], width))
 
     def score(batches):
-        in_place, donors = shared.value
-        sums = np.zeros((repeats, 4 + width))
+        donors, sums = shared.value, np.zeros((repeats, 4 + width))
         for batch in batches:
             x, y = _arrays(batch, width)
             if not len(x):
@@ -162,11 +161,9 @@ def expected_permutation_importance(
     head = rows.groupBy(F.lit(1)).agg(Summarizer.mean(array_to_vector("x")).alias("x"), F.avg("y").alias("y")).first()
     if head is None:
         return _table(spark, name, [], [])
-    w = model.coefficients.toArray()
-    shared = spark.sparkContext.broadcast((scorer(model), head["x"].toArray(), head["y"]))
+    w, linear, mean, y_mean = model.coefficients.toArray(), scorer(model), head["x"].toArray(), head["y"]
 
     def add(batches):
-        linear, mean, y_mean = shared.value
         sums = np.zeros((3, width))
         for batch in batches:
             x, y = _arrays(batch, width)
@@ -178,7 +175,6 @@ def expected_permutation_importance(
     found = rows.mapInArrow(add, "i INT, sums ARRAY<DOUBLE>").groupBy("i").agg(
         vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")
     ).toPandas()
-    shared.destroy()
     ez, zz, yy = np.stack(found.sort_values("i")["sums"])
     drops = (2 * w * ez + 2 * w * w * zz) / np.where(yy > 0, yy, 1.0)
     return normalized(_table(spark, name, names, drops))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.encoders import one_hot_name
-from ..operators import crossval, encode, importance, metrics, models, serve, split, tfidf, vectors
+from ..operators import crossval, encode, explain, importance, metrics, models, serve, split, tfidf, vectors
 from ..operators.network import NetworkRegressor
 from ..sources.artifacts import load_model, save_model
 from ..sources.session import materialize, new_path
@@ -59,21 +59,25 @@ def _one_model(name: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         train, test = _split_items(spark, folder)
         _, row, _ = crossval.evaluate(train, test, name, _estimators()[name]())
-        return row
+        return _rounded(row)
 
     return run
 
 
-def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
-    """The evaluation row of a one-feature ridge model, which has a closed form."""
-    train, test = _split_items(spark, folder, ["l_extendedprice"])
-    _, row, _ = crossval.evaluate(train, test, "ridge", models.Ridge("scaled"))
+def _rounded(row: DataFrame) -> DataFrame:
     digits = {c: 6 if "r2" in c or "gap" in c else 3 for c in row.columns}
     return row.select(*[
         F.col(c) if c in ("name", "overfitting_status") else F.round(c, digits[c]).alias(c) for c in row.columns
     ])
 
 
+def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation row of a one-feature ridge model, which has a closed form."""
+    train, test = _split_items(spark, folder, ["l_extendedprice"])
+    _, row, _ = crossval.evaluate(train, test, "ridge", models.Ridge("scaled"))
+    return _rounded(row)
+
+
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     """Four models on one split, best test R2 first."""
     _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
@@ -95,7 +99,7 @@ def train_report(spark: SparkSession, folder: str) -> DataFrame:
     )
     bins = metrics.error_bins(scored).select(F.lit("bin").alias("what"), F.col("label").alias("name"), "percent")
     rows = metrics.best_and_worst(scored, "key").select("kind", F.col("row").alias("name"), "abs_error")
-    return shares.union(bins).union(rows)
+    return shares.union(bins).union(rows).withColumn("value", F.round("value", 4))
 
 
 def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,20 +109,15 @@ def top_coefficients(spark: SparkSession, folder: str) -> DataFrame:
 
 def compare_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Importance of every feature in all four models, averaged."""
-    train, test = _split_items(spark, folder)
-    fitted = {name: make().fit(train) for name, make in _estimators().items()}
-    parts = [
-        importance.linear_importance(spark, fitted["Ridge Regression"], FEATURES, "Ridge Regression"),
-        *(importance.tree_importance(spark, fitted[n], FEATURES, n) for n in ("Boosted Trees", "Random Forest")),
-        importance.permutation_importance(fitted["MLP Neural Network"], test, "key", FEATURES, "scaled", name="MLP Neural Network"),
-    ]
-    return importance.top_features(importance.with_type(importance.union_all(parts), ("p_",)), 30)
+    return explain.explain_models(*_split_items(spark, folder), _estimators(), "key", FEATURES, "scaled", ("p_",)).top(30)
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """What a ridge model loses by a feature, on average over all permutations of all test rows."""
     train, test = _split_items(spark, folder)
     model = models.Ridge("scaled").fit(train)
-    return importance.permutation_importance(model, test, "key", FEATURES, "scaled", name="ridge")
+    found = importance.expected_permutation_importance(model, test, FEATURES, "scaled")
+    return found.withColumn("importance", F.round("importance", 9))
 
 
 def tree_importance(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,7 +189,62 @@ rows_ AS (
     l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y
   FROM lineitem JOIN part ON l_partkey = p_partkey)
 """
+
+
+def _sql_ridge() -> str:
+    """Common table expressions of the ridge fit on all features, up to p: key, t (test row), y, z (scaled), p (prediction)."""
+    n = len(FEATURES)
+    values = ", ".join(
+        f"CAST(l_returnflag = '{f.rsplit('_', 1)[1]}' AS INTEGER)::DOUBLE" if f.startswith("l_returnflag") else f"{f}::DOUBLE" for f in FEATURES
+    )
+    steps = f"""
+items_ AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, [{values}] AS x,
+    l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+part_ AS (SELECT key, x, y, {sql_hash('key')} % 10000 < 2000 AS t FROM items_ WHERE y > 0),
+i_ AS (SELECT unnest(range(1, {n + 1})) AS i), j_ AS (SELECT unnest(range(1, {n + 1})) AS j),
+st AS (SELECT list(m ORDER BY i) AS ms, list(CASE WHEN s > 0 THEN s ELSE 1 END ORDER BY i) AS ss
+  FROM (SELECT i, avg(x[i]) AS m, stddev_pop(x[i]) AS s FROM part_, i_ WHERE NOT t GROUP BY i)),
+z_ AS (SELECT key, t, y, list_transform(range(1, {n + 1}), lambda i: (x[i] - ms[i]) / ss[i]) AS z FROM part_, st),
+mean_ AS (SELECT avg(y) AS my FROM z_ WHERE NOT t),
+gram AS (SELECT i, j, sum(z[i] * z[j]) + CASE WHEN i = j THEN 1 ELSE 0 END AS v FROM z_, i_, j_ WHERE NOT t GROUP BY i, j),
+side AS (SELECT i, sum(z[i] * (y - my)) AS r FROM z_, i_, mean_ WHERE NOT t GROUP BY i),
+m0 AS (SELECT gram.i, list_append(list(v ORDER BY j), any_value(r)) AS v FROM gram JOIN side ON gram.i = side.i GROUP BY gram.i),"""
+    for k in range(1, n + 1):  # Gauss-Jordan elimination; the penalty keeps every pivot above zero
+        steps += f"""
+m{k} AS (SELECT m.i, list_transform(range(1, {n + 2}), lambda c: CASE WHEN m.i = {k} THEN q[c] / q[{k}] ELSE m.v[c] - m.v[{k}] / q[{k}] * q[c] END) AS v
+  FROM m{k - 1} AS m, (SELECT v AS q FROM m{k - 1} WHERE i = {k}) AS q_),"""
+    return steps + f"""
+w_ AS (SELECT list(v[{n + 1}] ORDER BY i) AS w FROM m{n}),
+p_ AS (SELECT key, t, y, z, w, my + list_dot_product(w, z) AS p FROM z_, w_, mean_)"""
+
+
 SQL = {
+    "ridge_model": f"""
+WITH {_sql_ridge()},
+s AS (SELECT t, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2 FROM p_ GROUP BY t)
+SELECT 'Ridge Regression' AS name, round(a.rmse, 3) AS train_rmse, round(b.rmse, 3) AS test_rmse, round(a.mae, 3) AS train_mae,
+  round(b.mae, 3) AS test_mae, round(a.r2, 6) AS train_r2, round(b.r2, 6) AS test_r2, round(a.r2 - b.r2, 6) AS overfitting_gap,
+  CASE WHEN a.r2 - b.r2 < 0.05 THEN 'None' WHEN a.r2 - b.r2 < 0.1 THEN 'Mild' WHEN a.r2 - b.r2 < 0.2 THEN 'Moderate' ELSE 'Severe' END AS overfitting_status
+FROM s a JOIN s b ON NOT a.t AND b.t""",
+    "permutation_importance": f"""
+WITH {_sql_ridge()},
+loss AS (SELECT i, any_value(w[i]) AS c, covar_pop(y - p, z[i]) AS ez, var_pop(z[i]) AS zz, var_pop(y) AS yy FROM p_, i_ WHERE t GROUP BY i),
+drops AS (SELECT i, (2 * c * ez + 2 * c * c * zz) / yy AS v FROM loss)
+SELECT 'ridge' AS model, {FEATURES}[i] AS feature,
+  round(CASE WHEN sum(v) OVER () > 0 THEN v / sum(v) OVER () ELSE v END, 9) AS importance FROM drops""",
+    "train_report": f"""
+WITH {_sql_ridge()},
+e AS (SELECT key, abs(y - p) AS e FROM p_ WHERE t),
+b(label, low, high) AS (VALUES ('< $5K', 0, 5000), ('$5K - $10K', 5000, 10000), ('$10K - $20K', 10000, 20000),
+  ('$20K - $50K', 20000, 50000), ('> $50K', 50000, NULL)),
+r AS (SELECT *, row_number() OVER (ORDER BY e, key) AS best, row_number() OVER (ORDER BY e DESC, key) AS worst FROM e)
+SELECT 'percentile' AS what, unnest([10, 25, 50, 75, 90, 95, 99])::VARCHAR AS name,
+  round(unnest(quantile_cont(e, [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])), 4) AS value FROM e
+UNION ALL SELECT 'bin', label, round(100.0::DOUBLE * count(e) / (SELECT count(*) FROM e), 4) FROM b LEFT JOIN e ON e >= low AND (e < high OR high IS NULL) GROUP BY label
+UNION ALL SELECT 'best', key, round(e, 4) FROM r WHERE best <= 5
+UNION ALL SELECT 'worst', key, round(e, 4) FROM r WHERE worst <= 5""",
     "evaluate_ridge": f"""
 WITH {SQL_ITEMS},
 part_ AS (SELECT x, y, {sql_hash('key')} % 10000 < 2000 AS t FROM rows_ WHERE y > 0),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rowloom import fixed_values as fixed
 from rowloom.functions import text as X
 from rowloom.operators import (
-    crossval, encode, importance, lookup, metrics, missing, models, network, order_stats, profile, project, serve, split,
+    crossval, encode, explain, importance, lookup, metrics, missing, models, network, order_stats, profile, project, serve, split,
     tfidf, validate, vectors,
 )
 from rowloom.operators.network import NetworkModel, NetworkRegressor
@@ -393,6 +393,72 @@ def test_network_is_scored_in_place_as_by_transform(spark):
         assert [r["prediction"] for r in model.transform(frame).orderBy("id").collect()] == pytest.approx(p)
 
 
+def stump(x, y, least=2):
+    """The best split of one feature between two values: its predictions."""
+    best = None
+    for cut in np.unique(x)[:-1]:
+        left = x <= cut
+        if min(left.sum(), (~left).sum()) >= least:
+            loss = ((y[left] - y[left].mean()) ** 2).sum() + ((y[~left] - y[~left].mean()) ** 2).sum()
+            if best is None or loss < best[0] - 1e-9:
+                best = loss, np.where(left, y[left].mean(), y[~left].mean())
+    return best[1]
+
+
+def test_trees_against_a_brute_force_stump(spark):
+    rng = np.random.default_rng(8)
+    x = np.repeat(np.arange(20.0), 6)
+    y = np.where(x < 7, 3.0, 9.0) + x * 0.2 + rng.normal(size=len(x))
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = models.assemble(spark.createDataFrame(rows, "id BIGINT, a DOUBLE, label DOUBLE"), ["a"])
+    found = lambda model: [r["prediction"] for r in model.transform(df).orderBy("id").collect()]
+    forest = models.forest("features", trees=1, depth=1).setBootstrap(False).fit(df)
+    assert found(forest) == pytest.approx(stump(x, y))
+    assert importance.tree_importance(spark, forest, ["a"], "f").first()["importance"] == 1.0
+    first = stump(x, y)
+    boosted = models.boosting("features", trees=2, depth=1, row_share=1.0, column_share=1.0).fit(df)
+    assert found(boosted) == pytest.approx(first + 0.1 * stump(x, 2 * (y - first)))
+
+
+def test_tree_importance_is_the_share_of_variance_removed(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 2, size=(400, 2)).astype(float)
+    y = 10 * x[:, 0] + 3 * x[:, 1]
+    rows = [(float(a), float(b), float(t)) for (a, b), t in zip(x, y)]
+    df = models.assemble(spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, label DOUBLE"), ["a", "b"])
+    model = models.boosting("features", trees=1, depth=2, row_share=1.0, column_share=1.0).fit(df)
+    got = {r["feature"]: r["importance"] for r in importance.tree_importance(spark, model, ["a", "b"], "t").collect()}
+    # Split by a first, then by b on either side: what each removes of the sum of squares.
+    total = ((y - y.mean()) ** 2).sum()
+    left = sum(((y[x[:, 0] == v] - y[x[:, 0] == v].mean()) ** 2).sum() for v in (0, 1))
+    assert got["a"] == pytest.approx((total - left) / total) and got["b"] == pytest.approx(left / total)
+
+
+def test_models_are_compared_and_explained_at_once(planted, spark):
+    df, _, _ = planted
+    ready = models.PopulationScaler().fit(df).transform(df).withColumn("key", F.col("id").cast("string"))
+    train, test = split.hash_split(ready, "key")
+    make = {
+        "Ridge": lambda: models.Ridge("scaled"), "Forest": lambda: models.forest("scaled", trees=5, depth=4),
+        "Network": lambda: NetworkRegressor("scaled", hidden=(8,), epochs=15, step=0.02, batch=50),
+    }
+    got = explain.explain_models(train, test, make, "key", ["a", "b", "c"], "scaled")
+    rows = {r["name"]: r for r in got.scores.collect()}
+    assert list(got.models) == list(make) and set(rows) == set(make)
+    for name, make_one in make.items():
+        alone = crossval.evaluate(train, test, name, make_one())[1].first()
+        numbers = [c for c in alone.asDict() if c not in ("name", "overfitting_status")]
+        assert [rows[name][c] for c in numbers] == pytest.approx([alone[c] for c in numbers], rel=1e-6, abs=1e-9)
+        assert rows[name]["overfitting_status"] == alone["overfitting_status"]
+    assert [r["rank"] for r in got.top(2).orderBy("rank").collect()] == [1, 2]
+    per_model = got.importances.groupBy("model").agg(F.sum("importance").alias("s"), F.max_by("feature", "importance").alias("f"))
+    assert {(r["model"], round(r["s"], 9), r["f"]) for r in per_model.collect()} == {(n, 1.0, "c") for n in make}
+    assert got.by_type().count() == 3 and got.types().count() == 1
+    assert got.consistent().count() == 3 and got.advice().count() > 0
+    with pytest.raises(Exception, match="no rows to train on"):
+        crossval.fit_all(train.filter("false"), {"Network": make["Network"]})
+
+
 def test_importance_is_unchanged_when_its_sum_is_not_positive(spark):
     rows = spark.createDataFrame([("m", "a", -1.0), ("m", "b", 0.5)], "model STRING, feature STRING, importance DOUBLE")
     assert {r["importance"] for r in importance.normalized(rows).collect()} == {-1.0, 0.5}
