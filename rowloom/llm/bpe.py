@@ -4,11 +4,13 @@ A text is split by the vocabulary's pattern. A word's bytes become token numbers
 the pair of lowest rank, leftmost first, until no pair has one. The rank map is a literal: two arrays in
 which each pair of tokens has one possible place each (cuckoo hashing), so a look-up is two array reads.
 
-Corpus words are counted first. The most frequent ones, at most ``KNOWN_WORDS``, are encoded once each and
-kept as a literal hash table of bounded size beside the vocabulary itself; it only saves work. Words
-outside it are folded where they stand. Texts are never shuffled, and nothing that grows with the data
-is broadcast. Folding takes steps in proportion to the square of a word's length, so words of more than
-``LONG_WORD`` bytes (runs without blank, digit or sign changes) are merged by a heap in an Arrow function.
+Every distinct word of the corpus is folded once. A task lists the words of its part of the texts that are
+no tokens themselves; they meet by word, are folded, and go back to a small dictionary for each part, in a
+file of the shared folder. A second pass over the texts reads its part's dictionary and writes the ids.
+Texts are never shuffled, nothing that grows with the data is broadcast, and a dictionary is no larger than
+its part's words. Should a plan deal the rows out anew in the second pass, words that a dictionary lacks are
+merged on the spot by a heap, to the same ids. So are words of more than ``LONG_WORD`` bytes (runs without
+blank, digit or sign changes), since folding takes steps in proportion to the square of a word's length.
 
 Decoding maps ids to their byte pieces and concatenates these.
 """
@@ -16,40 +18,37 @@ Decoding maps ids to their byte pieces and concatenates these.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from ..sources.session import materialize
-from .common import kept
+from ..sources.session import new_path
+from .common import kept, parts, pieces
 
-#: Words of the table that saves work, at most.
-KNOWN_WORDS = 1 << 18
-KNOWN_WORD_BYTES = 64
 LONG_WORD = 256
-_P1, _P2 = 524_287, 393_241
+
+#: Bytes of text that a task handles at a time, one document at least, and words per batch of a word list.
+PIECE, WORDS = 1 << 20, 1 << 16
+_P1, _P2 = 262_139, 196_613
 #: A pair of tokens as one number: left times this plus right; no rank is as large.
 _SIDE = 50_333
 _RANK_BITS = 17
-#: White space of the Unicode standard, which Java's \s does not cover.
-_BLANKS = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: token in base64 and rank per line. Read by the driver; executors need no such file."""
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def java_pattern(pattern: str) -> str:
-    """The splitting pattern with Unicode white space spelled out."""
-    inside = pattern.replace(r"[^\s", f"[^{_BLANKS}")
-    return inside.replace(r"\s", f"[{_BLANKS}]").replace(r"\S", f"[^{_BLANKS}]")
-
-
 def pairs_of(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """(left * _SIDE + right, rank of both together) of all pairs of tokens that make a token."""
     if max(ranks.values()) >= _SIDE:
@@ -130,17 +129,6 @@ def fold(word: str) -> str:
     return _let("a", start, f"IF(size(a) < 2, a, aggregate(sequence(2, size(a)), {first}, (s, n) -> {step}, s -> s.a))")
 
 
-def known(word: str) -> str:
-    """SQL of a word's ids if the table has it, else null."""
-    def at(table: str, size: int) -> str:
-        return f"{table}[cast(pmod(h, {size}) AS INT)]"
-
-    first, second = at("bpe_known_first", _P1), at("bpe_known_second", _P2)
-    return _let("h", f"xxhash64({word})", (
-        f"CASE WHEN {first}.w = {word} THEN {first}.ids WHEN {second}.w = {word} THEN {second}.ids END"
-    ))
-
-
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merges by a heap over linked pieces, for words of any length."""
     if word in ranks:
@@ -180,62 +168,24 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def prepare(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_words: int = KNOWN_WORDS) -> None:
-    """Set the literal tables of the session: ranks, byte tokens, pieces, and the corpus's frequent words."""
-    spark = documents.sparkSession
+def prepare(spark: SparkSession, ranks: dict[bytes, int]) -> None:
+    """Set the literal tables of the session: ranks of pairs, tokens of single bytes, pieces of tokens."""
     keys, values = pairs_of(ranks)
     for name, table in zip(("bpe_first", "bpe_second"), cuckoo(keys, values)):
         _set_table(spark, name, "ARRAY<BIGINT>", _array(spark, table))
     _set_table(spark, "bpe_bytes", "ARRAY<BIGINT>", _array(spark, np.array([ranks[bytes([b])] for b in range(256)], np.int64)))
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token
-    frame = spark.createDataFrame(pd.DataFrame({"i": range(len(pieces)), "v": pieces}), "i long, v binary")
+    frame = spark.createDataFrame(pd.DataFrame({"i": range(max(ranks.values()) + 1), "v": pieces_of(ranks)}), "i long, v binary")
     _set_table(spark, "bpe_pieces", "ARRAY<BINARY>", frame.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]),
     ))
-    vocabulary = spark.createDataFrame(pd.DataFrame(
-        [(t.decode(), r) for t, r in ranks.items() if _is_text(t)], columns=["w", "r"],
-    )).select("w", F.array(F.col("r").cast("long")).alias("ids"))
-
-    words = documents.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))).alias("w"))
-    counts = words.filter(F.octet_length("w") <= KNOWN_WORD_BYTES).groupBy("w").count()
-    counts = materialize(counts.join(F.broadcast(vocabulary.select("w")), "w", "left_anti"), "word-counts")
-    least, total = 1, 0
-    for row in counts.groupBy("count").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("count")).toLocalIterator():
-        total += row["n"]
-        if total > known_words:
-            least = row["count"] + 1
-            break
-    frequent = counts.filter(F.col("count") >= least).select("w", F.expr(fold("w")).alias("ids"))
-    entries = materialize(vocabulary.union(frequent).withColumn("h", F.xxhash64("w")), "known-words")
-    # Only hashes and places pass the driver, one of each per known word.
-    hashes = entries.select("h").distinct().toPandas()["h"].to_numpy(np.int64)
-    for name, size, places in zip(("bpe_known_first", "bpe_known_second"), (_P1, _P2), _places(hashes)):
-        used = np.flatnonzero(places >= 0)
-        frame = spark.createDataFrame(pd.DataFrame({"i": used, "h": hashes[places[used]]}))
-        placed = entries.join(frame, "h").groupBy("i").agg(F.min(F.struct("w", "ids")).alias("e"))
-        every = spark.range(size).withColumnRenamed("id", "i").join(placed, "i", "left")
-        _set_table(spark, name, "ARRAY<STRUCT<w: STRING, ids: ARRAY<BIGINT>>>", every.agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("i", "e"))), lambda x: x["e"]),
-        ))
-
-
-def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For both tables, which hash (by position) stands at each place, or -1."""
-    tables = (np.full(_P1, -1, np.int64), np.full(_P2, -1, np.int64))
-    homes = (hashes % _P1, hashes % _P2)
-    for entry in range(len(hashes)):
-        side = 0
-        for _ in range(1_000):
-            table, at = tables[side], homes[side][entry]
-            entry, table[at] = int(table[at]), entry
-            if entry < 0:
-                break
-            side = 1 - side
-        else:
-            raise ValueError("too many words for the tables")
-    return tables
+
+
+def pieces_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    found = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        found[rank] = token
+    return found
 
 
 def _is_text(token: bytes) -> bool:
@@ -246,27 +196,115 @@ def _is_text(token: bytes) -> bool:
     return True
 
 
-def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_words: int = KNOWN_WORDS) -> DataFrame:
+class _Vocabulary:
+    """What a worker keeps of a vocabulary: how to split, and the ids (as bytes) of words that are tokens."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        import regex
+
+        self.split = regex.compile(pattern).findall
+        self.tokens = {t.decode(): np.array([r], "<i4").tobytes() for t, r in ranks.items() if _is_text(t)}
+        self.ranks, self.pieces = ranks, pieces_of(ranks)
+        self.decimals = [str(i) for i in range(len(self.pieces))]
+
+    @classmethod
+    def of(cls, name: str, ranks: dict[bytes, int], pattern: str) -> _Vocabulary:
+        return kept(f"bpe {name}", lambda: cls(ranks, pattern))
+
+    def encode(self, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
+        """Ids of each text as little-endian integers; words that are new to ``known`` are added to it."""
+        out = []
+        for text in texts:
+            words = self.split(text or "")
+            try:
+                out.append(b"".join(map(known.__getitem__, words)))
+            except KeyError:
+                for w in set(words).difference(known):
+                    known[w] = np.array(merge_long(w.encode(), self.ranks), "<i4").tobytes()
+                out.append(b"".join(map(known.__getitem__, words)))
+        return out
+
+    def digests(self, ids: list[int]) -> tuple[str, str]:
+        """sha256 of the ids as decimal text and of the bytes that they decode to."""
+        text = " ".join(map(self.decimals.__getitem__, ids))
+        return hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(b"".join(map(self.pieces.__getitem__, ids))).hexdigest()
+
+
+def _name(ranks: dict[bytes, int], pattern: str) -> str:
+    return hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+
+
+def dictionaries(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> str:
+    """Fold every distinct word of the texts once; the folder of each part's dictionary (``part=n``: w, ids).
+
+    A word's row lists the parts that have it, of which there are as many as tasks that read the texts.
+    """
+    spark, name = documents.sparkSession, _name(ranks, pattern)
+    prepare(spark, ranks)
+
+    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, seen = _Vocabulary.of(name, ranks, pattern), set()
+        for piece in pieces(batches, "text", PIECE):
+            for text in piece.column(0).to_pylist():
+                if text:
+                    seen.update(vocabulary.split(text))
+        new = [w for w in seen.difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
+        part = TaskContext.get().partitionId()
+        for at in range(0, len(new), WORDS):
+            some = new[at:at + WORDS]
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(some), pa.int32()), "w": pa.array(some, pa.string())})
+
+    words = documents.select("text").mapInArrow(list_words, "part int, w string").groupBy("w").agg(F.collect_list("part").alias("all"))
+    folded = words.select("w", F.expr(f"cast({fold('w')} AS ARRAY<INT>)").alias("ids"), "all")
+    folder = new_path(spark, "bpe-words")
+    rows = folded.select(F.explode("all").alias("part"), "w", "ids")
+    rows.repartition(parts(spark), "part").write.partitionBy("part").parquet(folder)
+    return folder
+
+
+def _dictionary(folder: str, part: int) -> dict[str, bytes]:
+    """The words of one part with their ids as bytes."""
+    system, root = fs.FileSystem.from_uri(folder)
+    found: dict[str, bytes] = {}
+    for info in system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True)):
+        if info.is_file and info.base_name.endswith(".parquet") and info.base_name[0] not in "._":
+            with system.open_input_file(info.path) as f:
+                # Not read_table: that would look for partition columns in the path.
+                table = pq.ParquetFile(f).read(["w", "ids"]).combine_chunks()
+            ids = table["ids"].combine_chunks()
+            raw = ids.flatten().to_numpy().astype("<i4").tobytes()
+            ends = np.cumsum(pa.compute.list_value_length(ids).to_numpy()).tolist()
+            found.update(zip(table["w"].to_pylist(), (raw[4 * a:4 * b] for a, b in zip([0, *ends], ends))))
+    return found
+
+
+def _encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str, finish, schema: StructType | str) -> DataFrame:
+    """``finish(vocabulary, batch, ids of each text as bytes)`` of all rows, by each part's dictionary."""
+    folder, name, at = dictionaries(documents, ranks, pattern), _name(ranks, pattern), documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _Vocabulary.of(name, ranks, pattern)
+        known = vocabulary.tokens | _dictionary(folder, TaskContext.get().partitionId())
+        for piece in pieces(batches, "text", PIECE):
+            yield finish(vocabulary, piece, vocabulary.encode(piece.column(at).to_pylist(), known))
+
+    return documents.mapInArrow(run, schema)
+
+
+def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``documents`` with a column ``ids`` (array of int): the tokens of ``text``.
 
-    A null or empty text has no tokens. Every row is kept, repeated ones too, with all its columns; those
-    named ``ids``, ``_words`` or ``_long`` are replaced or dropped. No special tokens.
+    A null or empty text has no tokens. Every row is kept, repeated ones too, with all its columns; one
+    named ``ids`` is replaced. No special tokens.
     """
-    prepare(documents, ranks, pattern, known_words)
+    rows = documents.drop("ids")
 
-    @F.pandas_udf("array<array<bigint>>")
-    def long_ids(words: pd.Series) -> pd.Series:
-        kept("nothing", dict)  # what earlier stages left in this worker is not needed any more
-        return words.map(lambda ws: [merge_long(w.encode(), ranks) for w in ws])
+    def with_ids(_, piece: pa.RecordBatch, ids: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        return pa.RecordBatch.from_arrays([*piece.columns, lists], [*piece.schema.names, "ids"])
 
-    # Bound by lambdas, not by projections: the optimizer would move those into the lambdas that read them.
-    split = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
-    rows = documents.drop("ids", "_words", "_long").withColumn("_words", split)
-    rows = rows.withColumn("_long", F.expr(f"array_distinct(filter(_words, w -> octet_length(w) > {LONG_WORD}))"))
-    rows = rows.withColumn("_long", F.arrays_zip(F.col("_long").alias("w"), long_ids("_long").alias("ids")))
-    new = f"IF(octet_length(w) > {LONG_WORD}, get(filter(ls, e -> e.w = w), 0).ids, {fold('w')})"
-    ids = _let("ls", "_long", f"flatten(transform(_words, w -> coalesce({known('w')}, {new})))")
-    return rows.withColumn("ids", F.expr(f"cast({ids} AS ARRAY<INT>)")).drop("_words", "_long")
+    return _encoded(rows, ranks, pattern, with_ids, StructType(list(rows.schema.fields)).add("ids", ArrayType(IntegerType())))
 
 
 def decode(ids: str = "ids") -> Column:
@@ -277,11 +315,15 @@ def decode(ids: str = "ids") -> Column:
     return F.expr(f"cast(array_join(transform({ids}, i -> cast(bpe_pieces[i] AS STRING)), '') AS BINARY)")
 
 
-def round_trip(documents: DataFrame, ranks: dict[bytes, int], pattern: str, known_words: int = KNOWN_WORDS) -> DataFrame:
+def round_trip(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, number of tokens, and digests of the ids and of the decoded bytes."""
-    rows = encode(documents.select("doc_id", "text"), ranks, pattern, known_words)
-    return rows.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(decode("ids"), 256).alias("decoded_sha256"),
-    )
+    def digest(vocabulary: _Vocabulary, piece: pa.RecordBatch, ids: list[bytes]) -> pa.RecordBatch:
+        found = [np.frombuffer(x, "<i4").tolist() for x in ids]
+        digests = [vocabulary.digests(x) for x in found]
+        return pa.RecordBatch.from_pydict({
+            "doc_id": piece.column(0), "n_tokens": pa.array([len(x) for x in found], pa.int64()),
+            "ids_sha256": pa.array([a for a, _ in digests], pa.string()), "decoded_sha256": pa.array([b for _, b in digests], pa.string()),
+        })
+
+    rows = documents.select(F.col("doc_id").cast("long"), "text")
+    return _encoded(rows, ranks, pattern, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

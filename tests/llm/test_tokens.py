@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowloom.llm import bpe, token_files
-from rowloom.sources.session import new_path
+from rowloom.sources.session import materialize, new_path
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -83,23 +83,38 @@ def ranks():
     return bpe.read_ranks(RANKS)
 
 
-def test_bpe_equals_library(spark, ranks):
+def test_bpe_equals_library(spark, ranks, monkeypatch):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = brute.rows(25)
-    for known in (500, 0):
+    for spread in (True, False):
         df = spark.createDataFrame(rows, brute.DDL).withColumn("ids", F.lit("clash")).repartition(4)
-        got = bpe.encode(df, ranks, public_tokenizers.PATTERN, known).withColumn("back", bpe.decode("ids"))
+        if not spread:  # parts that do not stay the same: the dictionaries are of no use
+            monkeypatch.setattr(bpe, "_dictionary", lambda folder, part: {})
+        got = bpe.encode(df, ranks, public_tokenizers.PATTERN).withColumn("back", bpe.decode("ids"))
         assert set(got.columns) == {*df.columns, "back"}
         got = got.select("doc_id", "text", "ids", "back").collect()
         assert len(got) == len(rows)
         for r in got:
             assert r.ids == library.encode_ordinary(r.text or "") and bytes(r.back) == (r.text or "").encode()
-    digest = bpe.round_trip(df.filter("doc_id = 5"), ranks, public_tokenizers.PATTERN, 0).first()
+    digest = bpe.round_trip(df.filter("doc_id = 5"), ranks, public_tokenizers.PATTERN).first()
     ids = library.encode_ordinary(dict((r[0], r[1]) for r in rows)[5])
     assert digest.n_tokens == len(ids) and digest.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert bpe.round_trip(df.limit(0), ranks, public_tokenizers.PATTERN).collect() == []
 
 
+def test_bpe_folds_every_distinct_word_once(spark, ranks, monkeypatch):
+    rows = [r for r in brute.rows(25) if not r[1] or max(map(len, r[1].split(" "))) < bpe.LONG_WORD]
+    df = materialize(spark.createDataFrame(rows, brute.DDL).repartition(4))
+    monkeypatch.setattr(bpe, "merge_long", None)  # all ids come from the folded words
+    got = bpe.round_trip(df, ranks, public_tokenizers.PATTERN).collect()
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for doc_id, text, *_ in rows:
+        ids = library.encode_ordinary(text or "")
+        want.append((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert brute.ordered(got) == brute.ordered(want)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="abcdeth ing!é", min_size=1, max_size=60))
 def test_long_merges_equal_library(ranks, text):
