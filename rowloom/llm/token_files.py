@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from .common import kept, parts, pieces
 MAGIC = b"RWLIDS1\n"
 #: Ids of a file at most, but for the last document of it: what a task holds in memory while it writes.
 IDS_PER_FILE = 8_000_000
-#: Distinct words of each of the two generations a worker remembers. Only a cache: others are encoded anew.
-CACHE_WORDS = 250_000
+#: Distinct units that a worker remembers, unless one text has more. Only a cache: others are encoded anew.
+CACHE_WORDS = 400_000
 
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 _BLANK_RUN = re.compile(r" \s|\s \Z")
@@ -115,9 +116,8 @@ def units(text: str) -> list[str]:
     """
     if _BLANK_RUN.search(text):
         return _BEFORE_BLANK.split(text)
-    found = text.split(" ")
-    first = found[0]
-    return ([first] if first else []) + [" " + x for x in found[1:] if x] + ([" "] if len(found) > 1 and not found[-1] else [])
+    first, *rest = text.split(" ")
+    return ([first] if first else []) + [" " + x for x in rest if x] + ([" "] if rest and not rest[-1] else [])
 
 
 def byte_letters() -> list[str]:
@@ -127,27 +127,12 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-class Cache:
-    """Two generations of values: what has not been asked for during a whole one is forgotten."""
-
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
-
-    def missing(self, keys: set) -> list:
-        """The keys without a value; afterwards ``new`` has all others."""
-        if len(self.new) + len(keys) > self.size:
-            self.new, self.old = {}, self.new
-        absent = keys.difference(self.new)
-        again = absent.intersection(self.old)
-        self.new.update(zip(again, map(self.old.__getitem__, again)))
-        return list(absent.difference(again))
-
-
 class Encoder:
-    """Whole texts to ids by the tokenizers library.
+    """Whole texts to ids by the tokenizers library, as its own call gives them.
 
-    A worker encodes distinct units once: units that are new to it are split by the vocabulary's pattern,
-    and words that are new as well go through the library's BPE model.
+    A worker encodes distinct units once: one that is new to it is split by the vocabulary's pattern, and its
+    words go through the library's BPE model. A text that holds one of the vocabulary's added tokens (marks
+    that the library cuts out before all else) is encoded by the library as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -157,29 +142,59 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(pattern).findall
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
-        self.units, self.words = Cache(CACHE_WORDS), Cache(CACHE_WORDS)
+        #: Ids of the pattern's matches, of units, and of units by what follows their leading blank.
+        self.words: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Encoder:
         """The worker's encoder, kept between tasks."""
         return kept(f"encoder {path}", lambda: cls(path, pattern))
 
-    def _learn(self, units_: list[str]) -> None:
-        cut = [self.split(u) for u in units_]
-        for w in self.words.missing({w for ws in cut for w in ws}):
-            found = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
-            self.words.new[w] = np.array([t.id for t in found], "<u4").tobytes()
-        word = self.words.new.__getitem__
-        self.units.new.update((u, b"".join(map(word, ws))) for u, ws in zip(units_, cut))
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of units: each is split into the pattern's matches, and those that are new as well are encoded."""
+        # One blank and letters are one match.
+        cut = [(u,) if u[:1] == " " and u[1:].isalpha() else self.split(u) for u in new]
+        words, tokenize, letters = self.words, self.model.tokenize, self.letters
+        if len(words) > CACHE_WORDS:
+            words.clear()
+        for w in {w for ws in cut for w in ws}.difference(words):
+            # Of the visible ASCII characters every byte is written as itself.
+            found = tokenize("\u0120" + w[1:] if w[0] == " " and w[1:].isalnum() and w.isascii() else w.encode().decode("latin-1").translate(letters))
+            words[w] = array("I", [t.id for t in found]).tobytes()
+        return [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]
+
+    def _ids(self, known: dict[str, bytes], blank: str, keys: list[str]) -> bytes:
+        try:
+            return b"".join(map(known.__getitem__, keys))
+        except KeyError:
+            new = list(set(keys).difference(known))
+            if len(known) + len(new) > CACHE_WORDS:
+                known.clear()
+                new = list(set(keys))
+            known.update(zip(new, self._learn([blank + k for k in new])))
+            return b"".join(map(known.__getitem__, keys))
+
+    def _text(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if _BLANK_RUN.search(text):
+            return self._ids(self.units, "", units(text))
+        first, *rest = text.split(" ")
+        # Without runs of blanks only the first and the last piece can be empty; a last one is a blank of its own.
+        end = [" "] if rest and not rest[-1] else []
+        if end:
+            rest.pop()
+        parts_ = [self._ids(self.units, "", [first] if first else []), self._ids(self.after_blank, " ", rest), self._ids(self.units, "", end)]
+        return b"".join(parts_)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [units(x) for x in texts]
-        self._learn(self.units.missing(set().union(*cut)))
-        unit = self.units.new.__getitem__
-        return [b"".join(map(unit, us)) for us in cut]
+        return [self._text(x) for x in texts]
 
 
 def write(documents: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int | None = 0) -> DataFrame:

@@ -22,7 +22,6 @@ JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pat
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -49,6 +48,20 @@ def test_units_do_not_cut_tokens(text):
     assert "".join(token_files.units(text)) == text
 
 
+def test_added_tokens_are_the_librarys(reference):
+    encoder = token_files.Encoder.of(JSON, public_tokenizers.PATTERN)
+    for text in ("a <|endoftext|> as text", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext|", "a <|endoftext |>"):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == reference(text)
+    assert reference("a <|endoftext|> as text") == [64, 220, 50256, 355, 2420]
+
+
+def test_a_full_cache_changes_nothing(reference, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
+    encoder = token_files.Encoder(JSON, public_tokenizers.PATTERN)
+    for text in [t or "" for t in brute.texts(10)] * 2:
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == reference(text)
+
+
 def test_files_hold_all_documents_in_order(spark, reference):
     rows = brute.rows()
     df = spark.createDataFrame(rows, brute.DDL).repartition(5)
