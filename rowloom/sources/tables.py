@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import csv_ranges
+
 # Options under which text with quotes, separators and line breaks survives a round trip.
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -17,16 +19,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
     """CSV with a header; every cell is text and an empty cell is null.
 
-    A quoted cell may hold line breaks, so a file is read by one task; give large inputs as
-    many files, and land them as Parquet once (``with_row_id(...).write.parquet``).
+    A quoted cell may hold line breaks; a file is still read by as many tasks as it has byte ranges. With
+    ``row_id`` a column of that name numbers the rows in file order, with gaps. What is read twice is the
+    text, so land large inputs as Parquet once.
     """
-    reader = spark.read.options(**_CSV)
-    if columns is not None:
-        return reader.schema(", ".join(f"`{c}` STRING" for c in columns)).csv(path)
-    return reader.csv(path)
+    names = list(columns) if columns is not None else spark.read.options(**_CSV).csv(path).columns
+    return csv_ranges.read(spark, path, names, {"quote": '"', "escape": '"', "multiLine": "true"}, row_id)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
@@ -38,7 +39,8 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) ->
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Add an increasing id that follows file order, without a shuffle.
 
-    The ids have gaps. Everything here that needs a position (folds, row k, first rows) works
+    The ids have gaps. Rows of ``read_csv`` that reach over two byte ranges come last; its own ``row_id``
+    keeps file order for these as well. Everything here that needs a position (folds, row k, first rows) works
     on order statistics of the id, so no dense numbering is ever built.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
