@@ -34,6 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..sources.session import new_path
 from .common import kept, parts, pieces
+from .token_files import cut
 
 LONG_WORD = 256
 
@@ -211,18 +212,10 @@ class _Vocabulary:
     def of(cls, name: str, ranks: dict[bytes, int], pattern: str) -> _Vocabulary:
         return kept(f"bpe {name}", lambda: cls(ranks, pattern))
 
-    def encode(self, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
-        """Ids of each text as little-endian integers; words that are new to ``known`` are added to it."""
-        out = []
-        for text in texts:
-            words = self.split(text or "")
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                for w in set(words).difference(known):
-                    known[w] = np.array(merge_long(w.encode(), self.ranks), "<i4").tobytes()
-                out.append(b"".join(map(known.__getitem__, words)))
-        return out
+    def matches(self, units: set[str]) -> set[str]:
+        """What the pattern finds in units; one blank and letters are one match."""
+        plain = {u for u in units if u[:1] == " " and u[1:].isalpha()}
+        return plain.union(*(self.split(u) for u in units - plain))
 
     def digests(self, ids: list[int]) -> tuple[str, str]:
         """sha256 of the ids as decimal text and of the bytes that they decode to."""
@@ -230,6 +223,37 @@ class _Vocabulary:
         return hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(b"".join(map(self.pieces.__getitem__, ids))).hexdigest()
 
 
+class _Encoder:
+    """Whole texts to ids, unit by unit (see ``token_files.cut``); ``known`` has the ids of words.
+
+    Words and units that are new are added to what is known, so a task holds no more than its texts' units.
+    """
+
+    def __init__(self, vocabulary: _Vocabulary, known: dict[str, bytes]):
+        self.vocabulary, self.known = vocabulary, known
+        self.units: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        if word not in self.known:
+            self.known[word] = np.array(merge_long(word.encode(), self.vocabulary.ranks), "<i4").tobytes()
+        return self.known[word]
+
+    def _ids(self, units: dict[str, bytes], blank: str, keys: list[str]) -> bytes:
+        try:
+            return b"".join(map(units.__getitem__, keys))
+        except KeyError:
+            for key in set(keys).difference(units):
+                unit = blank + key
+                units[key] = self.known.get(unit) or b"".join(map(self._word, self.vocabulary.split(unit)))
+            return b"".join(map(units.__getitem__, keys))
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian integers."""
+        first, rest, end = cut(text or "")
+        return self._ids(self.units, "", first) + self._ids(self.after_blank, " ", rest) + self._ids(self.units, "", end)
+
+
 def _name(ranks: dict[bytes, int], pattern: str) -> str:
     return hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
@@ -243,12 +267,15 @@ def dictionaries(documents: DataFrame, ranks: dict[bytes, int], pattern: str) ->
     prepare(spark, ranks)
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seen = _Vocabulary.of(name, ranks, pattern), set()
+        vocabulary, plain, after_blank = _Vocabulary.of(name, ranks, pattern), set(), set()
         for piece in pieces(batches, "text", PIECE):
             for text in piece.column(0).to_pylist():
-                if text:
-                    seen.update(vocabulary.split(text))
-        new = [w for w in seen.difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
+                first, rest, end = cut(text or "")
+                plain.update(first, end)
+                after_blank.update(rest)
+        plain.update(" " + u for u in after_blank)
+        after_blank.clear()
+        new = [w for w in vocabulary.matches(plain).difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
         part = TaskContext.get().partitionId()
         for at in range(0, len(new), WORDS):
             some = new[at:at + WORDS]
@@ -284,9 +311,9 @@ def _encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str, finish
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _Vocabulary.of(name, ranks, pattern)
-        known = vocabulary.tokens | _dictionary(folder, TaskContext.get().partitionId())
+        encoder = _Encoder(vocabulary, vocabulary.tokens | _dictionary(folder, TaskContext.get().partitionId()))
         for piece in pieces(batches, "text", PIECE):
-            yield finish(vocabulary, piece, vocabulary.encode(piece.column(at).to_pylist(), known))
+            yield finish(vocabulary, piece, list(map(encoder.encode, piece.column(at).to_pylist())))
 
     return documents.mapInArrow(run, schema)
 

@@ -120,6 +120,21 @@ def units(text: str) -> list[str]:
     return ([first] if first else []) + [" " + x for x in rest if x] + ([" "] if rest and not rest[-1] else [])
 
 
+def cut(text: str) -> tuple[list[str], list[str], list[str]]:
+    """The units in order: first ones, ones that follow a single blank (without it), and a last blank.
+
+    Writing the blank of every unit again would take as long as the cutting.
+    """
+    if _BLANK_RUN.search(text):
+        return units(text), [], []
+    first, *rest = text.split(" ")
+    # Without runs of blanks only the first and the last piece can be empty; a last one is a blank of its own.
+    end = [" "] if rest and not rest[-1] else []
+    if end:
+        rest.pop()
+    return [first] if first else [], rest, end
+
+
 def byte_letters() -> list[str]:
     """The character by which a byte-level vocabulary writes each byte: itself where printable, else one above 255."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -182,15 +197,8 @@ class Encoder:
     def _text(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if _BLANK_RUN.search(text):
-            return self._ids(self.units, "", units(text))
-        first, *rest = text.split(" ")
-        # Without runs of blanks only the first and the last piece can be empty; a last one is a blank of its own.
-        end = [" "] if rest and not rest[-1] else []
-        if end:
-            rest.pop()
-        parts_ = [self._ids(self.units, "", [first] if first else []), self._ids(self.after_blank, " ", rest), self._ids(self.units, "", end)]
-        return b"".join(parts_)
+        first, rest, end = cut(text)
+        return self._ids(self.units, "", first) + self._ids(self.after_blank, " ", rest) + self._ids(self.units, "", end)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
