@@ -5,12 +5,13 @@ A byte is predicted as eight binary decisions; each decision has its own tree of
 with the product of its children's weighted probabilities, from the leaves up; for prediction the same
 weights mix the estimates of all depths. Scores are thus code lengths of a mixture over all prunings.
 
-Counting is exact and covers all training bytes, and every context seen at least ``LEAST`` times is a node,
+Counting is exact and covers all training bytes, and every context seen at least ``least`` times is a node,
 so the model grows with the corpus. It is never in one place: blocks of documents send their distinct
 (context, byte) grams, with training counts, to ranges of the nearest two bytes (three for frequent pairs),
-and one task per range weighs the nodes below. Only sums per nearest byte and frequent pair reach the
-driver, which weighs the few nodes above. A second pass over the ranges mixes the probabilities of every
-gram that a block asks for and sends them back to it; nothing is broadcast but the nodes above.
+as many as the texts' bytes ask for, and one task per range weighs the nodes below. Sums per nearest byte and
+frequent pair are added up by tasks as well; the driver gets one row for each and weighs the few nodes above.
+A second pass over the ranges mixes the probabilities of every gram that a block asks for and sends them
+back to it; nothing is broadcast but the nodes above.
 
 The unigram model needs the count of every word of every document. Words travel as blocks: the distinct
 words of a run of documents, per range of word hashes, with the documents that hold them.
@@ -25,6 +26,8 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,10 @@ from .common import parts, pieces
 from .ngram_join import word_hashes
 
 DEPTH = 5
-#: A context is a node if training saw it so often.
+#: A context is a node if training saw it so often; contexts seen more rarely share one estimate.
 LEAST = 2
+#: Bytes of text for each range of grams: what a task weighs at a time.
+RANGE_BYTES = 1 << 20
 #: Begins and ends a text; no byte of UTF-8.
 END = 0xFF
 PIECE_BYTES = 2 << 20
@@ -202,13 +207,13 @@ def _count(documents: DataFrame, training: Column, depth: int, buckets: int) ->
     return documents.filter(training).select("text").mapInArrow(work, "bucket int, gram binary, count binary")
 
 
-def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0) -> Tree:
+def fit(documents: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0, least: int = LEAST) -> Tree:
     """The tree of a small corpus in one process; ``score`` spreads it over tasks."""
     spark = documents.sparkSession
     total = documents.filter(training).agg(
         F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1), F.lit(0)).alias("n"),
     ).first()["n"]
-    least = max(float(LEAST), least_share * total)
+    least = max(float(least), least_share * total)
     kept = pa.schema([("depth", pa.int32()), ("context", pa.binary()), ("byte", pa.binary()), ("count", pa.binary())])
 
     def reduce(table: pa.Table) -> pa.Table:
@@ -264,7 +269,8 @@ def _block_name(ids: list, texts: list[bytes], turn: int) -> str:
 def _bucket(gram: np.ndarray, depth: int, hot: np.ndarray, buckets: int) -> np.ndarray:
     """The range of each gram: by its two nearest bytes, by three for the pairs in ``hot``."""
     pair, near = gram >> (8 * (depth - 1)), gram >> (8 * (depth - 2))
-    return (np.where(np.isin(pair, hot), near + (1 << 24), pair) * 40_503 % 65_521) % buckets
+    mixed = np.where(np.isin(pair, hot), near + (1 << 24), pair) * 2_654_435_761 & 0xFFFFFFFF
+    return mixed * buckets >> 32
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -350,18 +356,21 @@ def _mixed(zeros: np.ndarray, ones: np.ndarray, kin: np.ndarray, below: np.ndarr
 class _Range:
     """The grams of one range: distinct ones by depth, counts, and which contexts are nodes complete here."""
 
-    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int, hot: np.ndarray):
+    def __init__(self, gram: np.ndarray, count: np.ndarray, depth: int, hot: np.ndarray, least: int):
         self.depth, self.hot = depth, hot
         self.keys, self.counts, self.up = {depth: gram}, {depth: count}, {}
         for d in range(depth - 1, 0, -1):
+            # The key of a context one byte shorter; sorted, since the byte that goes is a context's last.
             above = self.keys[d + 1]
-            self.keys[d], self.up[d] = np.unique(above >> 16 << 8 | above & 255, return_inverse=True)
-            self.counts[d] = np.bincount(self.up[d], self.counts[d + 1], len(self.keys[d]))
+            self.keys[d], up = np.unique(above >> 16 << 8 | above & 255, return_inverse=True)
+            self.up[d] = up.astype(np.int32)
+            self.counts[d] = np.bincount(up, self.counts[d + 1], len(self.keys[d]))
+            del above, up
         # Per key: whether its context is a node that this range weighs, and whether that has nodes below.
         self.node, self.kin = {}, {}
         for d in range(depth, 1, -1):
             run, starts = self.runs(d, 0)
-            full = np.add.reduceat(self.counts[d], starts) >= LEAST if len(starts) else np.zeros(0, bool)
+            full = np.add.reduceat(self.counts[d], starts) >= least if len(starts) else np.zeros(0, bool)
             if d == 2:
                 full &= ~np.isin(self.keys[2][starts] >> 8, hot)
             self.node[d] = full[run]
@@ -375,7 +384,7 @@ class _Range:
         same = self.keys[d] >> (8 - level)
         first = np.ones(len(same), bool)
         first[1:] = same[1:] != same[:-1]
-        return np.cumsum(first) - 1, np.flatnonzero(first)
+        return np.cumsum(first, dtype=np.int32) - 1, np.flatnonzero(first)
 
     def level(self, level: int) -> Iterator[tuple]:
         """From the deepest contexts to pairs: depth, decision of each key, first keys, counts and mixture of decisions."""
@@ -458,21 +467,28 @@ class _Range:
         return result
 
 
-def _range_of(table: pa.Table, depth: int, hot: np.ndarray) -> tuple[_Range, np.ndarray, list[int]]:
+def _range_of(table: pa.Table, depth: int, hot: np.ndarray, least: int) -> tuple[_Range, np.ndarray, list[int]]:
     """The grams of a range, the place of each row's grams among them, and the number of grams of each row."""
     rows = [np.cumsum(_unpacked(g.as_py(), np.int64)) for g in table["gram"]]
+    lengths = [len(r) for r in rows]
+    every = np.concatenate(rows)
+    del rows
+    gram, code = np.unique(every, return_inverse=True)
+    del every
+    code = code.astype(np.int32)
     counts = np.concatenate([_unpacked(c.as_py(), np.uint32) for c in table["count"]])
-    gram, code = np.unique(np.concatenate(rows), return_inverse=True)
-    return _Range(gram, np.bincount(code, counts, len(gram)), depth, hot), code, [len(r) for r in rows]
+    count = np.bincount(code, counts, len(gram))
+    del counts
+    return _Range(gram, count, depth, hot, least), code, lengths
 
 
-def _above(partials: dict[int, np.ndarray], hot: np.ndarray) -> dict:
+def _above(partials: dict[int, np.ndarray], hot: np.ndarray, least: int) -> dict:
     """Own part, weight below and estimate of no nodes of the root, of all bytes and of the frequent pairs."""
     def weigh(rows: np.ndarray) -> tuple[np.ndarray, tuple, np.ndarray]:
         zeros, ones = _bits(rows[:, 0])
         kin = rows[:, 4].sum(1, keepdims=True) > 0
         mixture = _mixed(zeros, ones, np.broadcast_to(kin, zeros.shape), rows[:, 3], zeros - rows[:, 1], ones - rows[:, 2])
-        return rows[:, 0].sum(1) >= LEAST, mixture, np.stack([zeros, ones, mixture[0]], axis=1)
+        return rows[:, 0].sum(1) >= least, mixture, np.stack([zeros, ones, mixture[0]], axis=1)
 
     blank = np.zeros((5, 256))
     pairs = np.stack([partials.get(int(c) + 256, blank) for c in hot]) if len(hot) else np.zeros((0, 5, 256))
@@ -491,26 +507,31 @@ def _above(partials: dict[int, np.ndarray], hot: np.ndarray) -> dict:
     return {"pair_node": pair_node, "pair": np.stack(pair[1:]), "byte_node": byte_node, "byte": np.stack(byte[1:]), "root": np.stack(root[1:])}
 
 
-def tree_scores(documents: DataFrame, training: Column, depth: int = DEPTH, buckets: int | None = None) -> DataFrame:
+def tree_scores(
+    documents: DataFrame, training: Column, depth: int = DEPTH, buckets: int | None = None, least: int = LEAST,
+) -> DataFrame:
     """_id, _tie, score and _bytes of every row; ``depth`` is 3 or more."""
     spark = documents.sparkSession
-    buckets = buckets or 4 * parts(spark)
+    if buckets is None:
+        size = documents.agg(F.sum(F.octet_length("text").cast("long") + 1).alias("n")).first()["n"] or 0
+        buckets = max(4 * parts(spark), -(-size // RANGE_BYTES))
     hot = _hot_pairs(documents, training, buckets)
     blocks = materialize(_gram_blocks(documents, training, depth, hot, buckets), "gram-blocks")
     asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "gram", "count")
 
     def sums(table: pa.Table) -> pa.Table:
-        found = _range_of(table, depth, hot)[0].partial()
-        return pa.table({"name": pa.array(list(found), pa.int64()), "sums": pa.array([x.tobytes() for x in found.values()], pa.binary())})
+        found = _range_of(table, depth, hot, least)[0].partial()
+        return pa.table({"name": pa.array(list(found), pa.int64()), "sums": pa.array([x.ravel() for x in found.values()], pa.list_(pa.float64()))})
 
-    partials: dict[int, np.ndarray] = {}
-    for r in asked.groupBy("bucket").applyInArrow(sums, "name long, sums binary").toLocalIterator():
-        # 256 bytes and the frequent pairs, of which there are fewer than ranges.
-        partials[r["name"]] = partials.get(r["name"], 0) + np.frombuffer(r["sums"]).reshape(5, 256)
-    shared = spark.sparkContext.broadcast(_above(partials, hot))
+    # Written, so that all ranges are weighed at the same time; then one row for each of 256 bytes and of the
+    # frequent pairs, of which there are fewer than ranges.
+    partial = materialize(asked.groupBy("bucket").applyInArrow(sums, "name long, sums array<double>"), "partial-sums")
+    added = partial.groupBy("name").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    partials = {r["name"]: np.array(r["sums"]).reshape(5, 256) for r in added.collect()}
+    shared = spark.sparkContext.broadcast(_above(partials, hot, least))
 
     def values(table: pa.Table) -> pa.Table:
-        found, code, lengths = _range_of(table, depth, hot)
+        found, code, lengths = _range_of(table, depth, hot, least)
         value = np.split(found.log10(shared.value).astype(np.float32)[code], np.cumsum(lengths)[:-1])
         return pa.table({
             "block": table["block"], "bucket": table["bucket"], "value": pa.array([_packed(v) for v in value], pa.binary()),
@@ -649,7 +670,7 @@ def unigram(documents: DataFrame, training: Column) -> DataFrame:
     )
 
 
-def score(documents: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
+def score(documents: DataFrame, training: Column, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
     """Both models' log10 probabilities of every row, learned from the rows that ``training`` names.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte. Whole texts are
@@ -657,7 +678,7 @@ def score(documents: DataFrame, training: Column, depth: int = DEPTH) -> DataFra
     included) and a hash of the text, so repeated rows and doc_ids keep their own scores. An empty table
     gives an empty one; without training rows every byte has probability 1 / 256 and N is 0.
     """
-    scored = tree_scores(documents, training, depth)
+    scored = tree_scores(documents, training, depth, least=least)
     scored = scored.groupBy("_id", "_tie").agg(F.min("score").alias("score"), F.min("_bytes").alias("_bytes"))
     rows = unigram(documents, training)
     joined = rows.join(scored, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["tie"] == F.col("_tie")))

@@ -16,18 +16,19 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.session import materialize
-from .common import parts
+from .common import ranked
 
 #: Documents of a group at most (on average, as groups are random).
 GROUP = 2_048
 #: A document is taken so many times at most.
 MOST = 3
 _WORD = r"[^\x20\x09-\x0D]+"
+_STATE = ["doc_id", "place", "row", "size", "number", "source_size", "target", "whole", "p"]
 
 
 def fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = MOST) -> list[float]:
@@ -107,9 +108,12 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source and number of words of each document."""
-    return documents.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
+def sized(documents: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, number of words and a hash of the text of each document, and ``row``: its own number, if it has one."""
+    return documents.select(
+        F.col("doc_id").cast("long"), "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("text").alias("tie"), (F.col(row) if row else F.lit(None)).cast("long").alias("row"),
+    )
 
 
 def targets(rows: DataFrame, weights: Sequence[float], most: int = MOST) -> list[tuple]:
@@ -124,32 +128,37 @@ def targets(rows: DataFrame, weights: Sequence[float], most: int = MOST) -> list
     return [(i, name, n, t) for i, ((name, n), t) in enumerate(zip(found, share))]
 
 
-def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), seed: int = 17, most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies of every document.
+def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), seed: int = 17, most: int = MOST, row: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies of every document, and ``row`` if a column is named by it.
 
     ``copies`` is how often the mix holds the document and ``taken`` the words of all its copies. Documents
-    without words have size 0 and take 0. A null source is a source of its own. Draws depend on the seed
-    and on doc_id, source and size only, so reruns agree under any partitioning; equal rows may differ in
-    copies, but not in what is returned for all of them together. An empty table gives an empty one.
+    without words have size 0 and take 0. A null source is a source of its own. Documents are numbered by
+    source, doc_id (nulls first), size and a hash of their text; draws depend on the seed and on these numbers,
+    so reruns agree under any partitioning, and rows that are alike in all of them, however many, are dealt
+    over all groups. Such rows may differ in copies, but not in what is returned for all of them together. An
+    empty table gives an empty one.
     """
     spark = documents.sparkSession
-    rows = materialize(sized(documents), "mix-sizes")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("size").asc(), F.col("tie").asc()]
+    rows = ranked(sized(documents, row), F.col("source"), order).drop("tree", "n", "tie").withColumnRenamed("rank", "place")
+    rows = materialize(rows, "mix-sizes")
+    named = [F.col("row").alias(row)] if row else []
     shares = targets(rows, weights, most)
     if not shares:
         return rows.select("doc_id", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"),
-                           F.lit(0).cast("long").alias("taken"), F.lit(0).alias("copies"))
+                           F.lit(0).cast("long").alias("taken"), F.lit(0).alias("copies"), *named)
     table = spark.createDataFrame(shares, "number int, _source string, source_size long, target double")
     expected = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     state = (
         rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("_e", expected)
         .select(
-            "doc_id", "size", "number", "source_size", "target", F.floor("_e").cast("int").alias("whole"),
+            "doc_id", "place", "row", "size", "number", "source_size", "target", F.floor("_e").cast("int").alias("whole"),
             F.when(F.col("size") > 0, F.col("_e") - F.floor("_e")).otherwise(0.0).alias("p"),
         )
     )
     done, level = [], 0
-    fields = "doc_id long, size long, number int, source_size long, target double, whole int, p double"
+    fields = "doc_id long, place long, row long, size long, number int, source_size long, target double, whole int, p double"
     while True:
         undecided = state.filter("p > 0 AND p < 1")
         counts = [(r["number"], r["count"]) for r in undecided.groupBy("number").count().collect()]
@@ -158,21 +167,21 @@ def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), seed: int =
             break
         groups = spark.createDataFrame([(k, -(-n // GROUP)) for k, n in counts], "number int, groups int")
         last = all(n <= GROUP for _, n in counts)
-        key = F.xxhash64(F.lit(seed + level), "doc_id", "number", "size")
+        key = F.xxhash64(F.lit(seed + level), "place", "number")
         keyed = undecided.join(F.broadcast(groups), "number").withColumn("_group", F.pmod(key, F.col("groups")).cast("int"))
 
-        def fly(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values(["doc_id", "size"], kind="stable", na_position="first")
-            number, group, single = int(frame["number"].iloc[0]), int(frame["_group"].iloc[0]), int(frame["groups"].iloc[0]) == 1
+        def fly(frame: pa.Table) -> pa.Table:
+            frame = frame.sort_by("place")
+            number, group, single = (frame[c][0].as_py() for c in ("number", "_group", "groups"))
             draw = np.random.default_rng([seed, level, number, group])
             order = draw.permutation(len(frame))
-            frame = frame.iloc[order]
-            size = frame["size"].to_numpy(float)
-            p = flight(frame["p"].to_numpy(float), size, draw.random(len(frame) + 1))
-            frame = frame.assign(p=land(p, size) if single else p)
-            return frame.drop(columns=["groups", "_group"])
+            frame = frame.take(pa.array(order))
+            size = frame["size"].to_numpy().astype(float)
+            p = flight(frame["p"].to_numpy(), size, draw.random(len(frame) + 1))
+            p = pa.array(land(p, size) if single == 1 else p)
+            return frame.set_column(frame.schema.get_field_index("p"), "p", p).select(_STATE)
 
-        state = materialize(keyed.groupBy("number", "_group").applyInPandas(fly, fields), "mix-level")
+        state = materialize(keyed.groupBy("number", "_group").applyInArrow(fly, fields), "mix-level")
         level += 1
         if last:
             done.append(state)
@@ -181,4 +190,4 @@ def mix(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), seed: int =
     for more in done[1:]:
         out = out.unionByName(more)
     copies = (F.col("whole") + (F.col("p") >= 0.5).cast("int")).alias("copies")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies, *named)

@@ -6,8 +6,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
 from . import bpe, context_tree, cotraining, licence_scan, merkle, mixing, ngram_join, one_bit_codes, periodic_runs, token_files, toxicity, warc, winnowing
 from .common import crc_text, table
 
@@ -71,6 +69,6 @@ QUERIES = {
         op1_token_files, op2_toxicity, op3_cotraining, op4_one_bit_codes, op5_ngram_join, op6_bpe, op7_context_tree, op8_warc,
         op9_winnowing, op10_mixing, op11_merkle, op12_periodic_runs, op13_licence_scan,
     )
-} | {"pipeline": corpus_pipeline.run}
+}
 
 SQL: dict[str, str] = {"op11_merkle": merkle.sql()}

@@ -128,7 +128,8 @@ def kt(a: int, b: int) -> float:
     return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
 
 
-def test_tree_equals_recursion(spark):
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_tree_equals_recursion(spark, least):
     """Weights and mixtures by the definition, over dictionaries of counts."""
     texts, depth = [b"abracadabra", b"abcabcabc", b"", "né".encode()] * 3, 2
     counts = collections.Counter()
@@ -147,7 +148,6 @@ def test_tree_equals_recursion(spark):
         o = sum(n for (d, x), n in counts.items() if d == c and x >> (8 - k) == prefix and x >> (7 - k) & 1)
         return z, o
 
-    least = 2
     kept = {c for c in contexts if total[c] >= least}
 
     def weighted(c, prefix, k):
@@ -182,7 +182,7 @@ def test_tree_equals_recursion(spark):
         return p_all
 
     df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
-    tree = context_tree.fit(df, F.lit(True), depth, 0.0)
+    tree = context_tree.fit(df, F.lit(True), depth, 0.0, least)
     for text in (b"abra", b"zz"):
         flat = bytes([255]) * depth + text + bytes([255])
         want = sum(math.log10(chance(flat[i - depth:i][::-1], flat[i])) for i in range(depth, len(flat)))
@@ -208,16 +208,18 @@ def test_language_model(spark):
     assert context_tree.score(df.limit(0), F.lit(True)).collect() == []
 
 
-@pytest.mark.parametrize("buckets", [3, 40])
-def test_spread_tree_equals_one_tree(spark, buckets):
+@pytest.mark.parametrize("least", [1, 2])
+@pytest.mark.parametrize("buckets", [3, 40, None])
+def test_spread_tree_equals_one_tree(spark, buckets, least, monkeypatch):
     """Nodes weighed range by range give what one process gives, frequent pairs split or not."""
     texts = [t or "" for t in brute.texts(200)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     training = F.col("doc_id") % 7 != 2
-    got = {r["_id"]: r.score for r in context_tree.tree_scores(df, training, 5, buckets).collect()}
+    monkeypatch.setattr(context_tree, "RANGE_BYTES", 5_000)
+    got = {r["_id"]: r.score for r in context_tree.tree_scores(df, training, 5, buckets, least).collect()}
     if buckets == 40:
         assert len(context_tree._hot_pairs(df, training, buckets))
-    want = context_tree.log10_probabilities(context_tree.fit(df, training), [t.encode() for t in texts])
+    want = context_tree.log10_probabilities(context_tree.fit(df, training, least=least), [t.encode() for t in texts])
     assert [got[i] for i in range(len(texts))] == pytest.approx(want.tolist(), rel=1e-4)
 
 
