@@ -7,7 +7,7 @@ last one returns the tokens. Columns that a stage adds for itself get names that
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import bpe, cotraining, mixing, ngram_join, toxicity
@@ -28,8 +28,9 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """The documents with a number for each row, written, so that a row keeps its number."""
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,23 +48,26 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays.
+    """Of each group of near copies one row stays: that with the smallest doc_id, nulls last, ties by a hash of the text.
 
-    Rows without doc_id cannot be named and stay.
+    Rows without words are nobody's copies and stay.
     """
-    found = ngram_join.near_copies(docs).filter("doc_id = component_id")
-    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
+    row = _fresh(docs, "_row")
+    docs = _numbered(docs, row)
+    found = ngram_join.near_copies(docs.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("_at"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row).alias("_at"))
+    keys = docs.select(F.col(row).alias("_of"), order.alias("_order"))
+    kept = keys.join(found, keys["_of"] == found["_at"]).groupBy("component_id").agg(F.min("_order").alias("_least")).select("_least._at")
+    return docs.join(kept, docs[row] == F.col("_at"), "left_semi").drop(row)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    drawn = mixing.mix(docs, WEIGHTS).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    copies, key = _fresh(docs, "_copies"), _fresh(docs, "_key")
-    drawn = drawn.select(F.col("doc_id").alias(key), F.col("_copies").alias(copies))
-    taken = docs.join(drawn, _same(docs["doc_id"], F.col(key)))
-    turn = _fresh(docs, "_turn")
-    return taken.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*(docs[c] for c in docs.columns))
+    row, key, copies, turn = (_fresh(docs, name) for name in ("_row", "_key", "_copies", "_turn"))
+    docs = _numbered(docs, row)
+    drawn = mixing.mix(docs, WEIGHTS, row=row).filter("copies > 0").select(F.col(row).alias(key), F.col("copies").alias(copies))
+    taken = docs.join(drawn, docs[row] == F.col(key))
+    return taken.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*(docs[c] for c in docs.columns if c != row))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
