@@ -40,6 +40,8 @@ LONG_WORD = 256
 
 #: Bytes of text that a task handles at a time, one document at least, and words per batch of a word list.
 PIECE, WORDS = 1 << 20, 1 << 16
+#: Units that a task remembers (a cache only).
+UNITS = 1 << 17
 _P1, _P2 = 262_139, 196_613
 #: A pair of tokens as one number: left times this plus right; no rank is as large.
 _SIDE = 50_333
@@ -226,7 +228,8 @@ class _Vocabulary:
 class _Encoder:
     """Whole texts to ids, unit by unit (see ``token_files.cut``); ``known`` has the ids of words.
 
-    Words and units that are new are added to what is known, so a task holds no more than its texts' units.
+    New words are added to what is known, so a task holds no more than its texts' words; of units it remembers
+    ``UNITS`` at most, unless one text has more.
     """
 
     def __init__(self, vocabulary: _Vocabulary, known: dict[str, bytes]):
@@ -243,7 +246,11 @@ class _Encoder:
         try:
             return b"".join(map(units.__getitem__, keys))
         except KeyError:
-            for key in set(keys).difference(units):
+            new = set(keys).difference(units)
+            if len(units) + len(new) > UNITS:
+                units.clear()
+                new = set(keys)
+            for key in new:
                 unit = blank + key
                 units[key] = self.known.get(unit) or b"".join(map(self._word, self.vocabulary.split(unit)))
             return b"".join(map(units.__getitem__, keys))
@@ -273,15 +280,44 @@ def dictionaries(documents: DataFrame, ranks: dict[bytes, int], pattern: str) ->
                 first, rest, end = cut(text or "")
                 plain.update(first, end)
                 after_blank.update(rest)
-        plain.update(" " + u for u in after_blank)
+        found = vocabulary.matches(plain)
+        plain.clear()
+        units = list(after_blank)
         after_blank.clear()
-        new = [w for w in vocabulary.matches(plain).difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
+        while units:
+            found.update(vocabulary.matches({" " + u for u in units[-WORDS:]}))
+            del units[-WORDS:]
+        new = [w for w in found.difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
+        found.clear()
         part = TaskContext.get().partitionId()
         for at in range(0, len(new), WORDS):
             some = new[at:at + WORDS]
             yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(some), pa.int32()), "w": pa.array(some, pa.string())})
 
-    words = documents.select("text").mapInArrow(list_words, "part int, w string").groupBy("w").agg(F.collect_list("part").alias("all"))
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Equal words stand together; one row for each, with the parts that have it."""
+        held, held_parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            w, part = batch.column(1), batch.column(0).to_numpy()
+            starts = [0, *(np.flatnonzero(pa.compute.not_equal(w[1:], w[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist()]
+            if held is not None:
+                if w[0].as_py() == held:
+                    part, starts = np.concatenate([held_parts, part]), [0, *(s + len(held_parts) for s in starts[1:])]
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([held], pa.string()), pa.array([held_parts], pa.list_(pa.int32()))], ["w", "all"])
+            # The last word may go on in the next batch.
+            ends, first = starts[1:], len(part) - len(w)
+            lists = pa.ListArray.from_arrays(pa.array([0, *ends] if ends else [0], pa.int32()), pa.array(part, pa.int32()))
+            if ends:
+                yield pa.RecordBatch.from_arrays([w.take(pa.array([max(s - first, 0) for s in starts[:-1]])), lists], ["w", "all"])
+            held, held_parts = w[-1].as_py(), part[starts[-1]:]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held], pa.string()), pa.array([held_parts], pa.list_(pa.int32()))], ["w", "all"])
+
+    words = documents.select("text").mapInArrow(list_words, "part int, w string").repartition("w").sortWithinPartitions("w")
+    words = words.mapInArrow(gather, "w string, all array<int>")
     folded = words.select("w", F.expr(f"cast({fold('w')} AS ARRAY<INT>)").alias("ids"), "all")
     folder = new_path(spark, "bpe-words")
     rows = folded.select(F.explode("all").alias("part"), "w", "ids")

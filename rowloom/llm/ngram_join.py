@@ -35,6 +35,8 @@ from .common import kept, parts, pieces
 
 #: Text of one block of documents.
 BLOCK_BYTES = 8 << 20
+#: Text whose words are held as such at a time.
+WORDS_BYTES = 1 << 20
 #: Entries of the matrix per range of columns: what one task counts.
 RANGE_ENTRIES = 3_000_000
 #: A rough group is searched in one task up to so many rows and shared entries, else by joins.
@@ -90,6 +92,12 @@ def ngram_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
     return found
 
 
+def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[np.ndarray]:
+    """The sets of all rows of ``batches``; words are held for a small part of the texts at a time."""
+    for piece in pieces(batches, "text", WORDS_BYTES):
+        yield from ngram_sets(piece.column(column).to_pylist(), n)
+
+
 def _class(grams: np.ndarray) -> int:
     """A set's own number: 64 bits of its n-grams, as a signed long."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).astype(np.int64))
@@ -99,7 +107,7 @@ def sizes(documents: DataFrame, n: int = 5) -> DataFrame:
     """doc_id, n_shingles and the number of its set (null for an empty one) of every row."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", BLOCK_BYTES):
-            sets = ngram_sets(piece.column(1).to_pylist(), n)
+            sets = list(_sets(iter([piece]), 1, n))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": piece.column(0), "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
                 "set": pa.array([_class(x) if len(x) else None for x in sets], pa.int64()),
@@ -114,7 +122,7 @@ def _blocks(documents: DataFrame, ranges: int, n: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", BLOCK_BYTES):
             sets = {}
-            for grams in ngram_sets(piece.column(0).to_pylist(), n):
+            for grams in _sets(iter([piece]), 0, n):
                 if len(grams):
                     sets.setdefault(_class(grams), grams)
             if not sets:
