@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import encoders as E
+from ..functions.sparse import sparse_vector
 from ..sources.session import materialize
 from . import project
 from .lookup import lookup_join, row_bytes
+from .numbering import ranked
 
 
 def frequency_table(df: DataFrame, value: Column) -> DataFrame:
@@ -61,6 +63,38 @@ def one_hot_columns(df: DataFrame, column: str, known: Sequence[str] | None = No
     return [F.when(value == c, 1).otherwise(0).alias(E.one_hot_name(column, c)) for c in known]
 
 
+def one_hot_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, position): a dense number for every category of every column, by column order and category.
+
+    Categories are counted map-side, sorted by ranges and numbered by prefix counts; no list of them is
+    anywhere, so a column may have millions.
+    """
+    counts = category_counts(df, {c: E.category(c) for c in columns})
+    order = F.array_position(F.lit(list(columns)), F.col("column"))
+    numbered = ranked(counts.select("column", "value"), F.lit(0), [order.asc(), F.col("value").asc()])
+    return materialize(numbered.select("column", "value", F.col("rank").cast("int").alias("position")), "one-hot")
+
+
+def one_hot_vector(
+    df: DataFrame, key: str, columns: Sequence[str], output: str = "one_hot", numbers: DataFrame | None = None,
+) -> tuple[DataFrame, int]:
+    """(key, sparse vector of all columns' one-hot cells), and its length; ``key`` is unique.
+
+    ``numbers`` may come from an earlier fit; a category that it lacks has no entry.
+    """
+    numbers = one_hot_numbers(df, columns) if numbers is None else numbers
+    fitted = numbers.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(numbers)).alias("bytes")).first()
+    held = df.select(key, *[E.category(c).alias(c) for c in columns]).unpivot([key], list(columns), "column", "value")
+    # One text of both, so that a hot category meets a broadcast slice where the numbers are too many to send.
+    both = F.concat_ws("\x00", "column", "value")
+    codes = numbers.select(both.alias("__cell"), "position")
+    cells = lookup_join(held.select(key, both.alias("__cell")), codes, "__cell", "left", size=fitted["bytes"] or 0)
+    places = F.array_sort(F.array_compact(F.collect_list("position")))
+    rows = cells.groupBy(key).agg(places.alias("__places"))
+    ones = F.transform("__places", lambda _: F.lit(1.0))
+    return rows.withColumn("__ones", ones).select(key, sparse_vector(fitted["n"], "__places", "__ones").alias(output)), fitted["n"]
+
+
 def encode_stage(df: DataFrame) -> DataFrame:
     """All encodings of the model table; raw categoricals and texts are dropped.
 

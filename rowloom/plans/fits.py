@@ -78,6 +78,18 @@ def evaluate_ridge(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(row)
 
 
+def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The ridge model of all nine features, beside the quality of its numeric and one-hot blocks."""
+    rows = items(spark, folder)
+    typed = models.typed_features(rows, FEATURES, TARGET, ["key"])
+    flags = [c for c in FEATURES if c.startswith("l_returnflag")]
+    blocks = models.assemble(models.assemble(typed, [c for c in FEATURES if c not in flags], "numeric"), flags, "one_hot")
+    quality = vectors.vector_quality(blocks, {("items", "numeric"): "numeric", ("items", "one_hot"): "one_hot"})
+    row = crossval.evaluation_report(*_split(rows, FEATURES), "ridge", models.Ridge("scaled"), quality)
+    shares = [c for c in row.columns if c.startswith("items_")]
+    return _rounded(row.drop(*shares)).crossJoin(row.select(*[F.round(c, 6).alias(c) if c[-7:] != "columns" else F.col(c) for c in shares]))
+
+
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
     """Four models on one split, best test R2 first."""
     _, scores, _ = crossval.compare_models(*_split_items(spark, folder), _estimators())
@@ -141,6 +153,18 @@ def save_load_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def production_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Train on all nine features, save, load, align and score all rows with the loaded model."""
+    rows = items(spark, folder)
+    model, scores = serve.train(rows, "key", FEATURES, TARGET, models.Ridge("scaled"))
+    test = scores.filter("dataset = 'test'").first().asDict()
+    path = new_path(spark, "model")
+    save_model(spark, model, FEATURES, {m: test[m] for m in ("r2", "rmse", "mae")}, path)
+    loaded, manifest, _ = load_model(spark, path)
+    found = serve.score(rows, loaded, manifest, "key", TARGET)
+    return found.select("row_index", *[F.round(c, 0).alias(c) for c in ("predicted_salary", "actual_salary", "error")])
+
+
 def compare_approaches(spark: SparkSession, folder: str) -> DataFrame:
     """Ten-fold scores of five text feature sets for one target, from one scan over all folds.
 
@@ -180,6 +204,8 @@ QUERIES = {
     "tree_importance": tree_importance,
     "permutation_importance": permutation_importance,
     "compare_importance": compare_importance,
+    "evaluation_report": evaluation_report,
+    "production_score": production_score,
     "save_load_score": save_load_score,
     "compare_approaches": compare_approaches,
 }
@@ -234,6 +260,20 @@ loss AS (SELECT i, any_value(w[i]) AS c, covar_pop(y - p, z[i]) AS ez, var_pop(z
 drops AS (SELECT i, (2 * c * ez + 2 * c * c * zz) / yy AS v FROM loss)
 SELECT 'ridge' AS model, {FEATURES}[i] AS feature,
   round(CASE WHEN sum(v) OVER () > 0 THEN v / sum(v) OVER () ELSE v END, 9) AS importance FROM drops""",
+    "evaluation_report": f"""
+WITH {_sql_ridge()},
+s AS (SELECT t, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2 FROM p_ GROUP BY t),
+c AS (SELECT i <= 6 AS numeric, x[i] AS v FROM part_, i_),
+q AS (SELECT numeric, round(avg(v), 6) AS m, round(stddev_pop(v), 6) AS d, round(100.0::DOUBLE * count(*) FILTER (v <> 0) / count(*), 6) AS z FROM c GROUP BY numeric)
+SELECT 'ridge' AS name, round(a.rmse, 3) AS train_rmse, round(b.rmse, 3) AS test_rmse, round(a.mae, 3) AS train_mae,
+  round(b.mae, 3) AS test_mae, round(a.r2, 6) AS train_r2, round(b.r2, 6) AS test_r2, round(a.r2 - b.r2, 6) AS overfitting_gap,
+  CASE WHEN a.r2 - b.r2 < 0.05 THEN 'None' WHEN a.r2 - b.r2 < 0.1 THEN 'Mild' WHEN a.r2 - b.r2 < 0.2 THEN 'Moderate' ELSE 'Severe' END AS overfitting_status,
+  6::INTEGER AS items_numeric_columns, n.m AS items_numeric_mean, n.d AS items_numeric_std, n.z AS items_numeric_non_zero_percent,
+  3::INTEGER AS items_one_hot_columns, o.m AS items_one_hot_mean, o.d AS items_one_hot_std, o.z AS items_one_hot_non_zero_percent
+FROM s a JOIN s b ON NOT a.t AND b.t JOIN q n ON n.numeric JOIN q o ON NOT o.numeric""",
+    "production_score": f"""
+WITH {_sql_ridge()}
+SELECT key AS row_index, round(p, 0) AS predicted_salary, round(y, 0) AS actual_salary, round(abs(p - y), 0) AS error FROM p_""",
     "train_report": f"""
 WITH {_sql_ridge()},
 e AS (SELECT key, abs(y - p) AS e FROM p_ WHERE t),

@@ -10,6 +10,7 @@ from ..functions import encoders as E
 from ..functions import target as target_functions
 from ..functions.cells import number_or_zero, strip, to_double, to_double_or_zero
 from ..functions.naming import feature_columns, select_names, table_column_type
+from ..functions.sparse import entries
 from ..operators import encode, missing, order_stats, profile, project, validate
 from ..sources.session import new_path
 from ..sources.tables import read_csv, write_csv
@@ -449,7 +450,15 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text")
 
 
+def one_hot_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """One sparse vector per customer over two categoricals, of which one has as many categories as there are customers."""
+    rows = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    found, _ = encode.one_hot_vector(rows, "c_custkey", ["c_mktsegment", "c_name"])
+    return found.select("c_custkey", F.inline(entries("one_hot"))).select("c_custkey", F.col("index").cast("bigint").alias("position"), "value")
+
+
 QUERIES = {
+    "one_hot_vectors": one_hot_vectors,
     "target_normalized": target_normalized,
     "target_source_counts": target_source_counts,
     "target_summary": target_summary,
@@ -497,6 +506,11 @@ fill AS (
 """
 _FREQ = "ln(count(*) OVER (PARTITION BY {0}) + 1) / ln(count(*) OVER () + 1)"
 SQL = {
+    "one_hot_vectors": """
+WITH c AS (SELECT DISTINCT 0 AS k, trim(c_mktsegment) AS v FROM customer UNION SELECT DISTINCT 1, trim(c_name) FROM customer),
+p AS (SELECT k, v, row_number() OVER (ORDER BY k, v) - 1 AS position FROM c)
+SELECT c_custkey, position, 1.0::DOUBLE AS value
+FROM (SELECT c_custkey, 0 AS k, trim(c_mktsegment) AS v FROM customer UNION ALL SELECT c_custkey, 1, trim(c_name) FROM customer) JOIN p USING (k, v)""",
     "target_normalized": f"WITH {SQL_BOUNDS} SELECT l_partkey, nullif(salary_normalized, 0) AS salary_normalized, source FROM labelled",
     "target_source_counts": f"""
 WITH {SQL_BOUNDS} SELECT source, count(*) AS count, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS percent

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fixed
 from ..functions import text as X
 from ..functions.cells import fixed_point, prefix, strip
 from ..functions.encoders import one_hot_name_column
 from ..functions.naming import feature_type
+from ..functions.sparse import entries
 from ..operators import tfidf, vectors
 from ..sources.artifacts import load_vectors
 from ..sources.session import materialize, new_path
-from ..sources.tables import spread
+from ..sources.tables import FeatureChoice, join_blocks, spread, store_blocks
 from .base import documents, sql_clean, sql_grams, sql_hash, sql_words, table
 
 CLEAN = sql_clean("text")
@@ -101,12 +102,12 @@ def leading_terms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _sql_tfidf(rows: str, key: str, shortest: int, features: int, min_df: int, sublinear: bool) -> str:
+def _sql_tfidf(rows: str, key: str, shortest: int, features: int, min_df: int, sublinear: bool, longest: int = 2) -> str:
     tf = "1 + ln(tf)" if sublinear else "tf"
     return f"""
 rows_ AS ({rows}),
 tok AS (SELECT {key}, {sql_words(sql_clean('text'), shortest)} AS t FROM rows_),
-gram AS (SELECT {key}, unnest({sql_grams('t')}) AS term FROM tok),
+gram AS (SELECT {key}, unnest({sql_grams('t') if longest > 1 else 't'}) AS term FROM tok),
 tfs AS (SELECT {key}, term, count(*) AS tf FROM gram GROUP BY ALL),
 size_ AS (SELECT count(*) AS n FROM rows_),
 vocab AS (
@@ -188,25 +189,13 @@ SQL_EXPAND = "SELECT doc_id, lang, " + ", ".join(
 
 
 def feature_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Both blocks as whole vectors of all documents, zeros where a document has none, measured in one pass."""
     docs, model = tfidf.fit_field(documents(spark, folder, "text"), "text", "description")
-    n = docs.count()
-    given = table(spark, folder, "embeddings").join(
-        table(spark, folder, "documents").select(F.col("doc_id").alias("vec_id")), "vec_id"
-    )
-    cells = model.long(docs, "doc_id").select(
-        F.lit("description").alias("field"), F.lit("tfidf").alias("block"), F.col("weight").alias("value")
-    ).unionByName(
-        vectors.long_vectors(given, "vec_id", "embedding").select(
-            F.lit("description").alias("field"), F.lit("w2v").alias("block"), F.col("value").cast("double").alias("value")
-        )
-    )
-    sizes = spark.createDataFrame(
-        [("description", "tfidf", len(model.vocabulary)), ("description", "w2v", SIZE)],
-        "field STRING, block STRING, columns INT",
-    )
-    return vectors.block_quality(cells, sizes, n).select(
-        "field", "block", "columns", *[F.round(c, 6).alias(c) for c in ("mean", "std", "non_zero_percent")]
-    )
+    given = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("emb"))
+    joined = vectors.attach_vectors(model.transform(docs).select("doc_id", "description_tfidf"), given, "doc_id", "emb", SIZE)
+    held = joined.select("description_tfidf", vectors.array_to_vector("emb").alias("emb"))
+    found = vectors.vector_quality(held, {("description", "tfidf"): "description_tfidf", ("description", "w2v"): "emb"})
+    return found.select("field", "block", "columns", *[F.round(c, 6).alias(c) for c in ("mean", "std", "non_zero_percent")])
 
 
 SQL_QUALITY = f"""
@@ -271,30 +260,82 @@ def word2vec_fit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The six text fields, made of the columns of documents: how Spark builds them, and their words in SQL.
+_FIELDS = {
+    "description": (F.col, ("text",), "text"),
+    "title": (F.concat_ws, (" ", "source", "lang", "text"), "source || ' ' || lang || ' ' || text"),
+    "all_skills": (F.concat_ws, ("|", "lang", "source"), "lang || ' ' || source"),
+    "description_company": (F.concat_ws, (" ", "text", "source"), "text || ' ' || source"),
+    "all_industries": (F.concat_ws, ("|", "source", "lang", "lang"), "source || ' ' || lang || ' ' || lang"),
+    "benefits_list": (F.concat_ws, ("| ", "source", "lang", "source"), "source || ' ' || lang || ' ' || source"),
+}
+
+
 def hybrid_features(spark: SparkSession, folder: str) -> DataFrame:
-    """The non-zero features of two fields: TF-IDF weights and mean word vectors side by side."""
-    docs = documents(spark, folder, "text", "lang", "source").withColumn("title", F.concat_ws(" ", "source", "lang", "text"))
+    """The non-zero features of all six fields: TF-IDF weights and mean word vectors side by side."""
+    docs = documents(spark, folder, "text", "lang", "source")
+    docs = docs.select("doc_id", "text", *[make(*args).alias(f"{name}_") for name, (make, args, _) in _FIELDS.items()])
     held = docs.select("doc_id", X.words(X.clean_text("text")).alias("words"))
     found, names = vectors.hybrid_features(
-        docs, "doc_id", {"description": "text", "title": "title"}, _word_vectors(spark, folder, held), SIZE
+        docs, "doc_id", {name: f"{name}_" for name in _FIELDS}, _word_vectors(spark, folder, held), SIZE
     )
-    cells = found.select("doc_id", F.posexplode_outer(vector_to_array("features")).alias("at", "value"))
+    cells = found.select("doc_id", F.inline_outer(entries("features")))
     value = F.round("value", 6)
-    return cells.filter(value != 0).select("doc_id", F.lit(names)[F.col("at")].alias("feature"), value.alias("value"))
+    return cells.filter(value != 0).select("doc_id", F.lit(names)[F.col("index")].alias("feature"), value.alias("value"))
+
+
+def _sql_field(name: str) -> str:
+    features, least, _, longest = fixed.TRACK_B_TERMS[name]
+    return _sql_tfidf(f"SELECT doc_id, {_FIELDS[name][2]} AS text FROM documents", "doc_id", 1, features, least, False, longest)
 
 
-_TITLES = _sql_tfidf("SELECT doc_id, source || ' ' || lang || ' ' || text AS text FROM documents", "doc_id", 1, 50, 3, False)
 SQL_HYBRID = " UNION ALL ".join(
     f"SELECT doc_id, '{name}_' || f AS feature, round(v, 6) AS value FROM ({rows}) WHERE round(v, 6) <> 0"
-    for name, rows in (
-        ("description", f"WITH {SQL_DOCS} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
-        ("title", f"WITH {_TITLES} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights"),
-        ("description", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean('text')})"),
-        ("title", f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean("source || ' ' || lang || ' ' || text")})"),
+    for name in _FIELDS for rows in (
+        f"WITH {_sql_field(name)} SELECT doc_id, 'tfidf_' || term AS f, weight AS v FROM weights",
+        f"SELECT doc_id, 'w2v_' || dim AS f, m AS v FROM ({_sql_mean(_FIELDS[name][2])})",
     )
 )
 
 
+def feature_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Five feature blocks, stored by buckets of the document, joined without moving a row; what each gives a document."""
+    docs = documents(spark, folder, "text", "lang", "source")
+    docs = docs.select("doc_id", "text", *[_FIELDS[n][0](*_FIELDS[n][1]).alias(n) for n in ("title", "all_skills")])
+    blocks = {}
+    for name, field in (("title_terms", "title"), ("description_terms", "description"), ("skills_terms", "all_skills")):
+        held, model = tfidf.fit_field(docs, "text" if field == "description" else field, field)
+        blocks[name] = model.transform(held).select("doc_id", F.col(f"{field}_tfidf").alias(name))
+    words = docs.select("doc_id", X.words(X.clean_text("text")).alias("words"))
+    pooled = vectors.pool_words(words, "doc_id", "words", _word_vectors(spark, folder, words), SIZE)
+    blocks["description_vectors"] = pooled.select("doc_id", vectors.array_to_vector("vector").alias("description_vectors"))
+    given = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("v"))
+    given = vectors.attach_vectors(docs.select("doc_id"), given, "doc_id", "v", SIZE)
+    blocks["title_vectors"] = given.select("doc_id", vectors.array_to_vector("v").alias("title_vectors"))
+    stored = store_blocks(spark, {"base": docs.select("doc_id"), **blocks}, "doc_id")
+    joined = join_blocks(stored.pop("base"), stored, FeatureChoice(), "doc_id")
+
+    def figures(name: str) -> Column:
+        values = F.transform(entries(name), lambda e: F.round(e["value"], 6))
+        used = F.filter(values, lambda v: v != 0)
+        return F.struct(F.lit(name).alias("block"), F.size(used).cast("long").alias("non_zero"), F.aggregate(
+            used, F.lit(0.0), lambda a, v: a + v).alias("total"))
+
+    found = joined.select("doc_id", F.inline(F.array(*[figures(n) for n in FeatureChoice().blocks()])))
+    return found.withColumn("total", F.round("total", 4))
+
+
+SQL_BLOCKS = "SELECT doc_id, block, count(v)::BIGINT AS non_zero, round(coalesce(sum(v), 0), 4) AS total FROM (" + " UNION ALL ".join(
+    f"SELECT d.doc_id, '{name}' AS block, nullif(round(v, 6), 0) AS v FROM documents d LEFT JOIN ({rows}) r ON r.doc_id = d.doc_id"
+    for name, rows in (
+        *((f"{n}_terms", f"WITH {_sql_field(f)} SELECT doc_id, weight AS v FROM weights") for n, f in (
+            ("title", "title"), ("description", "description"), ("skills", "all_skills"))),
+        ("title_vectors", "SELECT vec_id AS doc_id, unnest(embedding)::DOUBLE AS v FROM embeddings"),
+        ("description_vectors", f"SELECT doc_id, m AS v FROM ({_sql_mean('text')})"),
+    )
+) + ") GROUP BY ALL"
+
+
 QUERIES = {
     "clean_text": clean_text,
     "tokenize_fields": tokenize_fields,
@@ -313,6 +354,7 @@ QUERIES = {
     "batch_embed": batch_embed,
     "word2vec_fit": word2vec_fit,
     "hybrid_features": hybrid_features,
+    "feature_blocks": feature_blocks,
 }
 
 _ITEM = sql_clean("trim(i)")
@@ -355,6 +397,7 @@ c AS (SELECT doc_id, {sql_hash('word')} AS code FROM w),
 n AS (SELECT doc_id, code % {SIZE} AS dim, sum(CASE WHEN code // {SIZE} % 2 = 0 THEN 1 ELSE -1 END) AS n FROM c GROUP BY ALL)
 SELECT doc_id, dim, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 6) AS value FROM n WHERE n <> 0""",
     "hybrid_features": SQL_HYBRID,
+    "feature_blocks": SQL_BLOCKS,
     "word2vec_fit": r"""
 SELECT word, 100::BIGINT AS size
 FROM (SELECT unnest(string_split_regex(text, '[\s\x0b]+')) AS word FROM documents)

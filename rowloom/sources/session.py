@@ -30,11 +30,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 _written: list[str] = []
+_tables: list[str] = []
 
 
 def release(spark: SparkSession) -> int:
     """Delete what this driver has put into the shared folder; call it when no result is read any more."""
     paths, jvm = list(_written), spark.sparkContext._jvm
+    for table in _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _tables.clear()
     _written.clear()
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
@@ -42,6 +46,12 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def new_table(path: str) -> str:
+    """A name in the catalog for a table at a fresh path, until ``release``."""
+    _tables.append("rowloom_" + path.rsplit("-", 1)[1])
+    return _tables[-1]
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a table that several later jobs read, and return the written table.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import csv_ranges
+from .session import new_path, new_table
 
 # Options under which text with quotes, separators and line breaks survives a round trip.
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -73,6 +74,25 @@ def join_blocks(base: DataFrame, blocks: dict[str, DataFrame], choice: FeatureCh
     return out
 
 
+def store_blocks(spark: SparkSession, tables: dict[str, DataFrame], key: str, buckets: int | None = None) -> dict[str, DataFrame]:
+    """Write tables bucketed and sorted by their key, and return the written ones.
+
+    Each table is shuffled once, when it is written; joining any choice of them (``join_blocks``) then merges
+    bucket with bucket and moves no row. ``buckets`` is the same for all; take as many as the largest table has
+    times 128 MB.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {}
+    for name, df in tables.items():
+        path = new_path(spark, f"block-{name}")
+        table = new_table(path)
+        # One file per bucket: a table read with several would be sorted again.
+        dealt = df.repartition(buckets, key)
+        dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        stored[name] = spark.table(table).hint("merge")
+    return stored
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Redistribute the rows of a plain scan that yields fewer tasks than there are cores.
 

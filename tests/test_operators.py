@@ -9,12 +9,14 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from rowloom import fixed_values as fixed
+from rowloom.functions import sparse
 from rowloom.functions import text as X
 from rowloom.operators import (
-    crossval, encode, explain, importance, lookup, metrics, missing, models, network, order_stats, profile, project, serve, split,
+    crossval, encode, explain, importance, lookup, metrics, missing, models, network, numbering, order_stats, profile, project, serve, split,
     tfidf, validate, vectors,
 )
 from rowloom.operators.network import NetworkModel, NetworkRegressor
@@ -623,3 +625,129 @@ def test_csv_lines_with_stray_quotes():
 def test_csv_of_nothing(spark, tmp_path):
     (tmp_path / "h.csv").write_text("a,b\n")
     assert tables.read_csv(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("stored", ["dense", "sparse"])
+def test_ridge_by_conjugate_gradients_is_the_normal_solution(spark, monkeypatch, stored):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 12)) * rng.choice([0.01, 1.0, 30.0], 12) + rng.choice([0.0, 5.0], 12)
+    x[rng.random(x.shape) < 0.6] = 0.0
+    x[:, 9] = x[:, 3] + x[:, 4]  # dependent
+    for constant in (False, True):
+        if constant:
+            x[:, 7] = 2.0
+        y = 100 + x @ rng.normal(size=12) + rng.normal(size=400)
+        rows = [(Vectors.dense(r) if stored == "dense" else Vectors.sparse(12, [(int(i), float(r[i])) for i in np.flatnonzero(r)]), float(t)) for r, t in zip(x, y)]
+        df = spark.createDataFrame([*rows, (rows[0][0], None)], ["features", "label"]).repartition(3)
+        for alpha in (1.0, 20.0):
+            monkeypatch.setattr(models, "NORMAL_SOLVER_FEATURES", 4)
+            steps = models.Ridge("features", alpha=alpha).fit(df)
+            monkeypatch.undo()
+            z = x - x.mean(0)
+            w = np.linalg.solve(z.T @ z + alpha * np.eye(12), z.T @ (y - y.mean()))
+            assert steps.coefficients.toArray() == pytest.approx(w, rel=1e-8, abs=1e-9)
+            assert steps.intercept == pytest.approx(y.mean() - x.mean(0) @ w, rel=1e-8)
+            if not constant:  # MLlib's own solver leaves constant features out of the penalty
+                normal = models.Ridge("features", alpha=alpha).fit(df.filter("label IS NOT NULL"))
+                assert steps.coefficients.toArray() == pytest.approx(normal.coefficients.toArray(), rel=1e-8, abs=1e-9)
+                p, q = ([r["prediction"] for r in m.transform(df).collect()] for m in (steps, normal))
+                assert p == pytest.approx(q, rel=1e-8)
+
+
+def test_one_hot_of_large_domains(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, f"k{i}" if i % 9 else "  ", str(rng.choice(["x", "y z", ""])), None if i % 5 else "v") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id BIGINT, a STRING, b STRING, c STRING").repartition(5)
+    found, size = encode.one_hot_vector(df, "id", ["a", "b", "c"])
+    clean = lambda v: (v or "").strip() or "missing"
+    names = [(k, v) for k in range(3) for v in sorted({clean(r[k + 1]) for r in rows})]
+    place = {n: i for i, n in enumerate(names)}
+    assert size == len(names)
+    got = {r["id"]: r["one_hot"] for r in found.collect()}
+    assert {i: sorted(place[k, clean(r[k + 1])] for k in range(3)) for i, r in enumerate(rows)} == {i: v.indices.tolist() for i, v in got.items()}
+    assert all(v.size == size and set(v.values) == {1.0} for v in got.values())
+    numbers = encode.one_hot_numbers(df.filter("id < 10"), ["a", "b", "c"])
+    some, fewer = encode.one_hot_vector(df, "id", ["a", "b", "c"], numbers=numbers)
+    assert fewer < size and some.count() == 3000 and some.filter("id = 2000").first()["one_hot"].size == fewer
+    assert encode.one_hot_vector(df.limit(0), "id", ["a"])[0].collect() == []
+
+
+def test_dense_ranks(spark):
+    rows = [(i % 3 if i % 7 else None, i % 11) for i in range(500)]
+    got = numbering.ranked(spark.createDataFrame(rows, "t INT, v INT").repartition(4), F.col("t"), [F.col("v").asc()]).collect()
+    for tree in (None, 0, 1, 2):
+        some = sorted((r["rank"], r["v"], r["n"]) for r in got if r["tree"] == tree)
+        want = sorted(v for t, v in rows if t == tree)
+        assert some == [(i, v, len(want)) for i, v in enumerate(want)]
+
+
+def test_stored_blocks_join_without_moving_rows(spark):
+    ids = spark.range(1000).withColumnRenamed("id", "row_id")
+    blocks = {n: ids.withColumn(n, F.col("row_id") * k) for k, n in enumerate(tables.FeatureChoice().blocks())}
+    stored = tables.store_blocks(spark, {"base": ids, **blocks}, "row_id", 4)
+    choice = tables.FeatureChoice(skills_terms=False)
+    joined = tables.join_blocks(stored.pop("base"), stored, choice)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.columns == ["row_id", *choice.blocks()] and joined.count() == 1000
+    assert joined.filter("row_id = 7").first()["description_vectors"] == 28
+
+
+def test_sparse_entries_and_vectors(spark):
+    rows = [(1, Vectors.sparse(6, [1, 4], [2.0, 5.0])), (2, Vectors.dense([1.0, 0.0, 3.0])), (3, Vectors.sparse(4, [], []))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    cells = df.select("id", F.inline_outer(sparse.entries("v"))).filter("value <> 0").collect()
+    assert sorted(map(tuple, cells)) == [(1, 1, 2.0), (1, 4, 5.0), (2, 0, 1.0), (2, 2, 3.0)]
+    back = df.withColumn("e", sparse.entries("v")).select("id", sparse.sparse_vector(6, F.transform("e", lambda e: e["index"]), F.transform("e", lambda e: e["value"])).alias("w"))
+    assert {r["id"]: r["w"] for r in back.collect()}[1] == rows[0][1]
+
+
+def test_weights_stay_sparse(spark):
+    docs = spark.createDataFrame([(i, [f"w{i % 400}", f"w{(i * 7) % 400}", "all"]) for i in range(800)], "id INT, words ARRAY<STRING>")
+    for sublinear in (False, True):
+        model = tfidf.TermWeights(max_features=400, min_df=1, max_df=1.0, sublinear=sublinear).fit(docs)
+        got = model.transform(docs).select("weights").collect()
+        assert all(isinstance(r["weights"], SparseVector) and len(r["weights"].indices) <= 3 for r in got)
+        assert [np.linalg.norm(r["weights"].values) for r in got] == pytest.approx([1.0] * len(got))
+
+
+def test_vector_quality(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(50, 4)), np.where(rng.random((50, 3)) < 0.5, 0.0, 2.0)
+    rows = [(Vectors.dense(x), Vectors.sparse(3, [(int(i), float(y[i])) for i in np.flatnonzero(y)])) for x, y in zip(a, b)]
+    df = spark.createDataFrame(rows, ["a", "b"])
+    found = vectors.vector_quality(df, {("f", "a"): "a", ("f", "b"): "b"})
+    got = {r["block"]: r for r in found.collect()}
+    for name, x in (("a", a), ("b", b)):
+        r = got[name]
+        assert (r["columns"], r["mean"], r["std"], r["non_zero_percent"]) == pytest.approx((x.shape[1], x.mean(), x.std(), 100 * (x != 0).mean()))
+    assert vectors.quality_columns(found).first()["f_b_non_zero_percent"] == pytest.approx(100 * (b != 0).mean())
+    assert vectors.vector_quality(df.limit(0), {("f", "a"): "a"}).collect() == []
+
+
+def test_encoder_of_the_caller(spark):
+    def load():
+        return lambda texts: np.array([[len(t), t.count("a")] for t in texts], np.float32)
+
+    df = spark.createDataFrame([(i, "a" * (i % 4) + "b" * i) for i in range(40)], "id INT, t STRING").repartition(3)
+    got = {r["id"]: r["v"] for r in df.select("id", vectors.encode_batches("t", load, 7).alias("v")).collect()}
+    assert got == {i: [i % 4 + i, i % 4] for i in range(40)}
+
+
+def test_word_vectors_place_planted_synonyms_together(spark):
+    """Words that occur in the same contexts are nearer to each other than to words of other contexts."""
+    rng = np.random.default_rng(12)
+    groups = [["cat", "dog"], ["red", "blue"], ["run", "walk"]]
+    contexts = [[f"c{g}x{i}" for i in range(6)] for g in range(3)]
+    rows = []
+    for _ in range(1500):
+        g = int(rng.integers(3))
+        words = [str(w) for w in rng.choice(contexts[g], 6)]
+        words.insert(3, str(rng.choice(groups[g])))
+        rows.append((words,))
+    table = spark.createDataFrame(rows, "words ARRAY<STRING>")
+    model = vectors.fit_word_vectors(table, "words", partitions=1, size=16, epochs=5)
+    v = {r["word"]: np.array(r["vec"]) for r in vectors.vector_table(model).collect()}
+    near = lambda a, b: v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b])
+    for g, (a, b) in enumerate(groups):
+        assert all(near(a, b) > near(a, other) for h, pair in enumerate(groups) if h != g for other in pair)
