@@ -88,8 +88,14 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
 
 
+def _kind(vectors: DataFrame) -> type:
+    """How components are held for the exact distances: as they are given."""
+    return np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
+
+
 def build(vectors: DataFrame, dimension: int, seed: int = 11) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """(index, mean, rotation) of usable vectors (vec_id, embedding) of one dimension."""
+    kind = _kind(vectors)
     totals = vectors.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     mean = np.zeros(dimension)
     for row in totals.collect():  # one row per dimension
@@ -100,8 +106,8 @@ def build(vectors: DataFrame, dimension: int, seed: int = 11) -> tuple[DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 some = batch.slice(at, BLOCK)
-                matrix = _matrix(some.column(1), dimension).astype(np.float32)
-                codes, norm, fit = encode(matrix, mean, turn)
+                matrix = _matrix(some.column(1), dimension).astype(kind)
+                codes, norm, fit = encode(matrix.astype(np.float32), mean, turn)
                 yield pa.RecordBatch.from_pydict({
                     "ids": [some.column(0).to_numpy().tobytes()], "vectors": [matrix.tobytes()], "codes": [codes.tobytes()],
                     "norm": [norm.tobytes()], "fit": [fit.tobytes()],
@@ -112,8 +118,13 @@ def build(vectors: DataFrame, dimension: int, seed: int = 11) -> tuple[DataFrame
 
 
 def search(index: DataFrame, mean: np.ndarray, turn: np.ndarray, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest of each query (vec_id, embedding; one row per vec_id)."""
-    spark = index.sparkSession
+    """query_id, rank, vec_id, score of the k nearest of each query (vec_id, embedding; one row per vec_id).
+
+    Queries are taken in blocks of QUERY_BYTES, one after the other: driver and tasks hold one block, whatever
+    the number of queries.
+    """
+    spark, kind = index.sparkSession, _kind(queries)
+    order = W.partitionBy("query_id").orderBy("score", "vec_id")
     dimension = len(mean)
     total = queries.count()
     blocks = max(1, -(-total * dimension * 4 // QUERY_BYTES))
@@ -123,7 +134,7 @@ def search(index: DataFrame, mean: np.ndarray, turn: np.ndarray, queries: DataFr
         if not rows:
             continue
         ids = np.array([r["vec_id"] for r in rows], np.int64)
-        vectors = np.array([r["embedding"] for r in rows], np.float32)
+        vectors = np.array([r["embedding"] for r in rows], kind)
         rest = vectors.astype(np.float64) - mean
         norm = np.sqrt((rest * rest).sum(1))
         turned = (rest / np.where(norm > 0, norm, 1)[:, None] @ turn).astype(np.float32)
@@ -135,7 +146,7 @@ def search(index: DataFrame, mean: np.ndarray, turn: np.ndarray, queries: DataFr
             for batch in batches:
                 for row in zip(*(c.to_pylist() for c in batch.columns)):
                     own = np.frombuffer(row[0], np.int64)
-                    matrix = np.frombuffer(row[1], np.float32).reshape(-1, dimension)
+                    matrix = np.frombuffer(row[1], kind).reshape(-1, dimension)
                     codes = np.frombuffer(row[2], np.uint8).reshape(len(own), -1)
                     n, fit = np.frombuffer(row[3]), np.frombuffer(row[4])
                     for at in range(0, len(ids), 256):
@@ -158,11 +169,13 @@ def search(index: DataFrame, mean: np.ndarray, turn: np.ndarray, queries: DataFr
                     yield pa.RecordBatch.from_pydict({"query_id": q, "vec_id": v, "score": d}, schema=_FOUND)
 
         part = index.mapInArrow(scan, "query_id long, vec_id long, score double")
+        part = part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        part = materialize(part, "nearest")
+        shared.destroy()
         partial = part if partial is None else partial.union(part)
     if partial is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return partial
 
 
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, seed: int = 11) -> DataFrame:
@@ -173,7 +186,9 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, seed: int = 11
     are one query, that of its smallest vector, and none of them is its own neighbour. Fewer than k
     candidates are all returned; ties go to the smaller vec_id. An empty table gives an empty result.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>"), is_query.alias("_query"))
+    given = embeddings.schema["embedding"].dataType.elementType.typeName()
+    held = F.col("embedding") if given in ("float", "double") else F.col("embedding").cast("array<double>")
+    rows = embeddings.select(F.col("vec_id").cast("long"), held.alias("embedding"), is_query.alias("_query"))
     rows = rows.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
     most = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     if most is None:

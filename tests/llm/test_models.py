@@ -266,6 +266,22 @@ def test_nearest(spark):
     assert hits >= 0.99 * 10 * len(got)
 
 
+def test_nearest_in_blocks_of_queries(spark, monkeypatch):
+    """Blocks of queries and double components change nothing but the scores' last digits."""
+    rng = np.random.default_rng(4)
+    data = [(i, rng.normal(size=16).tolist()) for i in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    whole = one_bit_codes.nearest(df, F.col("vec_id") % 4 == 0, 5).collect()
+    monkeypatch.setattr(one_bit_codes, "QUERY_BYTES", 600)
+    assert brute.ordered(one_bit_codes.nearest(df, F.col("vec_id") % 4 == 0, 5).collect()) == brute.ordered(whole)
+    matrix = np.array([x for _, x in data])
+    for r in whole:  # exact on the doubles as they are
+        assert r.score == pytest.approx(np.sqrt(((matrix[r.query_id] - matrix[r.vec_id]) ** 2).sum()), rel=1e-14)
+    near = [(0, [1.0, 2.0]), (1, [1.0, 2.0 + 2e-9]), (2, [1.0, 2.0 + 1e-9])]
+    got = one_bit_codes.nearest(spark.createDataFrame(near, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [2, 1]
+
+
 def test_nearest_of_few(spark):
     ddl = "vec_id long, embedding array<float>"
     assert one_bit_codes.nearest(spark.createDataFrame([], ddl), F.lit(True)).collect() == []
