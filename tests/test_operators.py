@@ -177,8 +177,9 @@ def test_vocabulary_equals_counting_everything(spark, longest, features):
             df[g] = df.get(g, 0) + 1
     kept = sorted((g for g in cf if 3 <= df[g] <= 0.6 * 150), key=lambda g: (-cf[g], g))[:features]
     docs = spark.createDataFrame([(t,) for t in texts], "t STRING").select(X.words("t").alias("w"))
-    for word_list in (20_000, 2):
-        got = tfidf.vocabulary(docs, "w", 150, features, 3, 0.6, longest, word_list).collect()
+    # The words as a list in the plan, as a set in the tasks, and not at all.
+    for word_list, word_set in ((20_000, 0), (2, 1 << 20), (2, 0)):
+        got = tfidf.vocabulary(docs, "w", 150, features, 3, 0.6, longest, word_list, word_set).collect()
         assert {r["term"]: (r["cf"], r["df"]) for r in got} == {g: (cf[g], df[g]) for g in kept}
 
 
