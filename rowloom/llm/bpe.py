@@ -41,7 +41,7 @@ LONG_WORD = 256
 #: Bytes of text that a task handles at a time, one document at least, and words per batch of a word list.
 PIECE, WORDS = 1 << 20, 1 << 16
 #: Units that a task remembers (a cache only).
-UNITS = 1 << 17
+UNITS = 1 << 18
 _P1, _P2 = 262_139, 196_613
 #: A pair of tokens as one number: left times this plus right; no rank is as large.
 _SIDE = 50_333
