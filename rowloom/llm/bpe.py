@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..sources.session import new_path
-from .common import kept, parts, pieces
+from .common import giving_back, kept, parts, pieces
 from .token_files import cut
 
 LONG_WORD = 256
@@ -316,8 +316,8 @@ def dictionaries(documents: DataFrame, ranks: dict[bytes, int], pattern: str) ->
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array([held], pa.string()), pa.array([held_parts], pa.list_(pa.int32()))], ["w", "all"])
 
-    words = documents.select("text").mapInArrow(list_words, "part int, w string").repartition("w").sortWithinPartitions("w")
-    words = words.mapInArrow(gather, "w string, all array<int>")
+    words = documents.select("text").mapInArrow(giving_back(list_words), "part int, w string").repartition("w").sortWithinPartitions("w")
+    words = words.mapInArrow(giving_back(gather), "w string, all array<int>")
     folded = words.select("w", F.expr(f"cast({fold('w')} AS ARRAY<INT>)").alias("ids"), "all")
     folder = new_path(spark, "bpe-words")
     rows = folded.select(F.explode("all").alias("part"), "w", "ids")
@@ -351,7 +351,7 @@ def _encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str, finish
         for piece in pieces(batches, "text", PIECE):
             yield finish(vocabulary, piece, list(map(encoder.encode, piece.column(at).to_pylist())))
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(giving_back(run), schema)
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:

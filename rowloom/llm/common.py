@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -39,6 +41,24 @@ def kept(name: str, make: Callable):
     return module.value
 
 
+def give_back() -> None:
+    """Return to the system what a task's objects have taken; a worker process goes on to the next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """A task's function that gives back its memory when its batches are through."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def crc_text(key: Column) -> Column:
     """crc32 of a number written as text; null counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))

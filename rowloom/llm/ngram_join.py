@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import materialize
 from . import components
-from .common import kept, parts, pieces
+from .common import give_back, giving_back, kept, parts, pieces
 
 #: Text of one block of documents.
 BLOCK_BYTES = 8 << 20
@@ -114,7 +114,7 @@ def sizes(documents: DataFrame, n: int = 5) -> DataFrame:
             })
 
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text"))
-    return materialize(rows.mapInArrow(count, "doc_id long, n_shingles long, set long"), "shingle-sizes")
+    return materialize(rows.mapInArrow(giving_back(count), "doc_id long, n_shingles long, set long"), "shingle-sizes")
 
 
 def _blocks(documents: DataFrame, ranges: int, n: int) -> DataFrame:
@@ -149,7 +149,7 @@ def _blocks(documents: DataFrame, ranges: int, n: int) -> DataFrame:
                 out["high"].append((every[a:b] >> np.uint64(32)).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=_BLOCK)
 
-    return documents.select("text").mapInArrow(cut, "range int, rows binary, sizes binary, counts binary, low binary, high binary")
+    return documents.select("text").mapInArrow(giving_back(cut), "range int, rows binary, sizes binary, counts binary, low binary, high binary")
 
 
 _BLOCK = pa.schema([("range", pa.int32()), *((c, pa.binary()) for c in ("rows", "sizes", "counts", "low", "high"))])
@@ -192,7 +192,10 @@ def _shared_columns(owners: int):
             out["counts"].append(number.astype(np.uint32).tobytes())
             out["grams"].append(keys[a:b].tobytes())
             out["held"].append(held[a:b].tobytes())
-        return pa.table(out, schema=_BACK)
+        found = pa.table(out, schema=_BACK)
+        del out, row, size, counts, keys, entry, held, owner, order
+        give_back()
+        return found
 
     return count
 
@@ -383,7 +386,7 @@ def links_between(documents: DataFrame, entries: int, n: int = 5, percent: int =
     small = (
         grouped.join(volume.filter("fits").select("root"), "root", "left_semi")
         .select("root", "set", "size", "grams").repartition(parts(spark), "root").sortWithinPartitions("root", "set")
-        .mapInArrow(_search_groups(percent), "u long, v long")
+        .mapInArrow(giving_back(_search_groups(percent)), "u long, v long")
     )
     small = materialize(small, "group-links")
     if volume.filter("NOT fits").isEmpty():
