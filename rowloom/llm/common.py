@@ -11,10 +11,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.session import materialize
+from ..operators.numbering import ranked  # noqa: F401
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -64,33 +63,6 @@ def crc_text(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
 
 
-def ranked(rows: DataFrame, tree: Column, order: list[Column]) -> DataFrame:
-    """The rows with ``tree``, ``rank`` (dense from 0 within the tree, in ``order``) and ``n`` (the tree's rows).
-
-    Rows are sorted once by ranges of tree and order and written with their place in their range; a table of
-    one row per range and tree then says how many rows of the tree come before. Ties end by the row's place
-    in the scan, so even a table of equal rows is dealt over all ranges.
-    """
-    place = F.monotonically_increasing_id()
-    keyed = rows.withColumn("tree", tree).withColumn("_scan", place)
-    keys = [F.col("tree").asc_nulls_first(), *order, F.col("_scan").asc()]
-    dealt = keyed.repartitionByRange(parts(rows.sparkSession), *keys).sortWithinPartitions(*keys).drop("_scan")
-    dealt = materialize(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", place), "ranked")
-    of_tree = W.partitionBy("tree")
-    before = of_tree.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        dealt.groupBy("tree", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .select(
-            F.col("tree").alias("_tree"), F.col("_part").alias("_p"), F.sum("_rows").over(of_tree).alias("n"),
-            (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
-    )
-    return (
-        dealt.join(starts, (F.col("_part") == F.col("_p")) & F.col("tree").eqNullSafe(F.col("_tree")))
-        .withColumn("rank", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_p", "_tree", "_shift")
-    )
-
-
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose ``column`` holds about ``limit`` bytes, one row at least."""
     for batch in batches:
