@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.session import materialize
-from .common import parts, pieces
+from .common import give_back, parts, pieces
 from .ngram_join import word_hashes
 
 DEPTH = 5
@@ -336,7 +336,10 @@ def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.nda
             for b in np.flatnonzero(np.diff(ends)):
                 own = order[ends[b]:ends[b + 1]]
                 rows.append({"bucket": int(b), "block": block, "gram": _packed(np.diff(kinds[own], prepend=0)), "count": _packed(count[own])})
-            yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+            found = pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+            del rows, kinds, seen, number, count, bucket, order, ends, texts, sink
+            give_back()
+            yield found
 
     rows = documents.select(F.col("doc_id").cast("long"), "text", F.coalesce(training, F.lit(False)).alias("_t"))
     return rows.mapInArrow(work, "bucket int, block string, gram binary, count binary, info binary")
@@ -521,6 +524,7 @@ def tree_scores(
 
     def sums(table: pa.Table) -> pa.Table:
         found = _range_of(table, depth, hot, least)[0].partial()
+        give_back()
         return pa.table({"name": pa.array(list(found), pa.int64()), "sums": pa.array([x.ravel() for x in found.values()], pa.list_(pa.float64()))})
 
     # Written, so that all ranges are weighed at the same time; then one row for each of 256 bytes and of the
@@ -533,6 +537,8 @@ def tree_scores(
     def values(table: pa.Table) -> pa.Table:
         found, code, lengths = _range_of(table, depth, hot, least)
         value = np.split(found.log10(shared.value).astype(np.float32)[code], np.cumsum(lengths)[:-1])
+        del found, code
+        give_back()
         return pa.table({
             "block": table["block"], "bucket": table["bucket"], "value": pa.array([_packed(v) for v in value], pa.binary()),
             "info": pa.nulls(len(value), pa.binary()),
