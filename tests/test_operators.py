@@ -193,6 +193,31 @@ def test_word_means(spark):
     assert got[4] == [0, 1] and got[2] == [0, 0] and len(got) == 4
 
 
+def test_pooling_shuffles_rare_words_only(spark, monkeypatch):
+    """Tasks hold the most frequent words up to the limit, with or without a vector; sums are the same at any limit."""
+    table = spark.createDataFrame([(w, [float(i), 1.0]) for i, w in enumerate("abcdef")], "word STRING, vec ARRAY<FLOAT>")
+    words = [["a"] * 5 + ["zz"] * 9 + ["B", "c"], ["A", "a", None, "zz", "x"], [], None, ["d", "e", "e", "F"], ["a", "zz", "f"]]
+    docs = spark.createDataFrame([(i % 5, w) for i, w in enumerate(words)], "id INT, w ARRAY<STRING>").repartition(3)
+    left, write = [], vectors.materialize
+
+    def watched(df, name="stage"):
+        held = write(df, name)
+        if name == "pooled":
+            left.append(sum(len(r["rest"]) for r in held.collect()))
+        return held
+
+    monkeypatch.setattr(vectors, "materialize", watched)
+    for retry in (False, True):
+        want = {r["id"]: r["vector"] for r in vectors.pool_words(docs, "id", "w", table, 2, retry_lower=retry).collect()}
+        assert want[1] == [0, 1] and want[3] == [0, 0]
+        left.clear()
+        for limit in (0, 200, 400):
+            got = {r["id"]: r["vector"] for r in vectors.pool_words(docs, "id", "w", table, 2, retry_lower=retry, limit=limit).collect()}
+            assert got == {k: pytest.approx(v) for k, v in want.items()}
+        # 27 words; 11 times zz, which has no vector, and 7 times a come first.
+        assert left[0] == 27 and left[1] <= 9 and left[2] <= left[1]
+
+
 def test_splits(spark):
     df = spark.range(1003)
     test = {r["id"] for r in split.hash_split(df, "id")[1].collect()}
