@@ -18,7 +18,8 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,12 @@ from .common import kept, parts, pieces
 MAGIC = b"RWLIDS1\n"
 #: Ids of a file at most, but for the last document of it: what a task holds in memory while it writes.
 IDS_PER_FILE = 8_000_000
-#: Distinct units that a worker remembers, unless one text has more. Only a cache: others are encoded anew.
-CACHE_WORDS = 400_000
+#: Distinct units that a worker remembers, and a quarter as many rarer kinds. Only a cache: others are encoded anew.
+CACHE_WORDS = 1_200_000
 
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
-_BLANK_RUN = re.compile(r" \s|\s \Z")
+#: White space other than the blank; none is above.
+_OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
 
 _lengths = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 #: Four lengths for each control byte.
@@ -52,8 +54,15 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(ranks)] = width - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    raw = ranks.view(np.uint8).reshape(-1, 4)
-    data = raw[np.arange(4, dtype=np.uint8) < width[:, None]]
+    ends = np.cumsum(width, dtype=np.int64)
+    data = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    starts = ends - width
+    data[starts] = ranks.astype(np.uint8)
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(width > k)
+        if not len(longer):
+            break
+        data[starts[longer] + k] = (ranks[longer] >> np.uint32(8 * k)).astype(np.uint8)
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -108,13 +117,23 @@ def from_bytes(content: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [int(k) if v else None for k, v in zip(keys, valid)], lengths, ids
 
 
+def _blank_run(text: str) -> bool:
+    """Whether white space follows a blank, or stands before a last one.
+
+    Looking for each character is many times as fast as a pattern.
+    """
+    if "  " in text or text[-1:] == " " and text[-2:-1].isspace():
+        return True
+    return any(c in text and " " + c in text for c in _OTHER_SPACE)
+
+
 def units(text: str) -> list[str]:
     """The text cut before single blanks between other characters, where no token can cross.
 
     The vocabulary's pattern joins one blank to what follows it, so encoding the units one by one gives
     the tokens of the whole text. Around longer runs of white space there is no cut.
     """
-    if _BLANK_RUN.search(text):
+    if _blank_run(text):
         return _BEFORE_BLANK.split(text)
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + x for x in rest if x] + ([" "] if rest and not rest[-1] else [])
@@ -125,7 +144,7 @@ def cut(text: str) -> tuple[list[str], list[str], list[str]]:
 
     Writing the blank of every unit again would take as long as the cutting.
     """
-    if _BLANK_RUN.search(text):
+    if _blank_run(text):
         return units(text), [], []
     first, *rest = text.split(" ")
     # Without runs of blanks only the first and the last piece can be empty; a last one is a blank of its own.
@@ -142,6 +161,22 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class Memo(dict):
+    """What ``make`` gives for a key, made when a key is first asked for; beyond ``most`` keys all are forgotten."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        # Made first: it may ask for other keys.
+        found = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Encoder:
     """Whole texts to ids by the tokenizers library, as its own call gives them.
 
@@ -161,44 +196,45 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         #: Ids of the pattern's matches, of units, and of units by what follows their leading blank.
-        self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-        self.after_blank: dict[str, bytes] = {}
+        self.words = Memo(self._word, CACHE_WORDS // 4)
+        self.units = Memo(self._unit, CACHE_WORDS // 4)
+        self.after_blank = Memo(self._after_blank, CACHE_WORDS)
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Encoder:
         """The worker's encoder, kept between tasks."""
         return kept(f"encoder {path}", lambda: cls(path, pattern))
 
-    def _learn(self, new: list[str]) -> list[bytes]:
-        """Ids of units: each is split into the pattern's matches, and those that are new as well are encoded."""
-        # One blank and letters are one match.
-        cut = [(u,) if u[:1] == " " and u[1:].isalpha() else self.split(u) for u in new]
-        words, tokenize, letters = self.words, self.model.tokenize, self.letters
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        for w in {w for ws in cut for w in ws}.difference(words):
-            # Of the visible ASCII characters every byte is written as itself.
-            found = tokenize("\u0120" + w[1:] if w[0] == " " and w[1:].isalnum() and w.isascii() else w.encode().decode("latin-1").translate(letters))
-            words[w] = array("I", [t.id for t in found]).tobytes()
-        return [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]
-
-    def _ids(self, known: dict[str, bytes], blank: str, keys: list[str]) -> bytes:
-        try:
-            return b"".join(map(known.__getitem__, keys))
-        except KeyError:
-            new = list(set(keys).difference(known))
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(keys))
-            known.update(zip(new, self._learn([blank + k for k in new])))
-            return b"".join(map(known.__getitem__, keys))
+    def _word(self, word: str) -> bytes:
+        """Ids of a match of the pattern."""
+        # Of the visible ASCII characters every byte is written as itself.
+        plain = word[0] == " " and word.isascii() and word[1:].isalnum()
+        return array("I", [t.id for t in self.model.tokenize("\u0120" + word[1:] if plain else word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        found = self.split(unit)
+        if len(found) == 1:
+            return self._word(unit)
+        # One blank and letters are one match, and a unit as well.
+        first = found[0][1:] if found and found[0][0] == " " else ""
+        if first.isalpha():
+            return self.after_blank[first] + b"".join(map(self.words.__getitem__, found[1:]))
+        return b"".join(map(self.words.__getitem__, found))
+
+    def _after_blank(self, rest: str) -> bytes:
+        if rest.isalpha():
+            return self._word(" " + rest)
+        # Neither letters, digits nor white space: one match as well.
+        letters = rest.rstrip(punctuation)
+        if letters.isalpha():
+            return self.after_blank[letters] + self.words[rest[len(letters):]]
+        return self._unit(" " + rest)
 
     def _text(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         first, rest, end = cut(text)
-        return self._ids(self.units, "", first) + self._ids(self.after_blank, " ", rest) + self._ids(self.units, "", end)
+        return b"".join((*map(self.units.__getitem__, first), *map(self.after_blank.__getitem__, rest), *map(self.units.__getitem__, end)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

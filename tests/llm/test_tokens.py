@@ -1,6 +1,7 @@
 """Token files and byte-level BPE against the libraries."""
 
 import hashlib
+import re
 import zlib
 
 import brute
@@ -62,6 +63,21 @@ def test_a_full_cache_changes_nothing(reference, monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == reference(text)
 
 
+def test_letters_and_punctuation_need_no_pattern(reference):
+    encoder = token_files.Encoder(JSON, public_tokenizers.PATTERN)
+    encoder.split = None
+    for text in (" word word, word. \u00e9t\u00e9!?", " x-- y.) \u4e2d\u6587, dogs' it'"):
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == reference(text)
+
+
+def test_blank_runs_are_those_of_the_pattern():
+    pattern = re.compile(r" \s|\s \Z")
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000)]):
+        for text in (f"a {c}b", f"a{c} b", f"a{c} ", f" {c}", f"{c} a", f"a{c}"):
+            assert token_files._blank_run(text) == bool(pattern.search(text))
+    assert not token_files._blank_run("") and not token_files._blank_run(" ")
+
+
 def test_files_hold_all_documents_in_order(spark, reference):
     rows = brute.rows()
     df = spark.createDataFrame(rows, brute.DDL).repartition(5)
