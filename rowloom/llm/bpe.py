@@ -21,6 +21,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -34,14 +35,14 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..sources.session import new_path
 from .common import giving_back, kept, parts, pieces
-from .token_files import cut
+from .token_files import Memo, cut
 
 LONG_WORD = 256
 
 #: Bytes of text that a task handles at a time, one document at least, and words per batch of a word list.
 PIECE, WORDS = 1 << 20, 1 << 16
 #: Units that a task remembers (a cache only).
-UNITS = 1 << 18
+UNITS = 1 << 19
 _P1, _P2 = 262_139, 196_613
 #: A pair of tokens as one number: left times this plus right; no rank is as large.
 _SIDE = 50_333
@@ -207,58 +208,58 @@ class _Vocabulary:
 
         self.split = regex.compile(pattern).findall
         self.tokens = {t.decode(): np.array([r], "<i4").tobytes() for t, r in ranks.items() if _is_text(t)}
-        self.ranks, self.pieces = ranks, pieces_of(ranks)
-        self.decimals = [str(i) for i in range(len(self.pieces))]
+        self.ranks, self.pieces = ranks, np.array(pieces_of(ranks), object)
+        self.decimals = np.array([str(i).encode() for i in range(len(self.pieces))], object)
 
     @classmethod
     def of(cls, name: str, ranks: dict[bytes, int], pattern: str) -> _Vocabulary:
         return kept(f"bpe {name}", lambda: cls(ranks, pattern))
 
-    def matches(self, units: set[str]) -> set[str]:
-        """What the pattern finds in units; one blank and letters are one match."""
-        plain = {u for u in units if u[:1] == " " and u[1:].isalpha()}
-        return plain.union(*(self.split(u) for u in units - plain))
+    def matches(self, units: list[str]) -> set[str]:
+        """What the pattern finds in units that follow single blanks (given without them)."""
+        # One blank and letters are one match. The others in one text, which is cut nowhere but between them.
+        found = {" " + u for u in units if u.isalpha()}
+        found.update(self.split("".join([" " + u for u in units if not u.isalpha()])))
+        return found
 
-    def digests(self, ids: list[int]) -> tuple[str, str]:
+    def digests(self, ids: bytes) -> tuple[str, str]:
         """sha256 of the ids as decimal text and of the bytes that they decode to."""
-        text = " ".join(map(self.decimals.__getitem__, ids))
-        return hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(b"".join(map(self.pieces.__getitem__, ids))).hexdigest()
+        at = np.frombuffer(ids, "<i4")
+        contents = b" ".join(self.decimals[at].tolist()), b"".join(self.pieces[at].tolist())
+        return tuple(hashlib.sha256(x).hexdigest() for x in contents)
 
 
 class _Encoder:
     """Whole texts to ids, unit by unit (see ``token_files.cut``); ``known`` has the ids of words.
 
     New words are added to what is known, so a task holds no more than its texts' words; of units it remembers
-    ``UNITS`` at most, unless one text has more.
+    ``UNITS`` at most.
     """
 
     def __init__(self, vocabulary: _Vocabulary, known: dict[str, bytes]):
         self.vocabulary, self.known = vocabulary, known
-        self.units: dict[str, bytes] = {}
-        self.after_blank: dict[str, bytes] = {}
+        self.units = Memo(self._unit, UNITS)
+        self.after_blank = Memo(self._after_blank, UNITS)
 
     def _word(self, word: str) -> bytes:
         if word not in self.known:
             self.known[word] = np.array(merge_long(word.encode(), self.vocabulary.ranks), "<i4").tobytes()
         return self.known[word]
 
-    def _ids(self, units: dict[str, bytes], blank: str, keys: list[str]) -> bytes:
-        try:
-            return b"".join(map(units.__getitem__, keys))
-        except KeyError:
-            new = set(keys).difference(units)
-            if len(units) + len(new) > UNITS:
-                units.clear()
-                new = set(keys)
-            for key in new:
-                unit = blank + key
-                units[key] = self.known.get(unit) or b"".join(map(self._word, self.vocabulary.split(unit)))
-            return b"".join(map(units.__getitem__, keys))
+    def _unit(self, unit: str) -> bytes:
+        return self.known.get(unit) or b"".join(map(self._word, self.vocabulary.split(unit)))
+
+    def _after_blank(self, rest: str) -> bytes:
+        # Letters and what is neither letter, digit nor white space are one match each.
+        letters = rest.rstrip(punctuation)
+        if letters != rest and letters.isalpha():
+            return self._word(" " + letters) + self._word(rest[len(letters):])
+        return self._unit(" " + rest)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian integers."""
         first, rest, end = cut(text or "")
-        return self._ids(self.units, "", first) + self._ids(self.after_blank, " ", rest) + self._ids(self.units, "", end)
+        return b"".join((*map(self.units.__getitem__, first), *map(self.after_blank.__getitem__, rest), *map(self.units.__getitem__, end)))
 
 
 def _name(ranks: dict[bytes, int], pattern: str) -> str:
@@ -280,12 +281,12 @@ def dictionaries(documents: DataFrame, ranks: dict[bytes, int], pattern: str) ->
                 first, rest, end = cut(text or "")
                 plain.update(first, end)
                 after_blank.update(rest)
-        found = vocabulary.matches(plain)
+        found = set().union(*map(vocabulary.split, plain))
         plain.clear()
         units = list(after_blank)
         after_blank.clear()
         while units:
-            found.update(vocabulary.matches({" " + u for u in units[-WORDS:]}))
+            found.update(vocabulary.matches(units[-WORDS:]))
             del units[-WORDS:]
         new = [w for w in found.difference(vocabulary.tokens) if len(w.encode()) <= LONG_WORD]
         found.clear()
@@ -381,10 +382,9 @@ def decode(ids: str = "ids") -> Column:
 def round_trip(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, number of tokens, and digests of the ids and of the decoded bytes."""
     def digest(vocabulary: _Vocabulary, piece: pa.RecordBatch, ids: list[bytes]) -> pa.RecordBatch:
-        found = [np.frombuffer(x, "<i4").tolist() for x in ids]
-        digests = [vocabulary.digests(x) for x in found]
+        digests = [vocabulary.digests(x) for x in ids]
         return pa.RecordBatch.from_pydict({
-            "doc_id": piece.column(0), "n_tokens": pa.array([len(x) for x in found], pa.int64()),
+            "doc_id": piece.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
             "ids_sha256": pa.array([a for a, _ in digests], pa.string()), "decoded_sha256": pa.array([b for _, b in digests], pa.string()),
         })
 

@@ -144,6 +144,15 @@ def test_bpe_folds_every_distinct_word_once(spark, ranks, monkeypatch):
     assert brute.ordered(got) == brute.ordered(want)
 
 
+def test_known_letters_and_punctuation_need_no_pattern(ranks):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    vocabulary = bpe._Vocabulary(ranks, public_tokenizers.PATTERN)
+    vocabulary.split = None
+    known = {w: np.array(library.encode_ordinary(w), "<i4").tobytes() for w in (" word", ",", ".\")", " qxz", "'")}
+    for text in (" word, qxz.\") word", " word' qxz,"):
+        assert np.frombuffer(bpe._Encoder(vocabulary, dict(known)).encode(text), "<i4").tolist() == library.encode_ordinary(text)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="abcdeth ing!é", min_size=1, max_size=60))
 def test_long_merges_equal_library(ranks, text):
