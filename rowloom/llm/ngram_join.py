@@ -39,6 +39,8 @@ BLOCK_BYTES = 8 << 20
 WORDS_BYTES = 1 << 20
 #: Entries of the matrix per range of columns: what one task counts.
 RANGE_ENTRIES = 3_000_000
+#: Entries of a range that are compared with each other at a time.
+SLICE_ENTRIES = 200_000
 #: A rough group is searched in one task up to so many rows and shared entries, else by joins.
 GROUP_ROWS = 4_096
 GROUP_ENTRIES = 6_000_000
@@ -157,43 +159,71 @@ _BACK = pa.schema([("owner", pa.int32()), *((c, pa.binary()) for c in ("rows", "
 
 
 def _flat(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+    """All values of a binary column one after the other, as numbers; a column of one chunk is not copied."""
+    found = []
+    for chunk in column.chunks:
+        _, offsets, values = chunk.buffers()
+        ends = np.frombuffer(offsets, np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        found.append(np.frombuffer(values, np.uint8)[ends[0]:ends[-1]].view(kind) if values is not None and ends[-1] > ends[0] else np.zeros(0, kind))
+    return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, kind), *found])
+
+
+def _entries(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of entries that lie in runs."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
 def _shared_columns(owners: int):
-    """For one column range: the entries of columns with two rows or more, to the owners of the rows."""
+    """For one column range: the entries of columns with two rows or more, to the owners of the rows.
+
+    Columns are counted in slices and entries gathered per owner, so that beside the range itself and the result
+    a few bytes per entry are held.
+    """
     def count(table: pa.Table) -> pa.Table:
-        row, size, counts = _flat(table["rows"], np.int64), _flat(table["sizes"], np.uint32), _flat(table["counts"], np.uint32)
-        keys = _flat(table["low"], np.uint32).astype(np.int64) | (_flat(table["high"], np.uint16).astype(np.int64) << 32)
+        kept("nothing", bool)
+        row, size, counts = _flat(table["rows"], np.int64), _flat(table["sizes"], np.uint32), _flat(table["counts"], np.uint32).astype(np.int64)
+        low, high = _flat(table["low"], np.uint32), _flat(table["high"], np.uint16)
+        starts = np.cumsum(counts) - counts
         # A set that several blocks hold counts once.
         _, first = np.unique(row, return_index=True)
         once = np.zeros(len(row), bool)
         once[first] = True
-        entry = np.repeat(np.arange(len(row), dtype=np.uint32), counts)
-        kept = once[entry]
-        keys, entry = keys[kept], entry[kept]
-        _, where, held = np.unique(keys, return_inverse=True, return_counts=True)
-        held = np.minimum(held, 65_535).astype(np.uint16)[where]
-        shared = held > 1
-        keys, entry, held = keys[shared] | (int(table["range"][0].as_py()) << 48), entry[shared], held[shared]
-        owner = (row[entry] % owners).astype(np.int32)
+        kept_entry = np.repeat(once, counts)
+        held = np.zeros(len(low), np.uint16)
+        slices = max(1, len(low) // SLICE_ENTRIES)
+        part = (low % np.uint32(slices)).astype(np.uint16)
+        for k in range(slices):
+            at = np.flatnonzero((part == k) & kept_entry)
+            _, where, number = np.unique(
+                low[at] | (high[at].astype(np.int64) << 32), return_inverse=True, return_counts=True,
+            )
+            held[at] = np.minimum(number, 65_535).astype(np.uint16)[where]
+        del part, kept_entry
+        place = int(table["range"][0].as_py()) << 48
+        first.sort()
+        owner = (row[first] % owners).astype(np.int32)
         order = np.argsort(owner, kind="stable")
-        keys, entry, held = keys[order], entry[order], held[order]
+        rows_by_owner = first[order]
         ends = np.searchsorted(owner[order], np.arange(owners + 1))
         out = {c: [] for c in _BACK.names}
         for o in range(owners):
-            a, b = ends[o], ends[o + 1]
-            if a == b:
+            mine = rows_by_owner[ends[o]:ends[o + 1]]
+            if not len(mine):
+                continue
+            at = _entries(starts[mine], counts[mine])
+            shared = held[at] > 1
+            number = np.bincount(np.repeat(np.arange(len(mine)), counts[mine])[shared], minlength=len(mine))
+            at, mine, number = at[shared], mine[number > 0], number[number > 0]
+            if not len(at):
                 continue
-            rows, number = np.unique(entry[a:b], return_counts=True)
             out["owner"].append(o)
-            out["rows"].append(row[rows].tobytes())
-            out["sizes"].append(size[rows].tobytes())
+            out["rows"].append(row[mine].tobytes())
+            out["sizes"].append(size[mine].tobytes())
             out["counts"].append(number.astype(np.uint32).tobytes())
-            out["grams"].append(keys[a:b].tobytes())
-            out["held"].append(held[a:b].tobytes())
+            out["grams"].append((low[at] | (high[at].astype(np.int64) << 32) | place).tobytes())
+            out["held"].append(held[at].tobytes())
         found = pa.table(out, schema=_BACK)
-        del out, row, size, counts, keys, entry, held, owner, order
+        del out, row, size, counts, low, high, held
         give_back()
         return found
 
@@ -207,24 +237,29 @@ def _needed(n: int, percent: int) -> int:
 def _candidates(percent: int):
     """Rows that can reach a partner: set, size, shared n-grams rarest first, and the prefix to meet by."""
     def gather(table: pa.Table) -> pa.Table:
-        row, size, counts = _flat(table["rows"], np.int64), _flat(table["sizes"], np.uint32), _flat(table["counts"], np.uint32)
+        row, size, counts = _flat(table["rows"], np.int64), _flat(table["sizes"], np.uint32), _flat(table["counts"], np.uint32).astype(np.int64)
         grams, held = _flat(table["grams"], np.int64), _flat(table["held"], np.uint16)
-        which = np.repeat(np.arange(len(row)), counts)
-        order = np.lexsort((grams, held, row[which]))
-        grams, owner = grams[order], row[which][order]
-        sets, start, number = np.unique(owner, return_index=True, return_counts=True)
-        known, first = np.unique(row, return_index=True)
-        size = size[first][np.searchsorted(known, sets)]
+        starts = np.cumsum(counts) - counts
+        order = np.argsort(row, kind="stable")
+        sets, begin, runs = np.unique(row[order], return_index=True, return_counts=True)
         out = {"set": [], "size": [], "grams": [], "prefix": []}
-        for s, n, a, m in zip(sets.tolist(), size.tolist(), start.tolist(), number.tolist()):
+        for s, a, k in zip(sets.tolist(), begin.tolist(), runs.tolist()):
+            mine = order[a:a + k]
+            n, m = int(size[mine[0]]), int(counts[mine].sum())
             need = _needed(n, percent)
             if m < need:
                 continue
+            at = _entries(starts[mine], counts[mine])
+            own = grams[at]
+            own = own[np.lexsort((own, held[at]))]
             out["set"].append(s)
             out["size"].append(n)
-            out["grams"].append(grams[a:a + m].tobytes())
-            out["prefix"].append(grams[a:a + m - need + 1])
-        return pa.table(out, schema=_CANDIDATE)
+            out["grams"].append(own.tobytes())
+            out["prefix"].append(own[:m - need + 1])
+        found = pa.table(out, schema=_CANDIDATE)
+        del out, row, size, counts, grams, held, order
+        give_back()
+        return found
 
     return gather
 

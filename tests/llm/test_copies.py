@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from rowloom.llm import components, ngram_join, winnowing
@@ -115,3 +118,26 @@ def test_edited_fingerprint_beside_an_empty_document(spark):
         rows += [(i, text), (i + 1, ""), (i + 2, text[:60])]
     got = {r.doc_id: r for r in winnowing.compare(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[i].edited_fingerprint == got[i + 2].fingerprint for i in range(0, 600, 3))
+
+
+def test_counting_a_column_range_holds_few_bytes_per_entry():
+    rng = np.random.default_rng(3)
+    rows, each = 20_000, 50
+    grams = rng.integers(0, 400_000, rows * each).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = np.arange(rows, dtype=np.int64)
+    block = {
+        "range": [7], "rows": [sets.tobytes()], "sizes": [np.full(rows, each, np.uint32).tobytes()],
+        "counts": [np.full(rows, each, np.uint32).tobytes()], "low": [grams.astype(np.uint32).tobytes()],
+        "high": [(grams >> np.uint64(32)).astype(np.uint16).tobytes()],
+    }
+    table = pa.table(block, schema=ngram_join._BLOCK)
+    tracemalloc.start()
+    back = ngram_join._shared_columns(50)(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Ten of them are the result.
+    assert most < 40 * len(grams)
+    found = np.concatenate([np.frombuffer(x, np.int64) for x in back["grams"].to_pylist()])
+    kinds, number = np.unique(grams & np.uint64(2**48 - 1), return_counts=True)
+    expected = np.repeat(kinds[number > 1], number[number > 1]).astype(np.int64) | (7 << 48)
+    assert np.array_equal(np.sort(found), np.sort(expected))
