@@ -69,3 +69,15 @@ def test_rows_that_cannot_be_trained_on_are_refused(spark, table):
     for bad in ("CAST(NULL AS DOUBLE)", "CAST('NaN' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"):
         with pytest.raises(ValueError, match="finite numbers"):
             models.forest("scaled", trees=1, depth=1).fit(table.withColumn("label", models.F.expr(f"IF(a = 3, {bad}, label)")))
+
+
+def test_thresholds_are_exact_ranks_however_many_values_there_are(spark, table, monkeypatch):
+    from rowloom.operators import forest as module
+
+    rows = table.selectExpr("array(a, b, a % 3) x")
+    counted = module._cuts(rows, 32)
+    monkeypatch.setattr(module, "_FEW_VALUES", 2)
+    sought = module._cuts(rows.repartition(5), 32)
+    a = np.sort([r["x"][0] for r in rows.collect()])
+    assert counted[0] == pytest.approx(np.unique([a[3000 * i // 32] for i in range(1, 32)])) and counted[2] == pytest.approx([0.5, 1.5])
+    assert all(np.array_equal(counted[i], sought[i]) for i in (0, 1)) and 2 in sought
