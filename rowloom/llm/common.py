@@ -40,9 +40,13 @@ def kept(name: str, make: Callable):
     return module.value
 
 
-def give_back() -> None:
-    """Return to the system what a task's objects have taken; a worker process goes on to the next task."""
-    gc.collect()
+def give_back(cycles: bool = True) -> None:
+    """Return to the system what a task's objects have taken; a worker process goes on to the next task.
+
+    Arrays need no search for ``cycles``, which takes a tenth of a second.
+    """
+    if cycles:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -8,18 +8,19 @@ weights mix the estimates of all depths. Scores are thus code lengths of a mixtu
 Counting is exact and covers all training bytes, and every context seen at least ``least`` times is a node,
 so the model grows with the corpus. It is never in one place: blocks of documents send their distinct
 (context, byte) grams, with training counts, to ranges of the nearest two bytes (three for frequent pairs),
-as many as the texts' bytes ask for, and one task per range weighs the nodes below. Sums per nearest byte and
-frequent pair are added up by tasks as well; the driver gets one row for each and weighs the few nodes above.
+as many as the texts' bytes ask for, and one task per range weighs the nodes below. A task reads the rows of a
+range one after the other and holds its distinct grams only, however many blocks have them. Sums per nearest byte
+and frequent pair are added up by tasks as well; the driver gets one row for each and weighs the few nodes above.
 A second pass over the ranges mixes the probabilities of every gram that a block asks for and sends them
 back to it; nothing is broadcast but the nodes above.
 
-The unigram model needs the count of every word of every document. Words travel as blocks: the distinct
-words of a run of documents, per range of word hashes, with the documents that hold them.
+The unigram model needs the count of every word of every document. The distinct words of a run of documents
+travel to ranges of word hashes, and their counts come back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,18 +34,21 @@ from pyspark.sql import functions as F
 
 from ..sources.session import materialize
 from .common import give_back, parts, pieces
-from .ngram_join import word_hashes
 
 DEPTH = 5
 #: A context is a node if training saw it so often; contexts seen more rarely share one estimate.
 LEAST = 2
 #: Bytes of text for each range of grams: what a task weighs at a time.
-RANGE_BYTES = 1 << 20
+RANGE_BYTES = 4 << 20
 #: Begins and ends a text; no byte of UTF-8.
 END = 0xFF
 PIECE_BYTES = 2 << 20
 #: Text whose distinct grams travel together.
 BLOCK_BYTES = 2 << 20
+#: Numbers of a range that are merged at a time.
+MERGED = 1 << 20
+#: Bytes of text for each range of words.
+WORD_BYTES = 16 << 20
 
 
 def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,10 +59,12 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarra
     starts = np.cumsum(lengths + depth - 1) - (lengths + depth - 1) + depth
     # The pad of the next text ends this one: its first byte is predicted as well.
     at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    context = np.zeros(len(at), np.int64)
+    # Contexts of all places but the first pad's, whole slices at a time.
+    context = np.zeros(len(flat) - depth, np.int64)
     for k in range(1, depth + 1):
-        context = context << 8 | flat[at - k]
-    return context, flat[at], lengths
+        context <<= 8
+        context |= flat[depth - k:len(flat) - k]
+    return context[at - depth], flat[at], lengths
 
 
 def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -266,13 +272,20 @@ def _block_name(ids: list, texts: list[bytes], turn: int) -> str:
     return f"{digest.hexdigest()}-{context.partitionId() if context else 0}-{turn}"
 
 
-def _bucket(gram: np.ndarray, depth: int, hot: np.ndarray, buckets: int) -> np.ndarray:
-    """The range of each gram: by its two nearest bytes, by three for the pairs in ``hot``."""
-    pair, near = gram >> (8 * (depth - 1)), gram >> (8 * (depth - 2))
+def _bucket(context: np.ndarray, depth: int, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """The range of each context: by its two nearest bytes, by three for the pairs in ``hot``."""
+    pair, near = context >> (8 * (depth - 2)), context >> (8 * (depth - 3))
     mixed = np.where(np.isin(pair, hot), near + (1 << 24), pair) * 2_654_435_761 & 0xFFFFFFFF
     return mixed * buckets >> 32
 
 
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where sorted values change."""
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    return np.flatnonzero(first)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """The bytes of an array, place by place, compressed behind their number."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
@@ -318,14 +331,12 @@ def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.nda
             texts = [(t or "").encode() for t in piece.column(1).to_pylist()]
             block = _block_name(piece.column(0).to_pylist(), texts, turn)
             context, byte, lengths = grams(texts, depth)
-            key = context << 8 | byte
-            train = np.repeat(np.array(piece.column(2).to_pylist(), bool), lengths)
+            # The lowest bit tells training from other texts; sorting is far cheaper here than hashing.
+            key = np.sort((context << 8 | byte) << 1 | np.repeat(np.array(piece.column(2).to_pylist(), bool), lengths))
             del context, byte
-            kinds = np.unique(key)
-            seen, number = np.unique(key[train], return_counts=True)
-            del key, train
-            count = np.zeros(len(kinds), np.uint32)
-            count[np.searchsorted(kinds, seen)] = number
+            starts = _starts(key >> 1)
+            kinds, count = key[starts] >> 1, np.add.reduceat(key & 1, starts).astype(np.uint32)
+            del key, starts
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
                 stream.write_batch(piece)
@@ -337,8 +348,8 @@ def _gram_blocks(documents: DataFrame, training: Column, depth: int, hot: np.nda
                 own = order[ends[b]:ends[b + 1]]
                 rows.append({"bucket": int(b), "block": block, "gram": _packed(np.diff(kinds[own], prepend=0)), "count": _packed(count[own])})
             found = pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
-            del rows, kinds, seen, number, count, bucket, order, ends, texts, sink
-            give_back()
+            del rows, kinds, count, bucket, order, ends, texts, sink
+            give_back(cycles=False)
             yield found
 
     rows = documents.select(F.col("doc_id").cast("long"), "text", F.coalesce(training, F.lit(False)).alias("_t"))
@@ -470,19 +481,69 @@ class _Range:
         return result
 
 
-def _range_of(table: pa.Table, depth: int, hot: np.ndarray, least: int) -> tuple[_Range, np.ndarray, list[int]]:
-    """The grams of a range, the place of each row's grams among them, and the number of grams of each row."""
-    rows = [np.cumsum(_unpacked(g.as_py(), np.int64)) for g in table["gram"]]
-    lengths = [len(r) for r in rows]
-    every = np.concatenate(rows)
-    del rows
-    gram, code = np.unique(every, return_inverse=True)
-    del every
-    code = code.astype(np.int32)
-    counts = np.concatenate([_unpacked(c.as_py(), np.uint32) for c in table["count"]])
-    count = np.bincount(code, counts, len(gram))
-    del counts
-    return _Range(gram, count, depth, hot, least), code, lengths
+class _Counts:
+    """Distinct numbers, ascending, and their summed counts.
+
+    What is added is merged as soon as it is as much as ``MERGED`` numbers and as what is there, so that many rows
+    that repeat each other take the room of the distinct numbers.
+    """
+
+    def __init__(self, kind: type):
+        self.kinds, self.counts = np.zeros(0, kind), np.zeros(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, kinds: np.ndarray, counts: np.ndarray) -> None:
+        self.more.append((kinds, counts))
+        self.held += len(kinds)
+        if self.held >= max(MERGED, len(self.kinds)):
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.held:
+            return
+        every = np.concatenate([self.kinds, *(k for k, _ in self.more)])
+        counts = np.concatenate([self.counts, *(c for _, c in self.more)]).astype(np.int64)
+        self.more, self.held = [], 0
+        order = np.argsort(every, kind="stable")  # of sorted runs
+        every = every[order]
+        first = _starts(every)
+        self.kinds, self.counts = every[first], np.add.reduceat(counts[order], first)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(bucket, some of its rows), in the order of the batches."""
+    for batch in batches:
+        bucket = batch.column(batch.schema.get_field_index("bucket")).to_numpy(zero_copy_only=False)
+        ends = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)]
+        for a, b in zip(ends, ends[1:]):
+            if a < b:
+                yield int(bucket[a]), batch.slice(a, b - a)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], kind: type, column: str, counts: str, numbers: Callable) -> Iterator[tuple[int, _Counts]]:
+    """Each bucket's counts, from rows that come bucket by bucket; only distinct numbers are held."""
+    at, held = None, None
+    for bucket, rows in _runs(batches):
+        if bucket != at:
+            if held is not None:
+                held.merge()
+                yield at, held
+            at, held = bucket, _Counts(kind)
+        for k, n in zip(rows.column(column), rows.column(counts)):
+            held.add(numbers(k.as_py()), _unpacked(n.as_py(), np.uint32))
+    if held is not None:
+        held.merge()
+        yield at, held
+
+
+def _together(rows: DataFrame, *then: str) -> DataFrame:
+    """Rows of one bucket one after the other in one task, which needs not hold them all."""
+    return rows.repartition("bucket").sortWithinPartitions("bucket", *then)
+
+
+def _grams(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.int64))
 
 
 def _above(partials: dict[int, np.ndarray], hot: np.ndarray, least: int) -> dict:
@@ -522,27 +583,46 @@ def tree_scores(
     blocks = materialize(_gram_blocks(documents, training, depth, hot, buckets), "gram-blocks")
     asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "gram", "count")
 
-    def sums(table: pa.Table) -> pa.Table:
-        found = _range_of(table, depth, hot, least)[0].partial()
-        give_back()
-        return pa.table({"name": pa.array(list(found), pa.int64()), "sums": pa.array([x.ravel() for x in found.values()], pa.list_(pa.float64()))})
-
-    # Written, so that all ranges are weighed at the same time; then one row for each of 256 bytes and of the
-    # frequent pairs, of which there are fewer than ranges.
-    partial = materialize(asked.groupBy("bucket").applyInArrow(sums, "name long, sums array<double>"), "partial-sums")
+    kinds = "name long, sums array<double>, bucket int, gram binary, count binary"
+    found_rows = pa.schema([
+        ("name", pa.int64()), ("sums", pa.list_(pa.float64())), ("bucket", pa.int32()), ("gram", pa.binary()), ("count", pa.binary()),
+    ])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, held in _counted(batches, np.int64, "gram", "count", _grams):
+            table = {"bucket": bucket, "gram": _packed(np.diff(held.kinds, prepend=0)), "count": _packed(held.counts)}
+            found = _Range(held.kinds, held.counts.astype(float), depth, hot, least).partial()
+            held = None
+            give_back(cycles=False)
+            yield pa.RecordBatch.from_pylist([table, *({"name": k, "sums": x.ravel()} for k, x in found.items())], schema=found_rows)
+
+    # Written, so that all ranges are weighed at the same time: each range's distinct grams with their counts, and
+    # one row for each of 256 bytes and of the frequent pairs, of which there are fewer than ranges.
+    found = materialize(_together(asked.drop("block")).mapInArrow(sums, kinds), "partial-sums")
+    partial = found.filter("name IS NOT NULL").select("name", "sums")
     added = partial.groupBy("name").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
     partials = {r["name"]: np.array(r["sums"]).reshape(5, 256) for r in added.collect()}
     shared = spark.sparkContext.broadcast(_above(partials, hot, least))
 
-    def values(table: pa.Table) -> pa.Table:
-        found, code, lengths = _range_of(table, depth, hot, least)
-        value = np.split(found.log10(shared.value).astype(np.float32)[code], np.cumsum(lengths)[:-1])
-        del found, code
-        give_back()
-        return pa.table({
-            "block": table["block"], "bucket": table["bucket"], "value": pa.array([_packed(v) for v in value], pa.binary()),
-            "info": pa.nulls(len(value), pa.binary()),
-        })
+    answer = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("value", pa.binary()), ("info", pa.binary())])
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A range's grams come first, then the rows that ask for them."""
+        gram = value = None
+        for bucket, rows in _runs(batches):
+            out = []
+            for block, own, count in zip(*(rows.column(c) for c in ("block", "gram", "count"))):
+                if block.is_valid:
+                    out.append(_packed(value[np.searchsorted(gram, _grams(own.as_py()))]))
+                    continue
+                gram = value = None
+                gram = _grams(own.as_py())
+                value = _Range(gram, _unpacked(count.as_py(), np.int64).astype(float), depth, hot, least).log10(shared.value).astype(np.float32)
+                give_back(cycles=False)
+            if out:
+                yield pa.RecordBatch.from_pydict({
+                    "block": rows.column("block").drop_null(), "bucket": [bucket] * len(out), "value": out, "info": [None] * len(out),
+                }, schema=answer)
 
     def back(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -551,6 +631,7 @@ def tree_scores(
         texts = [(t or "").encode() for t in piece.column(1).to_pylist()]
         context, byte, lengths = grams(texts, depth)
         code, kinds = pd.factorize(context << 8 | byte)
+        del context, byte
         order = np.argsort(kinds)
         order = order[np.argsort(_bucket(kinds[order] >> 8, depth, hot, buckets), kind="stable")]
         value = np.zeros(len(kinds), np.float64)
@@ -562,7 +643,9 @@ def tree_scores(
         })
 
     kinds = "block string, bucket int, value binary, info binary"
-    answers = asked.groupBy("bucket").applyInArrow(values, kinds)
+    tables = found.filter("bucket IS NOT NULL").select("bucket", F.lit(None).cast("string").alias("block"), "gram", "count")
+    asking = asked.withColumn("count", F.lit(None).cast("binary"))
+    answers = _together(tables.unionByName(asking), "block").mapInArrow(values, kinds)
     info = blocks.filter("info IS NOT NULL").select("block", "bucket", F.lit(None).cast("binary").alias("value"), "info")
     return answers.unionByName(info).groupBy("block").applyInArrow(back, "_id long, _tie long, score double, _bytes long")
 
@@ -575,12 +658,19 @@ def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFr
             words = [t.lower().split() for t in data]
             train = np.array(piece.column(2).to_pylist(), bool)
             lengths = np.array([len(w) for w in words], np.int64)
-            code, kinds = pd.factorize(word_hashes([w for ws in words for w in ws]))
-            owner = np.repeat(np.arange(len(words)), lengths)
+            # Every distinct word is hashed once.
+            found = pa.array([w for ws in words for w in ws], pa.large_binary()).dictionary_encode()
+            code = found.indices.to_numpy().astype(np.int64)
+            kinds = np.fromiter(map(xxhash.xxh3_64_intdigest, found.dictionary.to_pylist()), np.uint64, len(found.dictionary))
+            del words, found
+            owner = np.repeat(np.arange(len(lengths)), lengths)
             trained = np.bincount(code, train[owner], len(kinds)).astype(np.uint32)
-            pair, number = np.unique(owner * max(len(kinds), 1) + code, return_counts=True)
-            owner, code = pair // max(len(kinds), 1), pair % max(len(kinds), 1)
+            # Words are numbered by their ranges; documents and their words ascend, so that differences are small.
             bucket = ((kinds >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+            by_kind = np.argsort(bucket, kind="stable")
+            place = np.zeros(len(kinds), np.int64)
+            place[by_kind] = np.arange(len(kinds))
+            pair, number = np.unique(owner * max(len(kinds), 1) + place[code], return_counts=True)
             block = _block_name(piece.column(0).to_pylist(), data, turn)
             info = pa.RecordBatch.from_pydict({
                 "doc_id": piece.column(0), "held_out": pa.array(~train), "n": pa.array(lengths + 1),
@@ -589,80 +679,83 @@ def _word_blocks(documents: DataFrame, training: Column, buckets: int) -> DataFr
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, info.schema) as stream:
                 stream.write_batch(info)
-            rows = [{"bucket": int(block[:6], 16) % buckets, "block": block, "info": sink.getvalue().to_pybytes()}]
-            by_kind = np.argsort(bucket, kind="stable")
-            place = np.zeros(len(kinds), np.int64)
             ends = np.searchsorted(bucket[by_kind], np.arange(buckets + 1))
-            place[by_kind] = np.arange(len(kinds)) - np.repeat(ends[:-1], np.diff(ends))
-            by_pair = np.argsort(bucket[code], kind="stable")
-            pair_ends = np.searchsorted(bucket[code][by_pair], np.arange(buckets + 1))
-            for b in range(buckets):
-                own, held = by_kind[ends[b]:ends[b + 1]], by_pair[pair_ends[b]:pair_ends[b + 1]]
-                if len(own):
-                    rows.append({
-                        "bucket": b, "block": block, "documents": len(words), "words": kinds[own].tobytes(), "trained": trained[own].tobytes(),
-                        "owner": owner[held].astype(np.uint32).tobytes(), "word": place[code[held]].astype(np.uint32).tobytes(),
-                        "number": number[held].astype(np.uint32).tobytes(),
-                    })
+            rows = [{
+                "block": block, "info": sink.getvalue().to_pybytes(), "pair": _packed(np.diff(pair, prepend=0)),
+                "number": _packed(number.astype(np.uint32)),
+            }]
+            for b in np.flatnonzero(np.diff(ends)):
+                own = by_kind[ends[b]:ends[b + 1]]
+                rows.append({"bucket": int(b), "block": block, "words": kinds[own].tobytes(), "trained": _packed(trained[own])})
             yield pa.RecordBatch.from_pylist(rows, schema=_BLOCK)
 
     rows = documents.select(F.col("doc_id").cast("long"), "text", training.alias("_t"))
-    return rows.mapInArrow(work, "bucket int, block string, documents long, info binary, " + ", ".join(f"{c} binary" for c in _BLOCK.names[4:]))
+    return rows.mapInArrow(work, "bucket int, block string, " + ", ".join(f"{c} binary" for c in _BLOCK.names[2:]))
 
 
 _BLOCK = pa.schema([
-    ("bucket", pa.int32()), ("block", pa.string()), ("documents", pa.int64()), ("info", pa.binary()),
-    *((c, pa.binary()) for c in ("words", "trained", "owner", "word", "number")),
-])
-_PART = pa.schema([
-    ("block", pa.string()), ("info", pa.binary()), ("sums", pa.binary()), ("known", pa.binary()), ("distinct", pa.int64()), ("tokens", pa.int64()),
+    ("bucket", pa.int32()), ("block", pa.string()),
+    *((c, pa.binary()) for c in ("info", "pair", "number", "words", "trained")),
 ])
+_WORDS = pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("trained", pa.binary()), ("distinct", pa.int64()), ("tokens", pa.int64())])
+_ANSWER = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("count", pa.binary())])
 
 
-def _sum_bucket(table: pa.Table) -> pa.Table:
-    """Counts of one range of words, and what they add to each document of each block."""
-    rows = table.to_pylist()
-    blocks = [r for r in rows if r["words"] is not None]
-    out = [{"block": r["block"], "info": r["info"]} for r in rows if r["info"] is not None]
-    if blocks:
-        words = np.frombuffer(b"".join(r["words"] for r in blocks), np.uint64)
-        trained = np.frombuffer(b"".join(r["trained"] for r in blocks), np.uint32)
-        code, kinds = pd.factorize(words)
-        count = np.bincount(code, trained, len(kinds))
-        log, seen = np.log10(count + 1)[code], (count > 0)[code]
-        out.append({"block": None, "distinct": int((count > 0).sum()), "tokens": int(count.sum())})
-        at = 0
-        for r in blocks:
-            n = len(r["words"]) // 8
-            owner, word, number = (np.frombuffer(r[c], np.uint32) for c in ("owner", "word", "number"))
-            sums = np.bincount(owner, log[at:at + n][word] * number, r["documents"])
-            known = np.bincount(owner, seen[at:at + n][word] * number, r["documents"]).astype(np.int64)
-            out.append({"block": r["block"], "sums": sums.tobytes(), "known": known.tobytes()})
-            at += n
-    return pa.Table.from_pylist(out, schema=_PART)
+def _words(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint64)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each range of hashes, and how often training has them."""
+    for bucket, held in _counted(batches, np.uint64, "words", "trained", _words):
+        yield pa.RecordBatch.from_pylist([{
+            "bucket": bucket, "words": held.kinds.tobytes(), "trained": _packed(held.counts),
+            "distinct": int((held.counts > 0).sum()), "tokens": int(held.counts.sum()),
+        }], schema=_WORDS)
+
+
+def _word_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of the words of each block; a range's words come first, then the rows that ask for them."""
+    words = counts = None
+    for bucket, rows in _runs(batches):
+        out = []
+        for block, own, trained in zip(*(rows.column(c) for c in ("block", "words", "trained"))):
+            if block.is_valid:
+                out.append(_packed(counts[np.searchsorted(words, _words(own.as_py()))]))
+            else:
+                words, counts = _words(own.as_py()), _unpacked(trained.as_py(), np.int64)
+        if out:
+            yield pa.RecordBatch.from_pydict({"block": rows.column("block").drop_null(), "bucket": [bucket] * len(out), "count": out}, schema=_ANSWER)
 
 
 def _per_document(table: pa.Table) -> pa.Table:
+    """What the words of each of a block's documents add up to."""
     rows = table.to_pylist()
-    with pa.ipc.open_stream(next(r["info"] for r in rows if r["info"] is not None)) as stream:
+    own = next(r for r in rows if r["info"] is not None)
+    with pa.ipc.open_stream(own["info"]) as stream:
         info = stream.read_all()
-    sums, known = np.zeros(info.num_rows), np.zeros(info.num_rows, np.int64)
-    for r in rows:
-        if r["sums"] is not None:
-            sums += np.frombuffer(r["sums"])
-            known += np.frombuffer(r["known"], np.int64)
+    held = sorted((r["bucket"], r["count"]) for r in rows if r["count"] is not None)
+    count = np.concatenate([np.zeros(0, np.int64), *(_unpacked(c, np.int64) for _, c in held)])
+    (owner, word), number = np.divmod(_grams(own["pair"]), max(len(count), 1)), _unpacked(own["number"], np.uint32)
+    sums = np.bincount(owner, np.log10(count + 1)[word] * number, info.num_rows)
+    known = np.bincount(owner, (count > 0)[word] * number, info.num_rows).astype(np.int64)
     return info.append_column("sums", pa.array(sums)).append_column("known", pa.array(known))
 
 
 def unigram(documents: DataFrame, training: Column) -> DataFrame:
     """doc_id, tie, held_out, n_tokens, n_known, train_tokens and base_score of every row."""
-    buckets = parts(documents.sparkSession)
-    part = _word_blocks(documents, training, buckets).groupBy("bucket").applyInArrow(
-        _sum_bucket, "block string, info binary, sums binary, known binary, distinct long, tokens long",
-    )
-    part = materialize(part, "word-sums")
-    totals = part.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
-    rows = part.filter("block IS NOT NULL").groupBy("block").applyInArrow(
+    size = documents.agg(F.sum(F.octet_length("text").cast("long") + 1).alias("n")).first()["n"] or 0
+    buckets = max(parts(documents.sparkSession), -(-size // WORD_BYTES))
+    blocks = materialize(_word_blocks(documents, training, buckets), "word-blocks")
+    asked = blocks.filter("bucket IS NOT NULL").select("bucket", "block", "words", "trained")
+    kinds = "bucket int, words binary, trained binary, distinct long, tokens long"
+    counts = materialize(_together(asked.drop("block")).mapInArrow(_word_counts, kinds), "word-sums")
+    totals = counts.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
+    tables = counts.select("bucket", F.lit(None).cast("string").alias("block"), "words", "trained")
+    asking = asked.withColumn("trained", F.lit(None).cast("binary"))
+    answers = _together(tables.unionByName(asking), "block").mapInArrow(_word_answers, "block string, bucket int, count binary")
+    info = blocks.filter("info IS NOT NULL").select("block", "info", "pair", "number")
+    rows = answers.unionByName(info, allowMissingColumns=True).groupBy("block").applyInArrow(
         _per_document, "doc_id long, held_out boolean, n long, tie long, sums double, known long",
     )
     rows = materialize(rows, "unigram")

@@ -4,10 +4,12 @@ import collections
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,6 +233,45 @@ def test_rare_context_is_modelled_in_a_large_corpus(spark):
     assert rare.bits_per_byte < 4
 
 
+def test_ranges_are_as_many_as_nearest_pairs_allow():
+    """Contexts are dealt by their two nearest bytes, three where a pair is frequent, not by the nearest alone."""
+    rng = np.random.default_rng(3)
+    context = rng.integers(97, 105, (20_000, 5)) @ (1 << 8 * np.arange(5, dtype=np.int64))
+    hot = np.unique(context >> 24)[:1]
+    found = context_tree._bucket(context, 5, hot, 1_000)
+    pair, near = context >> 24, context >> 16
+    assert len(set(found)) > 55  # 64 pairs
+    for p in set(pair):
+        assert len(set(found[pair == p])) == (1 if p != hot[0] else len(set(near[pair == p])))
+
+
+def test_a_range_holds_its_distinct_numbers_only(monkeypatch):
+    """200 blocks that ask for the same grams take the room of one, whatever their number."""
+    monkeypatch.setattr(context_tree, "MERGED", 1 << 15)
+    gram = np.arange(0, 200_000, 10, dtype=np.int64)
+    row = {"bucket": 3, "gram": context_tree._packed(np.diff(gram, prepend=0)), "count": context_tree._packed(np.full(len(gram), 2, np.uint32))}
+    batches = (pa.RecordBatch.from_pylist([row, row], pa.schema([("bucket", pa.int32()), ("gram", pa.binary()), ("count", pa.binary())])) for _ in range(100))
+    tracemalloc.start()
+    try:
+        (bucket, held), = context_tree._counted(batches, np.int64, "gram", "count", context_tree._grams)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert bucket == 3 and held.kinds.tolist() == gram.tolist() and set(held.counts) == {400}
+    assert peak < 200 * gram.nbytes / 4
+
+
+def test_many_ranges_of_words_give_the_same_sums(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(brute.texts(60))] + [(None, "a b a"), (5, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = []
+    for size in (context_tree.WORD_BYTES, 300):
+        monkeypatch.setattr(context_tree, "WORD_BYTES", size)
+        got = context_tree.unigram(df, crc_text(F.col("doc_id")) % 7 != 2).collect()
+        found.append(brute.ordered((*r[:-1], round(r.base_score, 6)) for r in got))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 def test_word_blocks_are_named_alike_by_a_repeated_attempt(spark):
     rows = [(i, t) for i, t in enumerate(brute.texts(30))] + [(None, "x"), (3, "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "text")
